@@ -14,7 +14,7 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 #: Metric, and the least distance above the third quartile at which a value can be an outlier.
-METRICS = {"symbol_ratio": 0.05, "dup_line_ratio": 0.3, "repeat_ratio": 0.1, "word_length": 4.0}
+METRICS = {"symbol_ratio": 0.05, "dup_line_ratio": 0.4, "word_length": 8.0}
 #: An upper threshold is q75 + FENCE * (q75 - q25), or the least distance if that is more.
 FENCE = 6.0
 #: Groups of a language and source with fewer documents take their language's sketch, then that of all documents.
@@ -117,7 +117,6 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         {
             "symbol_ratio": F.col("n_symbols") / F.greatest("word_chars", F.lit(1)),
             "dup_line_ratio": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
-            "repeat_ratio": F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)),
             "word_length": F.col("word_chars") / F.greatest("n_words", F.lit(1)),
         }
     )
