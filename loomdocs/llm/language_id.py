@@ -199,7 +199,7 @@ def fit_languages(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> ContextT
 
 def predict_languages(docs: DataFrame, trees: ContextTrees, keep: list[str]) -> DataFrame:
     """Add lang_pred and score (the language's probability, all equally likely beforehand) to `keep` columns."""
-    source = docs.select(*keep, "text")
+    source = docs.select(*keep, *(["text"] if "text" not in keep else []))
     shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by MOST_NODES
 
     def score(batch):
