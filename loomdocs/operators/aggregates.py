@@ -168,7 +168,7 @@ def top_terms(df: DataFrame, array_col: str, n: int = 10) -> DataFrame:
 def judge_outcome(cases: DataFrame, outcomes: list[str] | None = None) -> DataFrame:
     """Judge by outcome, 0 where missing."""
     named = cases.where(F.col("judge").isNotNull() & F.col("outcome").isNotNull())
-    return named.groupBy("judge").pivot("outcome", outcomes).agg(F.count("*")).na.fill(0)
+    return named.groupBy("judge").pivot("outcome", outcomes).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def repair_report(changes: DataFrame) -> DataFrame:

@@ -1,17 +1,1049 @@
-"""Registered queries of the library and their SQL."""
+"""Registered queries of the library: operator id and name -> (query, SQL)."""
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import dates, names, payload, text, urls
+from ..operators import aggregates as agg
+from ..operators import catalogs, documents, filters, joins, merge, quality
+from .adapters import ENTITIES, JUDGMENTS, MASTER, OTHER, PAYLOADS, RECORDS, SECONDARY, STORE_MASTER, TARGETS, Tables
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+#: The fixed clock of queries that need one.
+NOW = dt.datetime(2024, 1, 15, 12, 7)
+NOW_S = int(NOW.replace(tzinfo=dt.UTC).timestamp())
+
+_queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_sql: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(make: Callable[[Tables], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+            return make(Tables(spark, sf_dir))
+
+        _queries[name] = run
+        if sql:
+            _sql[name] = sql
+        return make
+
+    return add
 
 
 def queries():
-    return {}
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _queries["A6_uptime_and_rate"](spark, sf_dir)
+
+
+DOC = f"WITH rec AS ({PAYLOADS})"
+REC = f"WITH rec AS ({RECORDS}), tgt AS ({TARGETS}), ent AS ({ENTITIES})"
+JUD = f"WITH j AS ({JUDGMENTS})"
+CAT = f"WITH m AS ({MASTER}), o AS ({OTHER})"
+NUMBER = "json_extract_string(data, '$.dataset_number')"
+DONE = "json_extract_string(data, '$.details_scraped_at')"
+
+# --- sources ---------------------------------------------------------------
+
+
+@query("S5_read_pages", "SELECT page_id, url, length(html) AS n_chars FROM pages")
+def _(t):
+    from ..sources.io import read_pages
+
+    return read_pages(t.spark, f"{t.dir}/pages.parquet").select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+
+
+@query("K8_publish_pages", f"{DOC} SELECT coalesce(target_name, 'Unknown') AS book, coalesce(CAST(rec_year AS VARCHAR), 'Undated') AS chapter, substr(coalesce(full_text, 'Untitled'), 1, 250) AS page_name, md5(full_text) AS body FROM rec")
+def _(t):
+    from ..sources.io import publish_pages
+
+    rows = t.payloads().select(F.col("target_name").alias("court"), F.make_date("rec_year", F.lit(1), F.lit(1)).alias("document_date"), F.col("full_text").alias("title"), F.md5("full_text").alias("body"))
+    return publish_pages(rows)
+
+
+# --- filters ---------------------------------------------------------------
+
+
+@query("F2_existing_urls", f"{DOC} SELECT source_url FROM rec WHERE record_type = 'en' AND source_url <> ''")
+def _(t):
+    return filters.existing_urls(t.payloads(), "en")
+
+
+@query("F3_existing_urls_by_status", f"{DOC} SELECT source_url FROM rec WHERE record_type = 'en' AND status = 'detailed' AND source_url <> ''")
+def _(t):
+    return filters.existing_urls(t.payloads(), "en", "detailed")
+
+
+@query("F4_existing_dataset_numbers", f"{DOC} SELECT {NUMBER} AS dataset_number FROM rec WHERE record_type = 'fr' AND {NUMBER} <> ''")
+def _(t):
+    return filters.existing_dataset_numbers(t.payloads(), "fr")
+
+
+@query("F5_needing_detail", f"{DOC} SELECT id, source_url, scraped_s FROM rec WHERE record_type = 'en' AND source_url <> '' AND status = 'indexed' AND id % 10 <> 3 ORDER BY scraped_s DESC, id DESC LIMIT 50")
+def _(t):
+    rec = t.payloads()
+    return filters.needing_detail(rec, "en", desc=True, limit=50, exclude=rec.where("id % 10 = 3")).select("id", "source_url", F.unix_seconds("scraped_at").alias("scraped_s"))
+
+
+@query("F6_count_needing_detail", f"{DOC} SELECT count(*) AS pending FROM rec WHERE record_type = 'en' AND source_url <> '' AND (status = 'indexed' OR (status IS NULL AND {DONE} IS NULL))")
+def _(t):
+    return filters.count_needing_detail(t.payloads(), "en")
+
+
+@query("F7_complete_flags", f"""{DOC}, done AS (SELECT source_url, {NUMBER} AS number FROM rec WHERE status = 'detailed' OR {DONE} IS NOT NULL)
+SELECT id, coalesce(source_url IN (SELECT source_url FROM done WHERE source_url <> ''), false) OR coalesce({NUMBER} IN (SELECT number FROM done WHERE number <> ''), false) AS is_complete FROM rec""")
+def _(t):
+    rec = t.payloads()
+    keys = rec.select("id", "source_url", F.get_json_object("data", "$.dataset_number").alias("dataset_number"))
+    return filters.complete_flags(keys, rec).select("id", "is_complete")
+
+
+@query("F8_case_records", f"{DOC} SELECT id FROM rec WHERE coalesce(contains(source_url, '/cases/'), false) OR (source_url IS NULL AND json_extract_string(data, '$.category') = 'cases')")
+def _(t):
+    return t.payloads().where(filters.is_case_record()).select("id")
+
+
+@query("F9_repairable_cases", f"{DOC} SELECT id FROM rec WHERE source_url IS NOT NULL AND source_url NOT LIKE '%/gaz/%'")
+def _(t):
+    return t.payloads().where(filters.is_repairable_case()).select("id")
+
+
+@query("F10_not_in_review", f"{DOC} SELECT id FROM rec WHERE requires_human_review IS NOT TRUE")
+def _(t):
+    return t.payloads().where(filters.not_in_review()).select("id")
+
+
+@query("F11_failed_parses", f"{DOC} SELECT id FROM rec WHERE requires_human_review AND review_reason = 'Document parsing failed'")
+def _(t):
+    return filters.failed_parses(t.payloads()).select("id")
+
+
+@query("F12_for_target", f"{DOC} SELECT id FROM rec WHERE target_name = 'src1'")
+def _(t):
+    return filters.for_target(t.payloads(), "src1").select("id")
+
+
+@query("F13_filter_datasets", f"{DOC} SELECT id, coalesce(upper(target_name) IN ('SRC1', 'SRC2'), false) AS kept FROM rec")
+def _(t):
+    kept, skipped = filters.filter_datasets(t.payloads(), ["src1", "Src2"], "target_name")
+    return kept.select("id", F.lit(True).alias("kept")).unionAll(skipped.select("id", F.lit(False)))
+
+
+@query("F14_pdf_cases", f"{DOC} SELECT id FROM rec WHERE lower(source_url) LIKE '%.pdf' AND source_url LIKE '%/za/cases/%'")
+def _(t):
+    return filters.pdf_cases(t.payloads()).select("id")
+
+
+@query("F15_search_records", f"{REC} SELECT rec.id FROM rec JOIN tgt ON tgt.id = rec.target_id WHERE (lower(target_name) LIKE '%nation_1%' OR lower(entity_name) LIKE '%nation_1%' OR lower(record_type) LIKE '%nation_1%') AND status = 'indexed'")
+def _(t):
+    return filters.search_records(joins.with_metadata(t.records(), t.targets().drop("entity_name"), t.entities()), "Nation_1", status="indexed").select("id")
+
+
+@query("F16_has_key", f"{DOC} SELECT id, contains(data, 'citations') AS has FROM rec")
+def _(t):
+    return t.payloads().select("id", payload.has_key("data", "citations").alias("has"))
+
+
+@query("F17_exclude_rolls", f"{DOC} SELECT count(*) AS n FROM rec WHERE target_name NOT LIKE '%Rolls%'")
+def _(t):
+    return t.payloads().where(filters.exclude_rolls()).agg(F.count("*").alias("n"))
+
+
+@query("F18_parse_sample", f"{DOC} SELECT id FROM rec WHERE status = 'detailed' AND target_name NOT LIKE '%Rolls%' AND length(trim(full_text)) > 50 ORDER BY id LIMIT 100")
+def _(t):
+    return filters.parse_sample(t.payloads(), 100).select("id")
+
+
+# --- joins -----------------------------------------------------------------
+
+
+@query("J1_with_metadata", f"{REC} SELECT rec.id, record_type, status, target_name, name AS entity_name FROM rec LEFT JOIN tgt ON tgt.id = rec.target_id LEFT JOIN ent ON ent.id = tgt.entity_id")
+def _(t):
+    return joins.with_metadata(t.records(), t.targets().drop("entity_name"), t.entities()).select("id", "record_type", "status", "target_name", "entity_name")
+
+
+@query("J2_with_target", f"{REC} SELECT rec.id, target_name FROM rec JOIN tgt ON tgt.id = rec.target_id")
+def _(t):
+    return joins.with_target(t.records(), t.targets()).select("id", "target_name")
+
+
+_SCRUBBED = "SELECT doc_id AS id FROM documents WHERE doc_id % 5 = 0"
+_PARSED = "SELECT doc_id AS id FROM documents WHERE doc_id % 4 <> 0"
+
+
+@query("J3_repair_input", f"{DOC} SELECT rec.id, coalesce(s_name, 'Unknown') AS target_name, status FROM rec JOIN ({_SCRUBBED}) s ON s.id = rec.id LEFT JOIN (SELECT s_name FROM supplier WHERE s_name = 'none') x ON x.s_name = rec.target_name")
+def _(t):
+    none = t["supplier"].where("s_name = 'none'").select(F.col("s_name").alias("id"), F.col("s_name").alias("target_name"))
+    return joins.repair_input(t.child("scrubbed"), t.payloads().drop("target_name").withColumn("target_id", F.lit("src")), none).select("id", "target_name", "status")
+
+
+@query("J4_unparsed", f"{DOC} SELECT rec.id FROM rec LEFT JOIN ({_PARSED}) p ON p.id = rec.id WHERE p.id IS NULL AND status = 'detailed'")
+def _(t):
+    return joins.without_child(t.payloads().where("status = 'detailed'"), t.child("parsed")).select("id")
+
+
+@query("J5_unscrubbed", f"{DOC} SELECT rec.id, rec.record_type, p.id IS NOT NULL AS parsed, n_name AS target_name FROM rec LEFT JOIN ({_SCRUBBED}) s ON s.id = rec.id LEFT JOIN ({_PARSED}) p ON p.id = rec.id LEFT JOIN nation ON n_nationkey = rec.id % 30 WHERE s.id IS NULL AND status = 'detailed'")
+def _(t):
+    dims = t["nation"].select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("target_name"), F.col("n_regionkey").alias("entity_id"))
+    ents = t["region"].select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    rec = t.payloads().drop("target_name").withColumn("target_id", F.col("id") % 30)
+    return joins.unscrubbed(rec, t.child("parsed"), t.child("scrubbed"), dims, ents).select("id", "record_type", F.col("parsed_data").isNotNull().alias("parsed"), "target_name")
+
+
+@query("J6_new_candidates", f"""{DOC}, items AS (SELECT id AS place, source_url, {NUMBER} AS number FROM rec WHERE id % 2 = 1 AND source_url IS NOT NULL), known AS (SELECT source_url, {NUMBER} AS number FROM rec WHERE id % 10 = 0),
+fresh AS (SELECT * FROM items WHERE source_url NOT IN (SELECT source_url FROM known WHERE source_url <> '') AND (number IS NULL OR number NOT IN (SELECT number FROM known WHERE number IS NOT NULL)))
+SELECT place FROM (SELECT place, number, row_number() OVER (PARTITION BY number ORDER BY place) AS k FROM fresh) WHERE number IS NULL OR k = 1""")
+def _(t):
+    rec = t.payloads().withColumn("dataset_number", F.get_json_object("data", "$.dataset_number"))
+    items = rec.where("id % 2 = 1 and source_url is not null").select(F.col("id").alias("place"), "source_url", "dataset_number")
+    return joins.new_candidates(items, rec.where("id % 10 = 0")).select("place")
+
+
+_STORES = f"WITH s AS ({SECONDARY}), m AS ({STORE_MASTER})"
+
+
+@query("J7_match_by_url", f"{_STORES} SELECT coalesce(s.source_url, m.source_url) AS source_url, s.id AS a_id, m.id AS b_id FROM (SELECT * FROM s WHERE source_url <> '') s FULL OUTER JOIN (SELECT * FROM m WHERE source_url <> '') m ON s.source_url = m.source_url")
+def _(t):
+    return joins.match_by_url(t.sql(SECONDARY), t.sql(STORE_MASTER)).select("source_url", F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
+
+
+@query("J8_remap_targets", f"{REC} SELECT rec.id, CASE WHEN tgt.target_name <> 'NATION_3' THEN concat('new-', tgt.target_name) END AS new_target_id FROM rec LEFT JOIN tgt ON tgt.id = rec.target_id")
+def _(t):
+    dst = t.targets().where("target_name <> 'NATION_3'").select(F.concat(F.lit("new-"), "target_name").alias("id"), "entity_name", "target_name")
+    return joins.remap_targets(t.records(), t.targets(), dst).select("id", "new_target_id")
+
+
+_LAST_OTHER = "lo AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY part_number ORDER BY place DESC) AS k FROM o WHERE part_number <> '') WHERE k = 1)"
+
+
+@query("J9_match_catalog", f"{CAT}, {_LAST_OTHER} SELECT m.place, m.stock_code, lo.image_url FROM m LEFT JOIN lo ON lo.part_number = m.stock_code")
+def _(t):
+    return joins.match_catalog(t.sql(MASTER), t.sql(OTHER)).select("place", "stock_code", F.col("other.image_url").alias("image_url"))
+
+
+@query("J10_reset_set", f"{DOC} SELECT id FROM rec WHERE id % 5 = 0 AND json_extract_string(data, '$.category') = 'cases'")
+def _(t):
+    cases = t.payloads().where(F.get_json_object("data", "$.category") == "cases")
+    return joins.reset_set(cases, t.child("parsed"), t.child("scrubbed")).select("id")
+
+
+_LOOKUP = [(0, "src1", "court scraper"), (1, "en", "english"), (2, "src", "general")]
+
+
+@query("J11_resolve_scraper_type", f"""{DOC} SELECT id, CASE WHEN record_type = 'en' THEN 'english' WHEN record_type IS NOT NULL AND contains('en', record_type) THEN 'english' WHEN target_name = 'src1' THEN 'court scraper'
+WHEN contains(target_name, 'src1') THEN 'court scraper' WHEN contains(target_name, 'src') THEN 'general' ELSE coalesce(record_type, 'Unknown') END AS scraper_type FROM rec""")
+def _(t):
+    lookup = t.spark.createDataFrame(_LOOKUP, "place int, key string, scraper_type string")
+    return joins.resolve_scraper_type(t.payloads().withColumn("entity_name", F.lit(None).cast("string")), lookup).select("id", "scraper_type")
+
+
+@query("J14_companion_titles", f"{DOC} SELECT id, replace(source_url, '.pdf', '.html') AS companion_url FROM rec WHERE source_url LIKE '%.pdf'")
+def _(t):
+    pages = t["pages"].select("url", F.col("html").alias("title"))
+    return joins.companion_titles(filters.pdf_cases(t.payloads()), pages).select("id", "companion_url")
+
+
+@query("J15_match_pipeline", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey END AS pipeline_id FROM nation")
+def _(t):
+    cfg = t["nation"].where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("id"), F.lower(F.replace("n_name", F.lit("_"), F.lit("-"))).alias("name"))
+    named = t["nation"].select("n_nationkey", F.lower("n_name").alias("name"))
+    return joins.match_pipeline(named, cfg).select("n_nationkey", "pipeline_id")
+
+
+@query("J16_pipeline_for_type", "SELECT n_name AS record_type, CASE WHEN n_nationkey % 2 = 0 THEN concat('shared_', CAST(n_nationkey AS VARCHAR)) ELSE n_name END AS pipeline_id FROM nation")
+def _(t):
+    cfg = t["nation"].where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("place"), F.concat(F.lit("Shared "), "n_nationkey").alias("name"), F.col("n_name").alias("shared_record_type"))
+    return joins.pipeline_for_type(t["nation"].select(F.col("n_name").alias("record_type")), cfg)
+
+
+# --- aggregates and windows --------------------------------------------------
+
+
+@query("A1_type_status_counts", f"{REC} SELECT record_type, status, count(*) AS n FROM rec GROUP BY 1, 2")
+def _(t):
+    return agg.type_status_counts(t.records())
+
+
+@query("A2_top_targets", f"{REC} SELECT entity_name, target_name, record_type, status, count(*) AS n FROM rec JOIN tgt ON tgt.id = rec.target_id GROUP BY 1, 2, 3, 4 ORDER BY n DESC, 1, 2, 3, 4 LIMIT 20")
+def _(t):
+    return agg.top_targets(joins.with_metadata(t.records(), t.targets().drop("entity_name"), t.entities()))
+
+
+@query("A3_heading_search", f"""{DOC}, e AS (SELECT left(coalesce(full_text, ''), 400) AS x FROM rec WHERE status = 'detailed')
+SELECT count(*) AS total, count(*) FILTER (regexp_matches(x, '\\bThe\\b')) AS as_word, count(*) FILTER (regexp_matches(x, '(?m)^\\s*The')) AS at_line_start, count(*) FILTER (contains(x, 'The')) AS anywhere, count(*) FILTER (contains(lower(x), 'the')) AS any_case FROM e""")
+def _(t):
+    return agg.heading_search(t.payloads().where("status = 'detailed'"), "The", 400)
+
+
+_YEARS = f"y AS (SELECT record_type, rec_year, count(*) AS n, count(*) FILTER (status = 'detailed' OR {DONE} IS NOT NULL) AS d FROM rec GROUP BY 1, 2)"
+
+
+@query("A4_pipeline_state", f"""{DOC}, {_YEARS} SELECT record_type, CAST(sum(n) AS BIGINT) AS total, CAST(sum(d) AS BIGINT) AS total_detailed, CAST(sum(n) - sum(d) AS BIGINT) AS total_indexed,
+coalesce(list(rec_year ORDER BY rec_year) FILTER (rec_year IS NOT NULL AND n = d), []) AS complete_years, coalesce(list(rec_year ORDER BY rec_year) FILTER (rec_year IS NOT NULL AND n <> d), []) AS incomplete_years, sum(n) = sum(d) AS fully_complete FROM y GROUP BY 1""")
+def _(t):
+    return agg.pipeline_state(t.payloads())
+
+
+@query("A5_overall_totals", f"{DOC} SELECT target_name AS scraper_type, count(*) FILTER (coalesce(status, 'indexed') = 'indexed') AS indexed, count(*) FILTER (status = 'detailed') AS detailed, count(*) AS total FROM rec GROUP BY 1")
+def _(t):
+    counted = t.payloads().groupBy(F.col("target_name").alias("scraper_type"), "status").agg(F.count("*").alias("n"))
+    return agg.overall_totals(counted)
+
+
+_GAPS = "g AS (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id)) AS gap FROM events)"
+_UPTIME = "count(*) AS total, count(*) FILTER (gap <= 120000000) AS active, CAST(coalesce(sum(gap) FILTER (gap <= 120000000), 0) AS BIGINT) AS uptime_us"
+
+
+@query("A6_uptime_and_rate", f"WITH {_GAPS}, u AS (SELECT event_type, {_UPTIME} FROM g GROUP BY 1) SELECT *, CASE WHEN uptime_us > 0 THEN active * 1e6 / uptime_us ELSE 0 END AS rate, CASE WHEN uptime_us > 0 THEN active * 1e6 / uptime_us * 3600 ELSE 0 END AS rate_per_hour FROM u")
+def _(t):
+    return agg.uptime_and_rate(t["events"], ["event_type"], ["event_id"])
+
+
+for _id, _period in (("A7_period_rate_7d", "7d"), ("A8_period_rate_24h", "24h")):
+    _s = agg.PERIODS[_period]
+
+    @query(_id, f"SELECT event_type, count(*) FILTER (ts >= make_timestamp({(NOW_S - _s) * 1_000_000})) AS n, count(*) FILTER (ts >= make_timestamp({(NOW_S - _s) * 1_000_000})) / {_s}.0 AS rate FROM events GROUP BY 1")
+    def _(t, period=_period):
+        return agg.period_rate(t["events"], ["event_type"], F.lit(NOW).cast("timestamp"), period)
+
+
+@query("A9_is_online", f"SELECT user_id, bool_or(ts >= make_timestamp({(NOW_S - 900) * 1_000_000})) AS online FROM events GROUP BY 1")
+def _(t):
+    return agg.is_online(t["events"], ["user_id"], F.lit(NOW).cast("timestamp"))
+
+
+@query("A10_worker_breakdown", "WITH g AS (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id)) AS gap FROM events) SELECT event_type, CAST(user_id AS VARCHAR) AS worker, " + _UPTIME + " FROM g GROUP BY 1, 2")
+def _(t):
+    out = agg.worker_breakdown(t["events"], "event_type", "user_id", ["event_id"])
+    return out.select("event_type", F.explode("workers").alias("worker", "m")).select("event_type", "worker", "m.total", "m.active", "m.uptime_us")
+
+
+@query("A11_configured_concurrency", "SELECT p_brand AS scraper_type, sum(p_size) FILTER (p_partkey % 3 <> 0) AS concurrency FROM part GROUP BY 1")
+def _(t):
+    cfg = t["part"].select(F.col("p_brand").alias("scraper_type"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_size").cast("string")).otherwise("many").alias("concurrency"))
+    return agg.configured_concurrency(cfg)
+
+
+@query("A12_pipeline_metrics")
+def _(t):
+    return agg.pipeline_metrics(t["events"], "event_type", "user_id", ["event_id"], NOW)
+
+
+@query("A13_legal_kpis", f"{JUD}, y AS (SELECT *, greatest(0, year(judgment_date) - CAST(split_part(dataset_number, '/', 2) AS INT)) AS dur FROM j) SELECT count(*) AS total, round_even(avg(dur), 1) AS mean_duration, count(*) FILTER (reportable) / count(reportable) AS reportable_share FROM y")
+def _(t):
+    return agg.legal_kpis(t.judgments().withColumn("duration_years", dates.duration_years("dataset_number", F.col("judgment_date"))))
+
+
+for _column in ("court", "division", "outcome", "judge"):
+
+    @query(f"A14_value_counts_{_column}", f"{JUD} SELECT {_column} AS value, count(*) AS n FROM j WHERE {_column} IS NOT NULL GROUP BY 1")
+    def _(t, column=_column):
+        return agg.value_counts(t.judgments(), column)
+
+
+@query("A15_top_terms", f"{JUD} SELECT value, count(*) AS n FROM (SELECT unnest(string_split(subject_list, ',')) AS value FROM j) GROUP BY 1 ORDER BY n DESC, value LIMIT 10")
+def _(t):
+    return agg.top_terms(t.judgments(), "subjects")
+
+
+@query("A16_judge_outcome", f"""{JUD} SELECT judge, count(*) FILTER (outcome = 'F') AS "F", count(*) FILTER (outcome = 'O') AS "O", count(*) FILTER (outcome = 'P') AS "P" FROM j WHERE outcome IS NOT NULL GROUP BY 1""")
+def _(t):
+    return agg.judge_outcome(t.judgments(), ["F", "O", "P"])
+
+
+@query("A18_reset_report", f"{DOC} SELECT count(*) AS total, count(*) FILTER (id % 4 <> 0) AS parsed, count(*) FILTER (id % 5 = 0) AS scrubbed, count(*) FILTER (coalesce(requires_human_review, false)) AS flagged FROM rec")
+def _(t):
+    return agg.reset_report(t.payloads().withColumns({"is_parsed": F.col("id") % 4 != 0, "is_scrubbed": F.col("id") % 5 == 0}))
+
+
+@query("A20_pending_types", f"{DOC} SELECT DISTINCT record_type FROM rec WHERE status = 'detailed' AND id % 5 <> 0")
+def _(t):
+    return agg.pending_types(t.payloads().withColumn("scrubbed_at", F.when(F.col("id") % 5 == 0, F.col("scraped_at"))))
+
+
+@query("W1_with_gap", f"WITH {_GAPS} SELECT event_id, gap AS gap_us FROM g")
+def _(t):
+    return agg.with_gap(t["events"], ["event_type"], ["event_id"]).select("event_id", "gap_us")
+
+
+_END = NOW_S - NOW_S % 300
+
+
+@query("W2_last_hour_intervals", f"""WITH k AS (SELECT DISTINCT event_type FROM events), b AS (SELECT unnest(range({_END - 3600}, {_END}, 300)) AS start_s)
+SELECT k.event_type, b.start_s, count(e.event_id) AS n, CAST(count(e.event_id) * 12 AS DOUBLE) AS rate_per_hour FROM k CROSS JOIN b LEFT JOIN events e ON e.event_type = k.event_type AND epoch_us(e.ts) >= b.start_s * 1000000 AND epoch_us(e.ts) < (b.start_s + 300) * 1000000 GROUP BY 1, 2""")
+def _(t):
+    return agg.last_hour_intervals(t["events"], ["event_type"], NOW)
+
+
+@query("W3_pick_last", f"{CAT}, {_LAST_OTHER} SELECT part_number, place FROM lo")
+def _(t):
+    return filters.pick(t.sql(OTHER).where("part_number <> ''"), ["part_number"], ["place"], "last").select("part_number", "place")
+
+
+@query("W4_merge_worklist", f"""{DOC}, u AS (SELECT source_url, 0 AS l, id AS place FROM rec WHERE id % 3 = 0 AND source_url IS NOT NULL UNION ALL SELECT source_url, 1, id FROM rec WHERE id % 2 = 0 AND source_url IS NOT NULL)
+SELECT source_url, l AS list, place FROM (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY l, place) AS k FROM u) WHERE k = 1""")
+def _(t):
+    rec = t.payloads().where("source_url is not null").withColumn("place", F.col("id"))
+    return filters.merge_worklist(rec.where("id % 3 = 0"), rec.where("id % 2 = 0"))
+
+
+@query("W6_fallback_sample", f"{DOC} SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY target_name ORDER BY scraped_s DESC, id DESC) AS k FROM rec WHERE target_name NOT IN (SELECT target_name FROM rec WHERE id % 50 = 7)) WHERE k <= 20")
+def _(t):
+    rec = t.payloads()
+    return agg.fallback_sample(rec, rec.where("id % 50 = 7"), "target_name", 20).select("id")
+
+
+@query("W7_both_advanced", "SELECT min(CASE WHEN m > c THEN 1 ELSE 0 END) = 1 AS due FROM (SELECT event_type, max(ts) AS m, max(ts) FILTER (event_id % 2 = 0) AS c FROM events GROUP BY 1)")
+def _(t):
+    ev = t["events"].withColumn("source", F.col("event_type"))
+    return agg.both_advanced(ev, ev.where("event_id % 2 = 0"))
+
+
+@query("T1_top_k", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey LIMIT 25")
+def _(t):
+    return agg.top_k(t["orders"].groupBy("o_custkey").agg(F.count("*").alias("n")), "n", 25, ["o_custkey"])
+
+
+@query("U1_all_types", "SELECT event_type AS name FROM events UNION SELECT lang FROM documents UNION SELECT role FROM conversations")
+def _(t):
+    return filters.all_types(t["events"].select(F.col("event_type").alias("name")), t["documents"].select("lang"), t["conversations"].select("role"))
+
+
+@query("U2_stale_keys", "SELECT DISTINCT o_custkey AS key FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def _(t):
+    keys = t["orders"].withColumnRenamed("o_custkey", "key")
+    return filters.stale_keys(keys, keys.where("o_orderstatus = 'F'"))
+
+
+@query("U3_distinct_urls", "SELECT DISTINCT url FROM pages")
+def _(t):
+    return filters.distinct_urls(t["pages"].select("url"))
+
+
+# --- columns ---------------------------------------------------------------
+
+_SCRUB_SQL = "regexp_replace(regexp_replace(regexp_replace({}, '\\b\\d{{13}}\\b', '[RSA ID]', 'g'), '\\b[A-Za-z]\\d{{8}}\\b', '[PASSPORT]', 'g'), '\\b\\d{{10,16}}\\b', '[BANK/TAX NUMBER]', 'g')"
+_PII = "concat(text, ' ', CAST(8001015009000 + doc_id AS STRING), ' A', CAST(10000000 + doc_id AS STRING), ' ', CAST(1234567890 + doc_id AS STRING))"
+
+
+@query("X1_scrub", f"SELECT doc_id, md5({_SCRUB_SQL.format(_PII)}) AS scrubbed FROM documents")
+def _(t):
+    return t["documents"].select("doc_id", F.md5(text.scrub(F.expr(_PII))).alias("scrubbed"))
+
+
+@query("X2_scrub_struct", f"SELECT doc_id, {_SCRUB_SQL.format('text')} AS a, {_SCRUB_SQL.format(_PII)} AS b FROM documents")
+def _(t):
+    df = t["documents"].select("doc_id", F.struct(F.col("text").alias("a"), F.array(F.expr(_PII)).alias("l")).alias("s"))
+    return payload.scrub_struct(df).select("doc_id", "s.a", F.col("s.l")[0].alias("b"))
+
+
+@query("X3_clean_text", r"SELECT doc_id, md5(trim(regexp_replace(trim(concat(text, chr(10), '  ', chr(10), chr(10), text), ' ' || chr(10) || chr(9)), '\n\s*\n+', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9))) AS cleaned FROM documents WHERE text IS NOT NULL")
+def _(t):
+    raw = F.concat(F.lit("nav > LawCite\nPDF format\n"), "text", F.lit("\n  \n\n"), "text")
+    return t["documents"].where("text is not null").select("doc_id", F.md5(text.clean_text(raw)).alias("cleaned"))
+
+
+_FORMATS = [("d MMMM yyyy", "%-d %B %Y"), ("d/M/yyyy", "%-d/%-m/%Y"), ("MMMM d, yyyy", "%B %-d, %Y"), ("yyyy-MM-dd", "%Y-%m-%d")]
+
+
+@query("X4_title_date", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS title_date FROM orders")
+def _(t):
+    shown = F.coalesce(*[F.when(F.col("o_orderkey") % 4 == i, F.date_format("o_orderdate", f[0])) for i, f in enumerate(_FORMATS)])
+    return t["orders"].select("o_orderkey", dates.title_date(F.concat(F.lit("A v B (1/20) ("), shown, F.lit(")."))).alias("title_date"))
+
+
+@query("X5_safe_date", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
+def _(t):
+    return t["orders"].select("o_orderkey", dates.safe_date(F.date_format("o_orderdate", "d MMM yyyy")).alias("day"))
+
+
+@query("X6_document_date", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN make_date(2000 + doc_id % 20, 2, 3) WHEN doc_id % 3 = 1 THEN make_date(1990 + doc_id % 20, 1, 1) ELSE make_date(1970, 1, 1) END AS day FROM documents")
+def _(t):
+    data = F.when(F.col("doc_id") % 3 == 0, F.format_string('{"judgment_date":"%d-02-03T10:00"}', 2000 + F.col("doc_id") % 20)).when(F.col("doc_id") % 3 == 1, F.format_string('{"date":"x","year":%d}', 1990 + F.col("doc_id") % 20)).otherwise("{}")
+    return t["documents"].select("doc_id", dates.document_date(data, F.lit("1970-01-01").cast("date")).alias("day"))
+
+
+@query("X7_X10_case_numbers", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE concat(CAST(doc_id AS VARCHAR), '/20') END AS from_title, concat('CCT ', CAST(doc_id AS VARCHAR), '/21') AS from_header, concat(CAST(doc_id AS VARCHAR), '/22') AS from_text, doc_id % 2 = 0 AS neutral FROM documents")
+def _(t):
+    n = F.col("doc_id").cast("string")
+    title = F.concat(F.lit("A v B ("), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Judgment "), n)).otherwise(F.concat(n, F.lit("/20"))), F.lit(") [2020] ZACC 1"))
+    return t["documents"].select(
+        "doc_id", text.case_no_title(title).alias("from_title"), text.case_no_header(F.concat(F.lit("HIGH COURT\nCASE NO: CCT "), n, F.lit("/21 heard on x"))).alias("from_header"),
+        text.case_no_text(F.concat(F.lit("Application Number: "), n, F.lit("/22; more"))).alias("from_text"), text.is_neutral(F.when(F.col("doc_id") % 2 == 0, "[2020] ZACC 1").otherwise("CCT 1/20")).alias("neutral"),
+    )
+
+
+@query("X11_X12_category_metadata", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN concat(CAST(doc_id AS VARCHAR), '/22') WHEN 1 THEN CAST(doc_id AS VARCHAR) ELSE concat('Vol ', CAST(doc_id AS VARCHAR), ' No 4') END AS number FROM documents")
+def _(t):
+    n = F.col("doc_id").cast("string")
+    kind = F.when(F.col("doc_id") % 3 == 0, "cases").when(F.col("doc_id") % 3 == 1, "gaz").otherwise("journals")
+    body = F.when(kind == "cases", F.concat(F.lit("Case No: "), n, F.lit("/22"))).when(kind == "gaz", F.concat(F.lit("Government Gazette of today No. "), n)).otherwise(F.concat(F.lit("Volume "), n, F.lit(" Issue 4")))
+    return t["documents"].select("doc_id", text.dataset_number(text.category_metadata(kind, F.lit("t"), body)).alias("number"))
+
+
+@query("X13_X16_url_parts", f"""{DOC} SELECT id, CASE WHEN id % 3 = 0 THEN 'cases' ELSE 'gaz' END AS record_category, CASE WHEN source_url IS NULL THEN 'other' ELSE 'cases' END AS url_category, CASE WHEN source_url IS NOT NULL THEN target_name END AS dataset,
+CASE WHEN source_url IS NULL THEN '' ELSE target_name END AS code, CASE WHEN source_url IS NULL THEN 'unknown' ELSE CAST(2000 + id % 20 AS VARCHAR) END AS year, CASE WHEN source_url IS NULL THEN 'unknown' ELSE CAST(id AS VARCHAR) END AS document_id FROM rec""")
+def _(t):
+    return t.payloads().select("id", urls.record_category("data", "source_url").alias("record_category"), urls.url_category("source_url").alias("url_category"), urls.url_dataset("source_url").alias("dataset"), urls.url_parts("source_url").alias("p")).select("id", "record_category", "url_category", "dataset", "p.*")
+
+
+@query("X17_page_state", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'BLOCKED' WHEN 1 THEN 'NOT_FOUND' ELSE 'OK' END AS state FROM pages")
+def _(t):
+    title = F.when(F.col("page_id") % 3 == 0, "Just a moment...").when(F.col("page_id") % 3 == 1, "404 Not Found").otherwise("Case 404 [2025]")
+    return t["pages"].select("page_id", text.page_state(title, F.lit(None).cast("string"), F.lit("text")).alias("state"))
+
+
+@query("X18_court_name", "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Constitutional Court of South Africa' WHEN 1 THEN 'Labour Court, Durban' WHEN 2 THEN 'Gauteng High Court, Pretoria' ELSE concat('Tribunal ', CAST(o_orderkey AS VARCHAR)) END AS court FROM orders")
+def _(t):
+    k = F.col("o_orderkey") % 4
+    raw = F.when(k == 0, "zacc").when(k == 1, "the LABOUR COURT held at Durban").when(k == 2, "High Court").otherwise(F.concat(F.lit(" Tribunal "), "o_orderkey"))
+    return t["orders"].select("o_orderkey", names.court_name(raw, F.lit("ZAGPPHC")).alias("court"))
+
+
+@query("X19_judges", "SELECT o_orderkey, concat('Van der Merwe', CAST(o_orderkey % 7 AS VARCHAR), ' AJ|Smith-Jones JP') AS judges FROM orders")
+def _(t):
+    raw = F.array(F.concat(F.lit("VAN DER MERWE"), F.col("o_orderkey") % 7, F.lit(", AJ and SMITH-JONES JP")), F.lit("not stated"))
+    return t["orders"].select("o_orderkey", F.array_join(names.judges(raw), "|").alias("judges"))
+
+
+@query("X20_norm_id", "SELECT p_partkey, lower(translate(p_name, ' -', '__')) AS norm FROM part")
+def _(t):
+    return t["part"].select("p_partkey", text.norm_id("p_name").alias("norm"))
+
+
+@query("X21_case_year", f"{JUD} SELECT id, CAST(split_part(dataset_number, '/', 2) AS INT) AS case_year, greatest(0, CAST(year(judgment_date) AS INT) - CAST(split_part(dataset_number, '/', 2) AS INT)) AS duration FROM j WHERE id NOT BETWEEN 2000 AND 2099")
+def _(t):
+    return t.judgments().where("id not between 2000 and 2099").select("id", dates.case_year("dataset_number").alias("case_year"), dates.duration_years("dataset_number", "judgment_date").alias("duration"))
+
+
+@query("X22_X23_bool_and_time", "SELECT event_id, event_id % 2 = 0 AS flag, epoch_us(ts) AS us FROM events")
+def _(t):
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.when(F.col("event_id") % 3 == 0, "Z").otherwise(""))
+    return t["events"].select("event_id", text.to_bool(F.when(F.col("event_id") % 2 == 0, " Yes ").otherwise("no")).alias("flag"), F.unix_micros(dates.parse_iso(iso)).alias("us"))
+
+
+@query("X24_json_first", f"{DOC} SELECT id, coalesce({DONE}, {NUMBER}) AS v FROM rec")
+def _(t):
+    return t.payloads().select("id", payload.json_first("data", "$.details_scraped_at", "$.dataset_number").alias("v"))
+
+
+@query("X25_json_set", f"{DOC} SELECT id, CAST(id AS VARCHAR) AS v, json_extract_string(data, '$.category') AS category FROM rec")
+def _(t):
+    out = t.payloads().select("id", payload.json_set("data", "added", F.col("id").cast("string")).alias("d"))
+    return out.select("id", F.get_json_object("d", "$.added").alias("v"), F.get_json_object("d", "$.category").alias("category"))
+
+
+@query("X26_json_merge", f"{DOC} SELECT id, 'new' AS category, {NUMBER} AS number, 5 AS more FROM rec")
+def _(t):
+    out = t.payloads().select("id", payload.json_merge("data", F.lit('{"category":"new","more":5}')).alias("d"))
+    return out.select("id", F.get_json_object("d", "$.category").alias("category"), F.get_json_object("d", "$.dataset_number").alias("number"), F.get_json_object("d", "$.more").cast("int").alias("more"))
+
+
+@query("X27_json_rename", f"{DOC} SELECT id, CASE WHEN id % 6 = 0 THEN '[1]' END AS footnotes, CAST(NULL AS VARCHAR) AS citations FROM rec")
+def _(t):
+    out = t.payloads().select("id", payload.json_rename("data", "citations", "footnotes").alias("d"))
+    return out.select("id", F.get_json_object("d", "$.footnotes").alias("footnotes"), F.get_json_object("d", "$.citations").alias("citations"))
+
+
+@query("X28_tags_to_map", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def _(t):
+    m = payload.tags_to_map(F.array(F.concat(F.lit("Cust Name: "), "c_name"), F.concat(F.lit("Mkt-Segment : "), "c_mktsegment"), F.lit("noise")))
+    return t["customer"].select("c_custkey", m.alias("m")).select("c_custkey", F.col("m")["cust_name"].alias("c_name"), F.col("m")["mkt_segment"].alias("c_mktsegment"))
+
+
+@query("X29_X36_small_columns", "SELECT p_partkey, printf('R %.2f', p_partkey / 100.0) AS price, CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS tiers, left(p_name, 5) AS head, right(p_name, 5) AS tail, regexp_replace(p_type, '[^A-Za-z0-9 .]', '', 'g') AS safe, 'A V' AS label, trim(translate(p_name, chr(10), ' ')) AS flat FROM part")
+def _(t):
+    tiers = F.array(F.struct(F.when(F.col("p_partkey") % 2 == 0, "1 to 10").otherwise("10+").alias("qty"), F.lit("1").alias("price")))
+    return t["part"].select(
+        "p_partkey", text.rand_price("p_partkey").alias("price"), F.size(text.price_tiers(tiers)).alias("tiers"), text.edge_text("p_name", 5).alias("head"), text.edge_text("p_name", 5, True).alias("tail"),
+        text.safe_name("p_type").alias("safe"), text.type_label(F.lit("a_v")).alias("label"), text.flat("p_name").alias("flat"),
+    )
+
+
+@query("X31_abs_url", "SELECT page_id, concat(regexp_extract(url, '^[a-z]+://[^/?#]*', 0), '/x/', CAST(page_id AS VARCHAR)) AS absolute FROM pages")
+def _(t):
+    return t["pages"].select("page_id", urls.abs_url("url", F.concat(F.lit("/x/"), "page_id")).alias("absolute"))
+
+
+@query("X35_title_parties", "SELECT c_custkey, c_name AS applicant, concat(c_mktsegment, ' and Others') AS respondent FROM customer")
+def _(t):
+    title = F.concat("c_name", F.lit(" v "), "c_mktsegment", F.lit(" and Others (12/20) [2020] ZACC 1"))
+    return t["customer"].select("c_custkey", text.title_parties(title).alias("p")).select("c_custkey", "p.*")
+
+
+# --- documents -------------------------------------------------------------
+
+_D1 = "concat('IN THE HIGH COURT', chr(10), 'Case no: ', CAST(doc_id AS STRING), chr(10), 'JUDGMENT', chr(10), '[1] The facts of this matter are common cause between the parties, who have agreed to a statement of them, and need no proof here. ', {}, chr(10), '[2] ', {}, chr(10), 'ORDER', chr(10), 'The claim ', CAST(doc_id AS STRING), ' fails.', chr(10), 'Appearances: N. N.')"
+_WORDS = "regexp_replace(coalesce(text, ''), '[^a-z]+', ' ', 'g')"
+
+
+@query("D1_parse_sections", "SELECT doc_id, concat('IN THE HIGH COURT', chr(10), 'Case no: ', CAST(doc_id AS VARCHAR)) AS header, concat('ORDER', chr(10), 'The claim ', CAST(doc_id AS VARCHAR), ' fails.') AS order_text, 'Appearances: N. N.' AS appearances, 0 AS n_null FROM documents")
+def _(t):
+    body = "regexp_replace(coalesce(text, ''), '[^a-z]+', ' ')"
+    out = documents.parse_sections(t["documents"].select("doc_id", F.expr(_D1.format(body, body)).alias("full_text")))
+    return out.select("doc_id", "sections.header", F.col("sections.order").alias("order_text"), "sections.appearances", F.size("sections.null_values").alias("n_null"))
+
+
+def _index_pages(t, links: str):
+    """Landed index pages made from documents: one page per document with the given links."""
+    return t["documents"].select(F.concat(F.lit("https://h/za/index/"), "source", F.lit("/"), "doc_id").alias("url"), F.concat(F.lit("<html><body><p>Index</p>"), F.expr(links), F.lit("</body></html>")).alias("html"))
+
+
+@query("D2_link_targets", "SELECT concat('https://h/za/index/', source, '/', CAST(doc_id AS VARCHAR)) AS url, concat('Case ', CAST(doc_id AS VARCHAR)) AS text, concat('https://h/za/cases/X/', CAST(doc_id AS VARCHAR), '.html') AS target FROM documents")
+def _(t):
+    links = "concat('<a href=\"/za/cases/X/', doc_id, '.html\">Case\n ', doc_id, '</a><a href=\"/za/cases/X/', doc_id, '.html\">again</a><a href=\"/za/cases/a.pdf\">pdf</a><a href=\"/about\">x</a>')"
+    return documents.link_targets(_index_pages(t, links))
+
+
+@query("D3_page_content", "SELECT page_id, 'article' AS container, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) <> '' AS has_lang FROM pages")
+def _(t):
+    read = documents.page_content(t["pages"]).select("url", "container", F.contains("html", F.lit("<html lang=")).alias("has_lang"))
+    return t["pages"].select("page_id", "url").join(read.dropDuplicates(["url"]), "url").select("page_id", "container", "has_lang")
+
+
+@query("D4_harvest_links", "SELECT concat('https://h/za/cases/', source, '/2020/', CAST(doc_id AS VARCHAR), '.html') AS href FROM documents")
+def _(t):
+    return documents.harvest_links(_index_pages(t, "concat('<a href=\"/za/cases/', source, '/2020/', doc_id, '.html\">t</a><a href=\"/za/cases/2020/toc.html\">toc</a><a href=\"/x/y.html\">y</a>')"))
+
+
+@query("D5_discover_datasets", "SELECT DISTINCT concat('https://h/za/cases/', source, '/') AS dataset_url, source AS dataset_name FROM documents")
+def _(t):
+    return documents.discover_datasets(_index_pages(t, "concat('<h3><a href=\"/za/cases/', source, '/\">', source, '</a></h3><a href=\"/za/cases/other/\">o</a><a href=\"/za/\">up</a>')"), "/za/cases/")
+
+
+@query("D5_discover_years", "SELECT concat('https://h/za/index/', source, '/', CAST(doc_id AS VARCHAR)) AS url, CAST(2000 + doc_id % 20 AS VARCHAR) AS year, concat('https://h/za/index/', source, '/', CAST(2000 + doc_id % 20 AS VARCHAR), '/') AS href FROM documents")
+def _(t):
+    return documents.discover_years(_index_pages(t, "concat('<a href=\"', 2000 + doc_id % 20, '/\">', 2000 + doc_id % 20, '/</a><a href=\"a/\">about</a>')"))
+
+
+@query("D6_build_detail", f"{DOC} SELECT source_url, 'cases' AS category, concat(CAST(id AS VARCHAR), '/22') AS dataset_number, full_text IS NULL AND source_url LIKE '%.pdf' AS requires_human_review FROM rec WHERE source_url IS NOT NULL")
+def _(t):
+    content = t.payloads().where("source_url is not null").select(F.col("source_url").alias("url"), F.lit("t").alias("title"), F.when(F.col("full_text").isNotNull(), F.concat(F.lit("Case No: "), "id", F.lit("/22; "), F.col("full_text"))).alias("content"))
+    return documents.build_detail(content).select("source_url", "category", "dataset_number", "requires_human_review")
+
+
+_CITE = "concat('Smith v Jones (', CAST(o_orderkey AS STRING), '/20) [', CAST(year(o_orderdate) AS STRING), '] ZACC ', CAST(o_orderkey % 90 + 1 AS STRING), '; ', CAST(year(o_orderdate) AS STRING), ' (3) SA ', CAST(o_orderkey % 70 + 1 AS STRING), ' (CC) (3 May 2020)')"
+
+
+@query("D7_parse_citations", "SELECT o_orderkey, 'Smith v Jones' AS case_name, concat(CAST(o_orderkey AS VARCHAR), '/20') AS case_number, concat('[', CAST(year(o_orderdate) AS VARCHAR), '] ZACC ', CAST(o_orderkey % 90 + 1 AS VARCHAR)) AS neutral_citation, concat(CAST(year(o_orderdate) AS VARCHAR), ' (3) SA ', CAST(o_orderkey % 70 + 1 AS VARCHAR), ' (CC)') AS report, '2020-05-03' AS decision_date FROM orders")
+def _(t):
+    out = documents.parse_citations(t["orders"].select("o_orderkey", F.expr(_CITE).alias("raw")), "raw")
+    return out.select("o_orderkey", "citation.case_name", "citation.case_number", "citation.neutral_citation", F.array_join("citation.commercial_citations", "|").alias("report"), "citation.decision_date")
+
+
+@query("D8_precedents", "SELECT o_orderkey AS id, 0 AS place, 'u1' AS url, 'Smith v Jones' AS case_name FROM orders UNION ALL SELECT o_orderkey, 1, 'u2', 'Other v Party' FROM orders")
+def _(t):
+    targets = F.array(F.struct(F.lit("smith v jones").alias("text"), F.lit("u1").alias("url")), F.struct(F.lit("Other v Party").alias("text"), F.lit("u2").alias("url")), F.struct(F.lit("v party").alias("text"), F.lit("u3").alias("url")))
+    rows = t["orders"].select(F.col("o_orderkey").alias("id"), F.array(F.expr(_CITE)).alias("citations"), targets.alias("targets"))
+    return documents.precedents(rows).select("id", "place", "url", "citation.case_name")
+
+
+@query("D9_extract_journals", "SELECT doc_id AS id, source AS title, md5(trim(text, ' ' || chr(10))) AS formatted_text FROM documents WHERE text IS NOT NULL AND length(trim(text, ' ' || chr(10))) > 0")
+def _(t):
+    done, _ = documents.extract_journals(t["documents"].select(F.col("doc_id").alias("id"), F.col("source").alias("title"), F.col("text").alias("full_text")))
+    return done.select("id", "title", F.md5("formatted_text").alias("formatted_text"))
+
+
+@query("D10_format_journal")
+def _(t):
+    return documents.format_journal(t["documents"].select("doc_id", F.col("text").alias("formatted_text")))
+
+
+@query("D11_court_roll_rows", "SELECT o_custkey AS id, CAST(o_orderkey AS INT) AS sequence, concat('A v ', o_orderpriority) AS parties, concat(CAST(o_orderkey AS VARCHAR), '/20') AS case_number FROM orders")
+def _(t):
+    line = F.concat(F.col("o_orderkey").cast("string"), F.lit(". A v "), "o_orderpriority", F.lit(" "), F.col("o_orderkey").cast("string"), F.lit("/20 settled"))
+    return documents.court_roll_rows(t["orders"].select(F.col("o_custkey").alias("id"), F.concat(F.lit("ROLL\n"), line).alias("full_text"))).select("id", "sequence", "parties", "case_number")
+
+
+def _sections(t):
+    body = "regexp_replace(coalesce(text, ''), '[^a-z]+', ' ')"
+    return documents.parse_sections(t["documents"].select(F.col("doc_id").alias("id"), F.expr(_D1.format(body, body)).alias("full_text")))
+
+
+@query("D12_extraction_contexts", "SELECT doc_id AS id, unnest(['header', 'body']) AS pass FROM documents")
+def _(t):
+    return documents.extraction_contexts(_sections(t)).select("id", "pass")
+
+
+def _first_words(frames):
+    for pdf in frames:
+        yield pdf.assign(summary=pdf["context"].str.split().str[:3].str.join(" "))[["id", "pass", "summary"]]
+
+
+@query("D13_apply_extractor", "SELECT doc_id AS id, 'header' AS pass, 'IN THE HIGH' AS summary FROM documents")
+def _(t):
+    return documents.apply_extractor(documents.extraction_contexts(_sections(t)).where("pass = 'header'"), _first_words, "id long, pass string, summary string")
+
+
+@query("D14_header_fallback", "SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'Given' ELSE 'Constitutional Court of South Africa' END AS court, c_name AS applicant, false AS requires_human_review FROM customer")
+def _(t):
+    c = t["customer"]
+    res = c.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), F.lit("Given").alias("court"), F.lit("").alias("applicant"), F.lit(None).cast("string").alias("respondent"), F.lit("").alias("judgment_date"))
+    rec = c.select(F.col("c_custkey").alias("id"), F.concat("c_name", F.lit(" v State [2020] ZACC 1 (3 May 2020)")).alias("title"), F.lit("ZACC").alias("target_name"))
+    return documents.header_fallback(res, rec).select("id", "court", "applicant", "requires_human_review")
+
+
+def _passes(t):
+    c = t["customer"]
+    header = c.select(F.col("c_custkey").alias("id"), F.lit("zacc").alias("court"), F.array(F.lit("SMITH J")).alias("judges"), F.lit("3 May 2020").alias("judgment_date"))
+    body = c.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id"), F.lit("Granted").alias("outcome"), F.lit("id 8001015009087").alias("summary"))
+    rec = c.select(F.col("c_custkey").alias("id"), F.lit("E").alias("entity_name"), F.lit("ZACC").alias("target_name"), F.lit("2020-05-03").cast("date").alias("document_date"), F.lit("cases").alias("record_type"), F.lit("A v B (CCT 1/20) [2020] ZACC 1").alias("title"), F.lit("").alias("header"))
+    return rec, header, body
+
+
+@query("D15_merge_passes", "SELECT c_custkey AS id, 'Constitutional Court of South Africa' AS court, 'Smith J' AS judge, '2020-05-03' AS judgment_date, CASE WHEN c_custkey % 3 = 0 THEN 'Granted' ELSE 'Unknown' END AS outcome FROM customer")
+def _(t):
+    _, header, body = _passes(t)
+    return documents.merge_passes(header, body).select("id", "court", F.col("judges")[0].alias("judge"), "judgment_date", "outcome")
+
+
+@query("D16_D17_extract_and_scrub", "SELECT c_custkey AS id, 'CCT 1/20' AS case_number, CASE WHEN c_custkey % 3 = 0 THEN 'id [RSA ID]' ELSE '' END AS summary FROM customer")
+def _(t):
+    done, _ = documents.extract_and_scrub(*_passes(t))
+    return done.select("id", "metadata.case_number", "extracted_data.summary")
+
+
+_TIER = "array<struct<qty:string,price:string>>"
+
+
+def _catalogs(t):
+    m = t.sql(MASTER).withColumn("pricing", F.array(F.struct(F.lit("1").alias("qty"), F.col("price").alias("price")))).drop("price")
+    o = t.sql(OTHER).withColumn("pricing", F.array(F.struct(F.lit("1").alias("qty"), F.col("price").alias("price")))).drop("price")
+    return catalogs.combine_catalogs(m, o)
+
+
+_FIRST_MASTER = "fm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY place) AS k FROM m WHERE stock_code <> '' AND stock_code NOT LIKE '%-MANTECH-EC') WHERE k = 1)"
+
+
+@query("D18_combine_catalogs", f"{CAT}, {_LAST_OTHER}, {_FIRST_MASTER} SELECT fm.place, fm.stock_code, lo.image_url AS image_url2, CASE WHEN lo.compare_at_price IS NULL THEN 2 ELSE 3 END AS n_tiers FROM fm JOIN lo ON lo.part_number = fm.stock_code")
+def _(t):
+    return _catalogs(t)[0].select("place", "stock_code", "image_url2", F.size("pricing").alias("n_tiers"))
+
+
+@query("K7_catalog_remainder", f"{CAT}, {_LAST_OTHER}, {_FIRST_MASTER} SELECT fm.place FROM fm LEFT JOIN lo ON lo.part_number = fm.stock_code WHERE lo.place IS NULL")
+def _(t):
+    return _catalogs(t)[1].select("place")
+
+
+@query("D19_normalise_products", "SELECT p_partkey, concat('https://shop/p/', CAST(p_partkey AS VARCHAR)) AS source_url, printf('R %.2f', p_size / 100.0) AS price FROM part")
+def _(t):
+    raw = t["part"].select(F.concat(F.lit("/p/"), "p_partkey").alias("url"), F.col("p_name").alias("title"), F.col("p_partkey").alias("part_number"), F.col("p_brand").alias("vendor"), F.lit("/i").alias("image"), F.col("p_size").alias("price"), F.lit(None).cast("int").alias("compare_at_price"))
+    return catalogs.normalise_products(raw, "https://shop/").select(F.col("part_number").alias("p_partkey"), "source_url", F.col("pricing")[0]["price"].alias("price"))
+
+
+@query("D20_flatten_judgments", f"{JUD} SELECT id, court, outcome, year(judgment_date) AS y FROM j")
+def _(t):
+    raw = t.judgments().select("id", "court", F.col("division").alias("division_location"), "judge", F.col("judgment_date").cast("string"), "reportable", F.struct(F.lit("a").alias("applicant_plaintiff"), F.lit("b").alias("respondent_defendant")).alias("parties"), F.struct("outcome").alias("r"), "subjects", F.col("id").cast("string").alias("dataset_number"))
+    raw = raw.withColumn("result", F.struct(F.col("r.outcome").alias("outcome_type"), F.lit("").alias("costs_order")))
+    return catalogs.flatten_judgments(raw).select(F.col("dataset_number").cast("long").alias("id"), "court", "outcome", F.year("judgment_date").alias("y"))
+
+
+# --- merges, repairs, sync ---------------------------------------------------
+
+
+@query("M1_upsert_targets", f"WITH tgt AS ({TARGETS}) SELECT entity_name, target_name, CASE WHEN target_name = 'NATION_1' THEN 'Pretoria' ELSE location END AS location FROM tgt UNION ALL SELECT 'X', 'NEW', 'Cape'")
+def _(t):
+    new = t["nation"].where("n_nationkey = 1").join(t["region"], F.expr("n_regionkey = r_regionkey")).select(F.lit(1).alias("place"), F.col("r_name").alias("entity_name"), F.col("n_name").alias("target_name"), F.lit("Pretoria").alias("location"), F.lit(None).cast("string").alias("target_type"))
+    new = new.unionByName(t.spark.createDataFrame([(2, "X", "NEW", "Cape", "court")], "place int, entity_name string, target_name string, location string, target_type string"))
+    return merge.upsert_targets(t.targets(), new).select("entity_name", "target_name", "location")
+
+
+def _now():
+    return F.lit(NOW).cast("timestamp")
+
+
+@query("M2_upsert_records", f"""{DOC}, old AS (SELECT * FROM rec WHERE id % 2 = 0 AND source_url IS NOT NULL), b AS (SELECT * FROM rec WHERE id % 3 = 0 AND source_url IS NOT NULL)
+SELECT coalesce(o.source_url, b.source_url) AS source_url, coalesce(b.status, o.status) AS status, CASE WHEN b.status = 'detailed' THEN {NOW_S} END AS detailed_s, o.id IS NULL AS is_new FROM old o FULL OUTER JOIN b ON o.source_url = b.source_url""")
+def _(t):
+    rec = t.payloads().where("source_url is not null").withColumns({"target_id": F.col("target_name"), "document_date": F.lit(None).cast("date"), "detailed_at": F.lit(None).cast("timestamp"), "place": F.col("id")})
+    old = rec.where("id % 2 = 0").withColumn("id", F.concat(F.lit("old"), "id"))
+    out = merge.upsert_records(old, rec.where("id % 3 = 0"), _now())
+    return out.select("source_url", "status", F.unix_seconds("detailed_at").alias("detailed_s"), (~F.col("id").startswith("old")).alias("is_new"))
+
+
+@query("M3_update_data", f"{DOC} SELECT id, CASE WHEN id % 3 = 0 THEN 'x' ELSE data END AS data, CASE WHEN id % 6 = 0 THEN 'detailed' ELSE status END AS status FROM rec")
+def _(t):
+    rec = t.payloads().withColumn("updated_at", F.lit(None).cast("timestamp"))
+    changes = rec.where("id % 3 = 0").select("id", F.lit("x").alias("data"), F.when(F.col("id") % 6 == 0, "detailed").alias("status"))
+    return merge.update_data(rec, changes, _now()).select("id", "data", "status")
+
+
+@query("M4_upsert_child", f"SELECT doc_id AS extracted_record_id, doc_id % 5 = 0 AS changed, CASE WHEN doc_id % 4 <> 0 THEN 1000 ELSE {NOW_S} END AS created_s FROM documents WHERE doc_id % 4 <> 0 OR doc_id % 5 = 0")
+def _(t):
+    old = t.child("parsed").withColumns({"created_at": F.timestamp_seconds(F.lit(1000)), "updated_at": F.timestamp_seconds(F.lit(1000))})
+    out = merge.upsert_child(old, t.child("scrubbed"), _now())
+    return out.select("extracted_record_id", (F.col("updated_at") == _now()).alias("changed"), F.unix_seconds("created_at").alias("created_s"))
+
+
+@query("M5_merge_detail", f"{DOC} SELECT id, CASE WHEN id % 3 = 0 THEN 'detailed' ELSE status END AS status, CASE WHEN id % 3 = 0 THEN 'm' END AS more, json_extract_string(data, '$.category') AS category FROM rec")
+def _(t):
+    rec = t.payloads().withColumn("detailed_at", F.lit(None).cast("timestamp"))
+    out = merge.merge_detail(rec, rec.where("id % 3 = 0").select("id", F.lit('{"more":"m"}').alias("data")), _now())
+    return out.select("id", "status", F.get_json_object("data", "$.more").alias("more"), F.get_json_object("data", "$.category").alias("category"))
+
+
+@query("M6_sync_state", "SELECT n_name AS name, 2023 AS last_year, CASE WHEN n_nationkey % 2 = 0 THEN 7 END AS last_month FROM nation")
+def _(t):
+    n = t["nation"]
+    out = merge.sync_state(n.select(F.col("n_name").alias("name"), F.lit('{"last_year":2020}').alias("state")), n.select(F.col("n_name").alias("name"), F.lit('{"last_year":2023}').alias("state")), n.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("name"), F.lit('{"last_month":7}').alias("state")))
+    return out.select("name", F.get_json_object("state", "$.last_year").cast("int").alias("last_year"), F.get_json_object("state", "$.last_month").cast("int").alias("last_month"))
+
+
+@query("M7_reset_cases", f"{DOC} SELECT id, CASE WHEN id % 10 = 0 THEN false ELSE requires_human_review END AS requires_human_review, CASE WHEN id % 10 <> 0 THEN review_reason END AS review_reason FROM rec")
+def _(t):
+    rec = t.payloads()
+    records, _ = merge.reset_cases(rec, t.child("parsed"), rec.where("id % 10 = 0"), _now())
+    return records.select("id", "requires_human_review", "review_reason")
+
+
+@query("M7_reset_children", "SELECT doc_id AS extracted_record_id FROM documents WHERE doc_id % 4 <> 0 AND doc_id % 10 <> 0")
+def _(t):
+    rec = t.payloads()
+    return merge.reset_cases(rec, t.child("parsed"), rec.where("id % 10 = 0"), _now())[1].select("extracted_record_id")
+
+
+@query("M8_A19_reprocess", "SELECT count(*) AS reprocessed, count(*) AS recovered, CAST(1 AS DOUBLE) AS rate FROM documents")
+def _(t):
+    return agg.recovery_report(merge.recovered(_sections(t)))
+
+
+@query("A22_section_nulls", "SELECT 'order' AS section, count(*) AS n, min(doc_id) AS first_id FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT 'header', count(*), min(doc_id) FROM documents WHERE doc_id % 4 = 0")
+def _(t):
+    null = F.concat(F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("order"))).otherwise(F.array().cast("array<string>")), F.when(F.col("doc_id") % 4 == 0, F.array(F.lit("header"))).otherwise(F.array().cast("array<string>")))
+    return agg.section_nulls(t["documents"].select(F.col("doc_id").alias("id"), null.alias("null_values")))
+
+
+def _numbers(t):
+    n, k = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 4
+    right = F.concat(n, F.lit("/20"))
+    old = F.when(k == 0, None).when(k == 1, "[2020] ZACC 1").when(k == 2, "9/99").otherwise(right)
+    title = F.concat(F.lit("A v B ("), right, F.lit(") [2020] ZACC 1"))
+    return merge.fix_case_numbers(t["orders"].select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("target_name"), title.alias("title"), F.lit("").alias("header"), old.alias("extracted_number"), right.alias("record_number")))
+
+
+_FIXES = "SELECT o_orderkey AS id, o_orderpriority AS target_name, concat(CAST(o_orderkey AS VARCHAR), '/20') AS after, CASE o_orderkey % 4 WHEN 0 THEN 'missing_populated' WHEN 1 THEN 'neutral_replaced' ELSE 'case_number_corrected' END AS fix_type FROM orders WHERE o_orderkey % 4 <> 3"
+
+
+@query("M9_fix_case_numbers", _FIXES)
+def _(t):
+    return _numbers(t).select("id", "target_name", "after", "fix_type")
+
+
+@query("A17_repair_report", f"SELECT target_name, fix_type, count(*) AS n FROM ({_FIXES}) GROUP BY 1, 2")
+def _(t):
+    return agg.repair_report(_numbers(t))
+
+
+@query("T4_preview", f"SELECT id, after FROM ({_FIXES}) ORDER BY id LIMIT 10")
+def _(t):
+    return _numbers(t).orderBy("id").limit(10).select("id", "after")
+
+
+@query("M10_fix_dates", "SELECT o_orderkey AS id, make_date(2020, 5, 3) AS document_date, CASE WHEN o_orderkey % 2 = 0 THEN make_date(2020, 5, 3) ELSE make_date(2001, 1, 1) END AS hearing_date FROM orders")
+def _(t):
+    o = t["orders"]
+    rows = o.select(F.col("o_orderkey").alias("id"), F.lit("t").alias("target_name"), F.lit("A v B (3 May 2020)").alias("title"), F.to_date("o_orderdate").alias("document_date"), F.to_date(F.lit("1999-01-01")).alias("judgment_date"), F.when(F.col("o_orderkey") % 2 == 0, F.to_date(F.lit("1999-01-01"))).otherwise(F.to_date(F.lit("2001-01-01"))).alias("hearing_date"))
+    return merge.fix_dates(rows, "1900-01-01").select("id", "document_date", "hearing_date")
+
+
+@query("M11_fix_courts", "SELECT o_orderkey AS id, 'Constitutional Court of South Africa' AS court, 'Smith J' AS judge FROM orders WHERE o_orderkey % 2 = 0")
+def _(t):
+    even = F.col("o_orderkey") % 2 == 0
+    rows = t["orders"].select(F.col("o_orderkey").alias("id"), F.lit("ZACC").alias("target_name"), F.when(even, "Constitutional Court").otherwise("Constitutional Court of South Africa").alias("court"), F.array(F.lit("Smith J")).alias("judges"))
+    return merge.fix_courts(rows).select("id", "court", F.col("judges")[0].alias("judge"))
+
+
+@query("M12_fix_journals", "SELECT doc_id AS id FROM documents WHERE doc_id % 3 = 0 AND text IS NOT NULL AND trim(text, ' ' || chr(10)) <> ''")
+def _(t):
+    noisy = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("PDF format\n"), text.clean_text("text"))).otherwise(text.clean_text("text"))
+    return merge.fix_journals(t["documents"].where(F.col("text").isNotNull() & (text.strip("text") != "")).select(F.col("doc_id").alias("id"), noisy.alias("formatted_text"))).select("id")
+
+
+@query("M13_migrate_footnotes", f"{DOC} SELECT id, '[1]' AS footnotes FROM rec WHERE id % 6 = 0")
+def _(t):
+    return merge.migrate_footnotes(t.payloads()).select("id", F.get_json_object("data", "$.footnotes").alias("footnotes"))
+
+
+@query("M14_migrate_precedents", "SELECT o_orderkey AS id, concat(CAST(o_orderkey AS VARCHAR), '/20') AS case_number, 'Followed' AS treatment FROM orders")
+def _(t):
+    rows = t["orders"].select(F.col("o_orderkey").alias("id"), F.array(F.create_map(F.lit("citation"), F.expr(_CITE), F.lit("treatment"), F.lit("Followed"))).alias("precedents"))
+    return merge.migrate_precedents(rows).select("id", F.col("precedents")[0]["citation"]["case_number"].alias("case_number"), F.col("precedents")[0]["treatment"].alias("treatment"))
+
+
+@query("M15_fix_pdf_titles", f"{DOC} SELECT id, 'Right (3 May 2020)' AS after, make_date(2020, 5, 3) AS document_date FROM rec WHERE source_url LIKE '%.pdf' AND id % 8 = 0")
+def _(t):
+    rec = filters.pdf_cases(t.payloads()).select("id", "source_url", F.lit("Wrong").alias("title"), F.lit(None).cast("date").alias("document_date"))
+    pages = rec.where("id % 8 = 0").select(F.regexp_replace("source_url", "pdf$", "html").alias("url"), F.lit("Right (3 May 2020)").alias("title"))
+    return merge.fix_pdf_titles(rec, pages).select("id", "after", "document_date")
+
+
+_TO_MASTER = f"""{_STORES}, x AS (SELECT s.id AS sid, m.id AS mid, CASE WHEN m.id IS NULL THEN 'inserted' WHEN s.id IS NOT NULL AND ((m.status <> 'detailed' AND s.status = 'detailed') OR (m.detailed_at IS NULL AND s.detailed_at IS NOT NULL)) THEN 'updated' ELSE 'kept' END AS action, s.status AS ss, m.status AS ms
+FROM (SELECT * FROM s WHERE source_url IS NOT NULL) s FULL OUTER JOIN (SELECT * FROM m WHERE source_url IS NOT NULL) m ON s.source_url = m.source_url UNION ALL SELECT NULL, id, 'kept', NULL, status FROM m WHERE source_url IS NULL)"""
+
+
+@query("M16_sync_to_master", f"{_TO_MASTER} SELECT coalesce(mid, sid) AS id, action, CASE WHEN action = 'kept' THEN ms ELSE ss END AS status FROM x")
+def _(t):
+    return merge.sync_to_master(t.sql(SECONDARY), t.sql(STORE_MASTER)).select("id", "action", "status")
+
+
+@query("A21_sync_report", f"{_TO_MASTER} SELECT action, count(*) AS n FROM x GROUP BY 1")
+def _(t):
+    return agg.sync_report(merge.sync_to_master(t.sql(SECONDARY), t.sql(STORE_MASTER)))
+
+
+@query("M17_sync_to_secondary", f"""{_STORES}, x AS (SELECT m.id AS mid, s.id AS sid, CASE WHEN s.id IS NULL THEN 'inserted' WHEN m.id IS NOT NULL AND (s.status <> m.status OR (m.detailed_at IS NOT NULL AND s.detailed_at IS NULL) OR (m.parsed_at IS NOT NULL AND s.parsed_at IS NULL)) THEN 'updated' ELSE 'kept' END AS action, s.data AS sd
+FROM (SELECT * FROM m WHERE source_url IS NOT NULL) m FULL OUTER JOIN (SELECT * FROM s WHERE source_url IS NOT NULL) s ON s.source_url = m.source_url UNION ALL SELECT NULL, id, 'kept', data FROM s WHERE source_url IS NULL)
+SELECT coalesce(sid, mid) AS id, action, coalesce(sd, '{{}}') AS data FROM x""".replace("'{{}}'", "'{}'"))
+def _(t):
+    return merge.sync_to_secondary(t.sql(STORE_MASTER), t.sql(SECONDARY)).select("id", "action", "data")
+
+
+@query("M18_sync_both", f"{_STORES} SELECT CAST(count(*) AS BIGINT) AS n FROM (SELECT id FROM s UNION SELECT id FROM m WHERE source_url IS NOT NULL)")
+def _(t):
+    return merge.sync(t.sql(SECONDARY), t.sql(STORE_MASTER))[1].agg(F.count("*").alias("n"))
+
+
+@query("M20_backfill_dims", "SELECT DISTINCT lang AS name FROM documents UNION SELECT 'default' UNION SELECT r_name FROM region")
+def _(t):
+    cfg = t["documents"].select(F.when(F.col("doc_id") % 10 == 0, " ").otherwise(F.col("lang")).alias("kind"))
+    return merge.backfill_dims(cfg, t["region"].select(F.col("r_name").alias("name")), "kind", "default")
+
+
+# --- quality ---------------------------------------------------------------
+
+
+@query("Q1_validate", f"{DOC} SELECT id, {NUMBER} IS NOT NULL AS valid FROM rec")
+def _(t):
+    from pyspark.sql import types as T
+
+    good, bad = quality.validate(t.payloads().withColumnRenamed("data", "payload"), T.StructType.fromDDL("category string, dataset_number string"), ["category", "dataset_number"], ["details_scraped_at"])
+    return good.select("id", F.lit(True).alias("valid")).unionAll(bad.select("id", F.lit(False)))
+
+
+@query("Q3_validate_config", "SELECT n_nationkey, n_nationkey % 2 = 0 AS cron_ok FROM nation")
+def _(t):
+    return quality.validate_config(t["nation"].select("n_nationkey", F.when(F.col("n_nationkey") % 2 == 0, "*/5 0 * * 1-5").otherwise("daily").alias("cron"))).select("n_nationkey", "cron_ok")
+
+
+@query("Q4_flag_review", f"{DOC} SELECT id, CASE WHEN id % 3 = 0 THEN true ELSE requires_human_review END AS requires_human_review, CASE WHEN id % 3 = 0 THEN 'why' ELSE review_reason END AS review_reason FROM rec")
+def _(t):
+    rec = t.payloads()
+    return quality.flag_review(rec, rec.where("id % 3 = 0").select("id", F.lit("why").alias("reason")), _now()).select("id", "requires_human_review", "review_reason")
+
+
+@query("Q5_rejects", "SELECT doc_id AS id, 'failed' AS reason FROM documents WHERE doc_id % 4 = 0")
+def _(t):
+    return quality.rejects(t["documents"].select(F.col("doc_id").alias("id")), t.child("parsed").select(F.col("extracted_record_id").alias("id")), "failed")
+
+
+@query("Q6_check_keys", "SELECT 'documents' AS table_name, 0::BIGINT AS n_duplicates UNION ALL SELECT 'texts', count(*) FROM (SELECT text FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+def _(t):
+    return quality.check_keys({"documents": (t["documents"], ["doc_id"]), "texts": (t["documents"], ["text"])})
+
+
+@query("Q7_check_refs", "SELECT 'order-customer' AS link, count(*) AS n_missing FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'line-order', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)")
+def _(t):
+    return quality.check_refs({"order-customer": (t["orders"], "o_custkey", t["customer"], "c_custkey"), "line-order": (t["lineitem"], "l_orderkey", t["orders"], "o_orderkey")})
+
+
+@query("Q8_validate_enquiries", "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'name is required' WHEN 1 THEN 'email is invalid' WHEN 2 THEN 'message is required' END AS problem FROM customer")
+def _(t):
+    k = F.col("c_custkey") % 4
+    rows = t["customer"].select("c_custkey", F.when(k == 0, " ").otherwise(F.col("c_name")).alias("name"), F.when(k == 1, "x").otherwise("a@b.co").alias("email"), F.when(k == 2, None).otherwise("hello").alias("message"))
+    return quality.validate_enquiries(rows).select("c_custkey", "problem")
+
+
+# --- streaming -------------------------------------------------------------
+
+_MARK = "(SELECT epoch_us(max(ts)) - 600000000 FROM events)"
+
+
+@query("ST1_stream_ingest", "SELECT url AS source_url, 'indexed' AS status FROM pages")
+def _(t):
+    from ..streaming.streams import Versions, stream_upsert
+    from ..streaming.tables import landed, shared_folder
+
+    folder = shared_folder(t.spark, "ingest")
+    table = Versions(t.spark, f"{folder}/records", "id string, source_url string, document_date date, target_id string, record_type string, status string, data string, scraped_at timestamp, detailed_at timestamp")
+
+    def land(old, batch):
+        none = F.lit(None)
+        rows = batch.select(F.col("url").alias("source_url"), none.cast("date").alias("document_date"), none.cast("string").alias("target_id"), F.lit("page").alias("record_type"), F.lit("indexed").alias("status"), F.to_json(F.struct("page_id")).alias("data"), F.col("page_id").alias("place"))
+        return merge.upsert_records(old, rows, _now())
+
+    stream_upsert(landed(t.spark, f"{t.dir}/pages.parquet"), table, land, f"{folder}/state").awaitTermination()
+    return table.current().select("source_url", "status")
+
+
+@query("ST2_stream_parse", "SELECT doc_id, 'x' AS order_text FROM documents")
+def _(t):
+    from ..streaming.streams import Versions, stream_upsert
+    from ..streaming.tables import landed, shared_folder
+
+    folder = shared_folder(t.spark, "parse")
+    table = Versions(t.spark, f"{folder}/parsed", "extracted_record_id long, data string, created_at timestamp, updated_at timestamp")
+
+    def parse(old, batch):
+        body = "regexp_replace(coalesce(text, ''), '[^a-z]+', ' ')"
+        cut = documents.parse_sections(batch.select("doc_id", F.expr(_D1.format(body, body)).alias("full_text")))
+        return merge.upsert_child(old, cut.select(F.col("doc_id").alias("extracted_record_id"), F.when(F.contains("sections.order", F.lit("fails.")), "x").alias("data")), _now())
+
+    stream_upsert(landed(t.spark, f"{t.dir}/documents.parquet"), table, parse, f"{folder}/state").awaitTermination()
+    return table.current().select(F.col("extracted_record_id").alias("doc_id"), F.col("data").alias("order_text"))
+
+
+@query("ST3_ST8_stream_redact", f"SELECT doc_id, md5({_SCRUB_SQL.format('text')}) AS text FROM documents")
+def _(t):
+    from ..streaming.streams import stream_redact
+    from ..streaming.tables import landed, run_to_table
+
+    return run_to_table(stream_redact(landed(t.spark, f"{t.dir}/documents.parquet")).select("doc_id", F.md5("text").alias("text")), "redact")
+
+
+@query("ST4_stream_intervals", f"SELECT event_type, epoch_us(ts) // 300000000 * 300 AS start_s, count(*) AS n FROM events GROUP BY 1, 2 HAVING (epoch_us(min(ts)) // 300000000 + 1) * 300000000 <= {_MARK}")
+def _(t):
+    from ..streaming.streams import stream_intervals
+    from ..streaming.tables import landed, run_to_table
+
+    ev = landed(t.spark, f"{t.dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return run_to_table(stream_intervals(ev, "event_type"), "intervals")
+
+
+@query("ST5_stream_uptime", f"""WITH {_GAPS}, n AS (SELECT *, sum(CASE WHEN gap <= 120000000 THEN 0 ELSE 1 END) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS session FROM g),
+s AS (SELECT event_type, session, epoch_us(max(ts)) - epoch_us(min(ts)) AS uptime_us, count(*) - 1 AS active, count(*) AS n, epoch_us(max(ts)) AS last FROM n GROUP BY 1, 2) SELECT event_type, uptime_us, active, n FROM s WHERE last + 120000000 <= {_MARK}""")
+def _(t):
+    from ..streaming.streams import stream_uptime
+    from ..streaming.tables import landed, run_to_table
+
+    ev = landed(t.spark, f"{t.dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return run_to_table(stream_uptime(ev, "event_type"), "uptime")
+
+
+@query("ST6_stream_online")
+def _(t):
+    from ..streaming.streams import stream_online
+    from ..streaming.tables import landed, run_to_table
+
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    ev = landed(t.spark, f"{t.dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return run_to_table(stream_online(ev, "user_id"), "online")
+
+
+@query("ST7_stream_dedupe", "SELECT DISTINCT event_type, user_id FROM events")
+def _(t):
+    from ..streaming.streams import stream_dedupe
+    from ..streaming.tables import landed, run_to_table
+
+    ev = landed(t.spark, f"{t.dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return run_to_table(stream_dedupe(ev, ["event_type", "user_id"], "3650 days").select("event_type", "user_id"), "dedupe")

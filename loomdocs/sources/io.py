@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import schemas
 
@@ -23,7 +22,7 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TABLES[name]).parquet(f"{root}/{name}")
 
 
-def read_catalog(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+def read_catalog(spark: SparkSession, paths: str | list[str], schema: str | None = None) -> DataFrame:
     """S3: product catalogs (JSON arrays), with the file each product came from."""
     reader = spark.read.option("multiLine", True)
     return (reader.schema(schema) if schema else reader).json(paths).withColumn("catalog_file", F.col("_metadata.file_path"))
