@@ -13,7 +13,7 @@ from pyspark.sql.column import Column
 from ._spark import chunks, scratch, tasks_for
 
 #: Pieces in the young half of a worker's cache; at that size it becomes the old half.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 
 
 class PieceEncoder:
@@ -48,14 +48,13 @@ class PieceEncoder:
             old, cache = cache, {}
             self.caches[lead] = cache, old
         new = []
-        for x in pieces:
-            if x not in cache:
-                if x in old:
-                    cache[x] = old[x]
-                elif not x or x[0].isspace() or x[-1].isspace() or "\u180e" in (x[0], x[-1]):
-                    cache[x] = None
-                else:
-                    new.append(x)
+        for x in pieces.difference(cache):
+            if x in old:
+                cache[x] = old[x]
+            elif not x or x[0].isspace() or x[-1].isspace() or "\u180e" in (x[0], x[-1]):
+                cache[x] = None
+            else:
+                new.append(x)
         for at in range(0, len(new), 20_000):
             some = new[at : at + 20_000]
             ids = self._ids("\n".join([lead + x for x in some]))
@@ -69,12 +68,19 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         cut = [[line.split(" ") for line in t.split("\n")] for t in texts]
-        bare = self._learn({line[0] for lines in cut for line in lines}, "")
-        spaced = self._learn({x for lines in cut for line in lines for x in line[1:]}, " ")
+        firsts, rest = set(), set()
+        for lines in cut:
+            for line in lines:
+                firsts.add(line[0])
+                del line[0]
+                rest.update(line)
+        # (the first pieces are cut from the texts again below)
+        bare, spaced = self._learn(firsts, ""), self._learn(rest, " ")
         newline, out = self.newline.tobytes(), []
         for text, lines in zip(texts, cut, strict=True):
             try:
-                out.append(newline.join([b"".join([bare[line[0]], *[spaced[x] for x in line[1:]]]) for line in lines]))
+                heads = [line.partition(" ")[0] for line in text.split("\n")]
+                out.append(newline.join([bare[head] + b"".join(map(spaced.__getitem__, line)) for head, line in zip(heads, lines, strict=True)]))
             except TypeError:  # white space beside white space
                 out.append(self._ids(text).tobytes() if text else b"")
         return out
