@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import edge_text
@@ -116,12 +116,11 @@ def last_hour_intervals(ev: DataFrame, keys: list[str], now: dt.datetime, minute
     return out.select(*keys, "start_s", "n", (F.col("n") * (60 // minutes)).cast("double").alias("rate_per_hour"))
 
 
-def month_windows(spark: SparkSession, years: list[int], resume: tuple[int, int] | None = None) -> DataFrame:
-    """First and last day of every month, from a resume point on."""
-    rows = spark.createDataFrame([(y,) for y in years], "year int")
+def month_windows(years: DataFrame, resume: tuple[int, int] | None = None) -> DataFrame:
+    """First and last day of every month of the given years (year), from a resume point (year, month) on."""
     first = F.explode(F.sequence(F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(1)), F.expr("interval 1 month")))
-    out = rows.select("year", first.alias("first_day")).select("year", F.month("first_day").alias("month"), "first_day", F.last_day("first_day").alias("last_day"))
-    return out if resume is None else out.where(F.struct("year", "month") >= F.struct(F.lit(resume[0]).alias("year"), F.lit(resume[1]).alias("month")))
+    out = years.select("year").distinct().select("year", first.alias("first_day")).select("year", F.month("first_day").alias("month"), "first_day", F.last_day("first_day").alias("last_day"))
+    return out if resume is None else out.where((F.col("year") * 100 + F.col("month")) >= resume[0] * 100 + resume[1])
 
 
 def fallback_sample(rec: DataFrame, recent: DataFrame, key: str, n: int = 1000) -> DataFrame:

@@ -64,6 +64,55 @@ def _(t):
     return read_pages(t.spark, f"{t.dir}/pages.parquet").select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
 
 
+def _round_trip(t, name: str, df, write, read):
+    from ..streaming.tables import shared_folder
+
+    path = shared_folder(t.spark, name)
+    write(df, path)
+    return read(path)
+
+
+_EXPORT = "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders"
+
+for _fmt in ("csv", "parquet", "json"):
+
+    @query({"csv": "K1_K4_export_csv", "parquet": "K2_export_parquet", "json": "K3_export_json"}[_fmt], _EXPORT)
+    def _(t, fmt=_fmt):
+        from ..sources.io import export
+
+        schema = "o_orderkey long, o_orderstatus string, o_orderpriority string"
+        return _round_trip(t, "export", t.sql(_EXPORT), lambda df, p: export(df, f"{p}.{fmt}"), lambda p: t.spark.read.schema(schema).load(f"{p}.{fmt}", format=fmt, header=True))
+
+
+@query("K5_S6_draws", "SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, o_orderpriority AS numbers, count(*) AS n FROM orders GROUP BY 1, 2")
+def _(t):
+    from ..sources.io import read_draws, write_draws
+
+    df = t["orders"].select(F.col("o_orderpriority").alias("Winning Numbers"), F.year("o_orderdate").cast("string").alias("Year"), F.lit("1 May").alias("Date"), F.lit("R 1").alias("Jackpot"), F.lit("Won").alias("Outcome"))
+    read = _round_trip(t, "draws", df, write_draws, lambda p: read_draws(t.spark, p))
+    return read.groupBy(F.col("Year").alias("year"), F.col("Winning Numbers").alias("numbers")).agg(F.count("*").alias("n"))
+
+
+@query("K6_write_metrics", "SELECT event_type AS name, count(*) AS total FROM events GROUP BY 1")
+def _(t):
+    from ..sources.io import write_metrics
+
+    def write(df, path):
+        write_metrics(df.unionAll(df.select(F.lit("obsolete"), "total")), path)
+        write_metrics(df, path)
+
+    df = t["events"].groupBy(F.col("event_type").alias("name")).agg(F.count("*").alias("total"))
+    return _round_trip(t, "metrics", df, write, lambda p: t.spark.read.schema("name string, total long").parquet(p))
+
+
+@query("S2_read_table", f"WITH tgt AS ({TARGETS}) SELECT id, entity_id, target_name FROM tgt")
+def _(t):
+    from ..sources.io import read_table
+
+    df = t.targets().select("id", "entity_id", "target_name", "location", "target_type", F.lit(None).cast("timestamp").alias("created_at"))
+    return _round_trip(t, "lake", df, lambda x, p: x.write.parquet(f"{p}/targets"), lambda p: read_table(t.spark, p, "targets").select("id", "entity_id", "target_name"))
+
+
 @query("K8_publish_pages", f"{DOC} SELECT coalesce(target_name, 'Unknown') AS book, coalesce(CAST(rec_year AS VARCHAR), 'Undated') AS chapter, substr(coalesce(full_text, 'Untitled'), 1, 250) AS page_name, md5(full_text) AS body FROM rec")
 def _(t):
     from ..sources.io import publish_pages
@@ -75,6 +124,12 @@ def _(t):
 # --- filters ---------------------------------------------------------------
 
 
+@query("F1_active_blueprints", "SELECT replace(lower(n_name), '-', '_') AS pipeline_id, concat('scraper ', CAST(n_regionkey AS VARCHAR)) AS scraper_type FROM nation WHERE n_nationkey % 2 = 0")
+def _(t):
+    cfg = t["nation"].select(F.col("n_name").alias("name"), F.concat(F.lit("scraper "), "n_regionkey").alias("scraper_type"), F.lit("judgment").alias("document_type"), (F.col("n_nationkey") % 2 == 0).alias("is_active"))
+    return filters.active_blueprints(cfg).select("pipeline_id", "blueprint.scraper_type")
+
+
 @query("F2_existing_urls", f"{DOC} SELECT source_url FROM rec WHERE record_type = 'en' AND source_url <> ''")
 def _(t):
     return filters.existing_urls(t.payloads(), "en")
@@ -248,6 +303,16 @@ def _(t):
     return joins.resolve_scraper_type(t.payloads().withColumn("entity_name", F.lit(None).cast("string")), lookup).select("id", "scraper_type")
 
 
+_LINKS = "array(named_struct('text', 'smith v jones', 'url', 'u1'), named_struct('text', o_orderpriority, 'url', 'u2'), named_struct('text', substr(o_orderpriority, 3), 'url', 'u3'), named_struct('text', 'x', 'url', 'u2'))"
+
+
+@query("J12_J13_link_targets", "SELECT o_orderkey, 'u1' AS url, 'u2' AS added FROM orders")
+def _(t):
+    targets = F.expr(_LINKS)
+    added = joins.append_uncovered(F.array(F.lit("Smith v Jones (1/20)")), F.array(F.lit("u1")), targets)
+    return t["orders"].select("o_orderkey", joins.attach_url(F.lit("Smith v Jones (1/20)"), targets).alias("url"), F.array_join(F.transform(added, lambda a: a["url"]), ",").alias("added"))
+
+
 @query("J14_companion_titles", f"{DOC} SELECT id, replace(source_url, '.pdf', '.html') AS companion_url FROM rec WHERE source_url LIKE '%.pdf'")
 def _(t):
     pages = t["pages"].select("url", F.col("html").alias("title"))
@@ -398,6 +463,11 @@ def _(t):
     return filters.merge_worklist(rec.where("id % 3 = 0"), rec.where("id % 2 = 0"))
 
 
+@query("W5_month_windows", "WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year FROM orders), m AS (SELECT year, unnest(range(1, 13)) AS month FROM y) SELECT year, CAST(month AS INT) AS month, make_date(year, month, 1) AS first_day, last_day(make_date(year, month, 1)) AS last_day FROM m WHERE year * 100 + month >= 199603")
+def _(t):
+    return agg.month_windows(t["orders"].select(F.year("o_orderdate").alias("year")), (1996, 3))
+
+
 @query("W6_fallback_sample", f"{DOC} SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY target_name ORDER BY scraped_s DESC, id DESC) AS k FROM rec WHERE target_name NOT IN (SELECT target_name FROM rec WHERE id % 50 = 7)) WHERE k <= 20")
 def _(t):
     rec = t.payloads()
@@ -931,6 +1001,20 @@ def _(t):
     return good.select("id", F.lit(True).alias("valid")).unionAll(bad.select("id", F.lit(False)))
 
 
+@query("Q2_D13_generic_schema", f"{DOC} SELECT id, {NUMBER} AS dataset_number FROM rec")
+def _(t):
+    from pyspark.sql import types as T
+
+    whole = T.StructType.fromDDL("metadata struct<a:string>, category string, dataset_number string")
+    return t.payloads().select("id", F.from_json("data", quality.extractor_schema(whole)).alias("p")).select("id", "p.dataset_number")
+
+
+@query("P4_sql_functions", f"SELECT doc_id, md5({_SCRUB_SQL.format('text')}) AS scrubbed, lower(translate(source, ' -', '__')) AS source FROM documents")
+def _(t):
+    documents.register_sql(t.spark)
+    return t["documents"].select("doc_id", F.expr("md5(scrub_text(text))").alias("scrubbed"), F.expr("norm_id(source)").alias("source"))
+
+
 @query("Q3_validate_config", "SELECT n_nationkey, n_nationkey % 2 = 0 AS cron_ok FROM nation")
 def _(t):
     return quality.validate_config(t["nation"].select("n_nationkey", F.when(F.col("n_nationkey") % 2 == 0, "*/5 0 * * 1-5").otherwise("daily").alias("cron"))).select("n_nationkey", "cron_ok")
