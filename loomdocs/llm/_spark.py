@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles at once; a longer text is a step of its own.
 CHUNK_BYTES = 2 << 20
+#: Spark's setting to remove a query's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -29,7 +31,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back; this cuts the lineage."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    # the table stands for the shuffles behind it: let Spark remove their files when it is written
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,17 +9,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import map_texts, materialize, tasks_for
+from ._spark import chunks, map_texts, materialize, tasks_for
 from ._words import gram_hashes, mix, whole_grams, words_of
 
 #: Words of an anchor: a window's anchor is its anchor-sized gram with the least hash.
 ANCHOR = 5
 #: Windows of a segment at most.
 SEGMENT = 64
-#: Words of an index shard, about.
-SHARD_WORDS = 200_000
+#: Bytes of text of an index shard, about.
+SHARD_BYTES = 1_500_000
 #: An anchor in more documents than this has its windows dealt out one by one.
 HOT_ANCHOR = 20_000
+#: Segments that a task remembers at most.
+SEEN_SEGMENTS = 500_000
 
 
 def _window_anchors(hashes: np.ndarray, row_offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,8 +58,12 @@ def shared_anchors(docs: DataFrame, width: int) -> DataFrame:
     return seen.groupBy("doc_id").agg(F.collect_set(F.when(~hot, F.col("anchor"))).alias("anchors"), F.collect_set(F.when(hot, F.col("anchor"))).alias("hot_anchors"))
 
 
-def _emit_segments(batch: pa.RecordBatch, width: int):
-    """Runs of windows under one shared anchor, as word hashes; hot anchors' windows one by one."""
+def _emit_segments(batch: pa.RecordBatch, width: int, seen: dict[int, int]):
+    """Runs of windows under one shared anchor; hot anchors' windows one by one.
+
+    A segment's text comes along only where this task hasn't had it under an
+    id as small (`seen`), so frequent segments are moved once per task.
+    """
     words = words_of(batch.column("text"))
     hashes = words.hashes()
     starts, anchors = _window_anchors(hashes, words.row_offsets, width)
@@ -84,12 +90,24 @@ def _emit_segments(batch: pa.RecordBatch, width: int):
     first = at[heads]
     begin = starts[first]
     raw = hashes.tobytes()
-    content = [raw[a * 8 : (a + n + width - 1) * 8] for a, n in zip(begin.tolist(), sizes.tolist(), strict=True)]
-    ids = np.array([int.from_bytes(hashlib.blake2b(c, digest_size=8).digest(), "little", signed=True) for c in content], np.int64)
+    last = begin + sizes + width - 2
+    ids = np.array([int.from_bytes(hashlib.blake2b(raw[a * 8 : (b + 1) * 8], digest_size=8).digest(), "little", signed=True) for a, b in zip(begin.tolist(), last.tolist(), strict=True)], np.int64)
     key = np.where(is_hot[first], ids.view(np.uint64), anchors[first])
     row = rows[first]
+    documents = batch.column("doc_id").to_numpy()[row]
+    text = words.data.tobytes()
+    content: list[bytes | None] = []
+    if len(seen) > SEEN_SEGMENTS:
+        seen.clear()
+    for segment, document, a, b in zip(ids.tolist(), documents.tolist(), words.starts[begin].tolist(), words.ends[last].tolist(), strict=True):
+        known = seen.get(segment)
+        if known is not None and known <= document:
+            content.append(None)
+        else:
+            seen[segment] = document
+            content.append(text[a:b])
     yield pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(mix(key).astype(np.int64)), batch.column("doc_id").take(pa.array(row)), batch.column("row_key").take(pa.array(row)), pa.array((begin - words.row_offsets[row]).astype(np.int32)), pa.array(content, pa.binary())],
+        [pa.array(ids), pa.array(mix(key).astype(np.int64)), pa.array(documents), batch.column("row_key").take(pa.array(row)), pa.array((begin - words.row_offsets[row]).astype(np.int32)), pa.array(content, pa.binary())],
         ["segment", "key", "doc_id", "row_key", "start", "words"],
     )
 
@@ -165,15 +183,15 @@ def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
-def first_documents(segments: list[bytes], documents: np.ndarray, width: int) -> list[np.ndarray]:
-    """For each window of each segment the least document in which its words start.
+def first_documents(segments: pa.Array, documents: np.ndarray, width: int) -> list[np.ndarray]:
+    """For each window of each segment (text) the least document in which its words start.
 
-    Segments (word hashes) are joined with separators and indexed; each
+    Segments are joined with separators and indexed; each
     window's words are searched backwards, so that its matching statistic
     reaches `width` in the interval found, which holds all its occurrences.
     """
-    sizes = np.array([len(s) // 8 for s in segments])
-    hashes = np.frombuffer(b"".join(segments), np.uint64)
+    words = words_of(segments)
+    sizes, hashes = words.counts, words.hashes()
     kinds, symbols = np.unique(hashes, return_inverse=True)
     ends = np.cumsum(sizes)
     own = np.repeat(np.arange(len(segments)), sizes)
@@ -194,21 +212,31 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     """row_key and the starts of the document's windows that start in a document with a smaller id."""
     spark = docs.sparkSession
     marked = docs.where("doc_id is not null").join(shared_anchors(docs, width), "doc_id")
+
+    def cut(batches):
+        seen: dict[int, int] = {}
+        for batch in batches:
+            for part in chunks(batch):
+                yield from _emit_segments(part, width, seen)
+
     schema = "segment long, key long, doc_id long, row_key long, start int, words binary"
-    found = map_texts(marked.select("doc_id", "row_key", "text", "anchors", "hot_anchors"), lambda b: _emit_segments(b, width), schema)
+    found = marked.select("doc_id", "row_key", "text", "anchors", "hot_anchors").mapInArrow(cut, schema)
     found = materialize(found, "segments")
-    # equal segments meet before the shuffle and count once
-    distinct = found.groupBy("segment", "key").agg(F.min("doc_id").alias("doc_id"), F.max("words").alias("words"))
-    n_words = found.agg(F.sum(F.length("words") / 8)).first()[0] or 0
-    shards = max(tasks_for(spark), int(n_words // SHARD_WORDS) + 1)
-    sharded = distinct.withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
+    texts = found.where("words is not null")
+    n_bytes = texts.agg(F.sum(F.length("words"))).first()[0] or 0
+    shards = max(tasks_for(spark), int(n_bytes // SHARD_BYTES) + 1)
+    sharded = texts.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "segment", "doc_id", "words")
 
     def index(key, table):
-        table = table.combine_chunks()
-        firsts = first_documents(table.column("words").to_pylist(), table.column("doc_id").to_numpy(), width)
+        # equal segments of different tasks count once, with the least document
+        order = np.lexsort((table.column("doc_id").to_numpy(), table.column("segment").to_numpy()))
+        segment = table.column("segment").to_numpy()[order]
+        order = order[np.concatenate([[True], segment[1:] != segment[:-1]])]
+        table = table.take(pa.array(order)).combine_chunks()
+        firsts = first_documents(table.column("words").combine_chunks(), table.column("doc_id").to_numpy(), width)
         return pa.table({"segment": table.column("segment"), "firsts": pa.array(firsts, pa.list_(pa.int64()))})
 
-    firsts = sharded.select("shard", "segment", "doc_id", "words").groupBy("shard").applyInArrow(index, "segment long, firsts array<long>")
+    firsts = sharded.groupBy("shard").applyInArrow(index, "segment long, firsts array<long>")
     hits = found.select("segment", "doc_id", "row_key", "start").join(firsts, "segment")
     hits = hits.select("row_key", F.expr("transform(filter(sequence(0, size(firsts) - 1), i -> firsts[i] < doc_id), i -> i + start)").alias("starts")).where("size(starts) > 0")
     # at most a text's windows for each text
