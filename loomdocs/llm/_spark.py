@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles at once; a longer text is a step of its own.
 CHUNK_BYTES = 2 << 20
@@ -69,8 +68,3 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
                 yield from fn(part)
 
     return df.mapInArrow(run, schema)
-
-
-def null_safe_text(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, so that extra columns of the input can't clash."""
-    return df.select(*[F.col(c) for c in columns])

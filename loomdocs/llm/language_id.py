@@ -20,6 +20,8 @@ TRAIN_DOCS = 2000
 MOST_NODES = 150_000
 #: Distinct words whose code lengths a worker remembers at most.
 CACHE_WORDS = 300_000
+#: Languages at most: those with the most labelled rows.
+MOST_LANGUAGES = 256
 UNKNOWN = "und"
 
 
@@ -175,21 +177,19 @@ def fit_languages(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> ContextT
     MOST_NODES nodes for each string length and language.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    per = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(256).collect()}
+    per = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
     if not per:
         return ContextTrees.fit([], {})
     share = F.create_map(*[x for lang, n in per.items() for x in (F.lit(lang), F.lit(min(1.0, train_docs / n)))])
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).select("lang", "text")
     nodes = map_texts(sample, _node_counts, "lang string, k int, key long, n long").groupBy("k", "key", "lang").agg(F.sum("n").alias("n"))
     nodes = nodes.where((F.col("n") > 1) | (F.col("k") <= 2))
-    langs = sorted(per)
-    counts = {}
-    table = nodes.groupBy("k", "key").pivot("lang", langs).agg(F.first("n"))
-    total = sum((F.coalesce(F.col(f"`{x}`"), F.lit(0)) for x in langs), F.lit(0))
-    table = table.withColumn("n_all", total)
+    langs, counts = sorted(per), {}
+    own = [f"lang_{i}" for i in range(len(langs))]
+    table = nodes.groupBy("k", "key").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(c) for c, x in zip(own, langs, strict=True)], F.sum("n").alias("n_all"))
     got = table.orderBy(F.desc("n_all"), "k", "key").limit(MOST_NODES * (DEPTH + 1)).toArrow()
     ks, keys = got["k"].to_numpy(), got["key"].to_numpy().astype(np.uint64)
-    n = np.stack([got[x].fill_null(0).to_numpy().astype(float) for x in langs], 1)
+    n = np.stack([got[c].to_numpy().astype(float) for c in own], 1)
     for k in range(1, DEPTH + 2):
         at = np.flatnonzero(ks == k)
         at = at[np.argsort(keys[at])]
