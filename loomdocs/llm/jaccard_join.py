@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import chunks, map_texts, materialize
+from ._spark import chunks, discard, map_texts, materialize
 from ._words import gram_hashes, mix, whole_grams, words_of
 from .components import connected_components
 
@@ -102,40 +104,38 @@ def _set_rows(batch: pa.RecordBatch, k: int, percent: int, sketch: np.ndarray):
     prefix = np.where(sizes > 0, sizes + (-percent * sizes) // 100 + 1, 0)
     keep = np.arange(len(grams)) - np.repeat(offsets[:-1], sizes) < np.repeat(prefix, sizes)
     ends = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
+    parity = np.zeros((len(sizes), BITMAP * 64), np.uint8)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    np.bitwise_xor.at(parity, (row, (grams >> np.uint64(11)).astype(np.int64) & (BITMAP * 64 - 1)), 1)
+    bits = np.packbits(parity, axis=1, bitorder="little").view(np.int64)
+    bit_ends = np.arange(0, bits.size + 1, BITMAP, dtype=np.int32)
     yield pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), batch.column("row_key"), pa.array(sizes.astype(np.int32)), pa.array(signatures(grams, offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(grams[keep].astype(np.int64)))],
-        ["doc_id", "row_key", "size", "sig", "prefix"],
-    )
+        [
+            batch.column("doc_id"), batch.column("row_key"), pa.array(sizes.astype(np.int32)), pa.array(signatures(grams, offsets).astype(np.int64)),
+            pa.ListArray.from_arrays(pa.array(bit_ends), pa.array(bits.ravel())), pa.ListArray.from_arrays(pa.array(ends), pa.array(grams[keep].astype(np.int64))),
+        ],
+        ["doc_id", "row_key", "size", "sig", "bits", "prefix"],
+    )
 
 
-def _payload_rows(batch: pa.RecordBatch, k: int, sketch: np.ndarray):
+def _gram_rows(batch: pa.RecordBatch, k: int, sketch: np.ndarray):
     grams, offsets = ordered_sets(batch.column("text"), k, sketch)
-    grams = [np.sort(x) for x in np.split(grams, offsets[1:-1])]
-    parity = np.zeros((len(grams), BITMAP), np.uint64)
-    for i, g in enumerate(grams):
-        bits = np.bincount((g >> np.uint64(11)).astype(np.int64) & (BITMAP * 64 - 1), minlength=BITMAP * 64) & 1
-        parity[i] = np.packbits(bits.astype(np.uint8), bitorder="little").view(np.uint64)
-    flat = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(signatures(flat, offsets).astype(np.int64)), pa.array(np.diff(offsets).astype(np.int32)), pa.FixedSizeListArray.from_arrays(pa.array(parity.ravel().astype(np.int64)), BITMAP).cast(pa.list_(pa.int64())), pa.array([g.tobytes() for g in grams], pa.binary())],
-        ["sig", "size", "bits", "grams"],
-    )
+    yield pa.RecordBatch.from_arrays([pa.array(signatures(grams, offsets).astype(np.int64)), pa.array([np.sort(x).tobytes() for x in np.split(grams, offsets[1:-1])], pa.binary())], ["sig", "grams"])
 
 
-def verified_links(pairs: DataFrame, payload: DataFrame, percent: int) -> DataFrame:
+def verified_links(pairs: DataFrame, light: DataFrame, grams_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Those pairs (a, b) of signatures whose sets reach the similarity.
 
-    First the parity bitmaps: the number of differing bits is a lower bound of
-    the sets' difference, so a pair beyond the largest difference allowed can't
-    link. The rest is intersected exactly.
+    First the parity bitmaps in `light`: the number of differing bits is a lower
+    bound of the sets' difference, so a pair beyond the largest difference
+    allowed can't link. For the rest the sets are made again and intersected.
     """
-    light = payload.select("sig", "size", "bits")
     left, right = (light.select(F.col("sig").alias(x), F.col("size").alias(f"size_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
     differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITMAP)), F.lit(0))
     # |A ^ B| <= (1 - t) / (1 + t) * (|A| + |B|)
     near = pairs.join(left, "a").join(right, "b").where(differ * (100 + percent) <= (F.col("size_a") + F.col("size_b")) * (100 - percent)).select("a", "b")
     near = materialize(near.distinct(), "near")
-    full = payload.select("sig", "grams")
+    full = grams_of(near.select(F.col("a").alias("sig")).unionAll(near.select(F.col("b").alias("sig"))).distinct())
     left, right = (full.select(F.col("sig").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab")
 
     def intersect(batches):
@@ -150,7 +150,10 @@ def verified_links(pairs: DataFrame, payload: DataFrame, percent: int) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     found = near.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b").mapInArrow(intersect, "a long, b long")
-    return materialize(found.distinct(), "links")
+    links = materialize(found.distinct(), "links")
+    discard(full)
+    discard(near)
+    return links
 
 
 def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -180,7 +183,7 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
     sketch = spark.sparkContext.broadcast(frequency_sketch(own, k))  # SLOTS bytes
-    sets = map_texts(own.select("doc_id", "row_key", "text"), lambda b: _set_rows(b, k, percent, sketch.value), "doc_id long, row_key long, size int, sig long, prefix array<long>")
+    sets = map_texts(own.select("doc_id", "row_key", "text"), lambda b: _set_rows(b, k, percent, sketch.value), "doc_id long, row_key long, size int, sig long, bits array<long>, prefix array<long>")
     sets = materialize(sets, "sets")
 
     # one set of each signature; its prefix once
@@ -191,10 +194,12 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     entries = entries.withColumns({"low": F.min("sig").over(same), "high": F.max("sig").over(same), "n": F.count("*").over(same)}).where("low <> high")
     entries = materialize(entries.select("token", "sig", "size", "pos", "n"), "entries")
 
-    met = entries.select("sig").distinct()
-    needed = unique.join(met, "sig", "left_semi").select("row_key").distinct()
-    payload = map_texts(own.join(needed, "row_key", "left_semi").select("text"), lambda b: _payload_rows(b, k, sketch.value), "sig long, size int, bits array<long>, grams binary")
-    payload = materialize(payload.dropDuplicates(["sig", "size"]), "payload")
+    light = unique.select("sig", "size", "bits")
+
+    def grams_of(sigs: DataFrame) -> DataFrame:
+        needed = unique.join(sigs, "sig", "left_semi").select("row_key")
+        return materialize(map_texts(own.join(needed, "row_key", "left_semi").select("text"), lambda b: _gram_rows(b, k, sketch.value), "sig long, grams binary"), "grams")
+
     weight = materialize(entries.groupBy("sig").agg(F.sum("n").alias("weight")), "weights")
 
     sizes_fit = (F.col("size") * 100 >= F.col("l_size") * percent) & (F.col("l_size") * 100 >= F.col("size") * percent)
@@ -207,7 +212,7 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         rank = F.col("weight") if turn == 0 else F.xxhash64("label", F.lit(turn))
         leaders = live.groupBy("token", "block").agg(F.max(F.struct(rank.alias("rank"), "sig", "size", "label")).alias("l")).select("token", "block", F.col("l.sig").alias("l_sig"), F.col("l.size").alias("l_size"), F.col("l.label").alias("l_label"))
         pairs = live.join(leaders, ["token", "block"]).where((F.col("label") != F.col("l_label")) & sizes_fit)
-        found = verified_links(_as_pairs(pairs, "sig", "l_sig"), payload, percent)
+        found = verified_links(_as_pairs(pairs, "sig", "l_sig"), light, grams_of, percent)
         links = found if links is None else links.unionAll(found)
         labels = connected_components(links)
         live = _still_apart(entries, labels).join(weight, "sig")
@@ -220,7 +225,7 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         both = F.least(F.col("size") - F.col("pos"), F.col("l_size") - F.col("l_pos"))
         can = both * (100 + percent) >= (F.col("size") + F.col("l_size")) * percent
         rest = live.join(other, "token").where((F.col("sig") < F.col("l_sig")) & (F.col("label") != F.col("l_label")) & sizes_fit & can)
-        links = links.unionAll(verified_links(_as_pairs(rest, "sig", "l_sig"), payload, percent))
+        links = links.unionAll(verified_links(_as_pairs(rest, "sig", "l_sig"), light, grams_of, percent))
         labels = connected_components(links)
 
     named = sets.select("doc_id", "size", "sig").join(labels, sets.sig == labels.node, "left").withColumn("group", F.coalesce("label", "sig"))
