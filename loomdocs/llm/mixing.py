@@ -12,7 +12,9 @@ PERIOD = 1000
 #: Sources at most; the schedule of a period is computed for all of them together.
 MAX_SOURCES = 256
 #: Rows of a source that are ranked together.
-RANK_ROWS = 20_000
+RANK_ROWS = 2_000
+#: Columns of the result; input columns of these names give way.
+ADDED = ["block", "release", "deadline", "mix_slot", "mix_place"]
 
 
 def _source_key(c):
@@ -86,7 +88,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, block_rows: i
 
     Adds block, release and deadline (in slots of its period), mix_slot (the
     block's place in the mix, gapless from 0), mix_place (row in the block) to
-    all columns of docs. Rank buckets have about RANK_ROWS rows whatever the source, so a
+    the columns of docs; input columns with these names give way. Rank buckets have about RANK_ROWS rows whatever the source, so a
     source with most of the rows is spread over many tasks.
 
     Null sources form a source of their own; sources missing in `weights`, or
@@ -94,8 +96,8 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, block_rows: i
     Null ids and repeated rows are ranked like others. An empty table gives no
     rows. More than MAX_SOURCES sources are an error.
     """
-    columns = docs.columns
-    made = docs.withColumn("source_key", _source_key(source_col)).withColumn("id_hash", F.xxhash64(F.col(id_col)))
+    kept = [c for c in docs.columns if c not in ADDED]
+    made = docs.select(F.struct(*docs.columns).alias("mixed_row"), _source_key(source_col).alias("source_key"), F.xxhash64(F.col(id_col)).alias("id_hash"))
     total = made.count()
     buckets = max(1, -(-total // RANK_ROWS))
     made = made.withColumn("rank_bucket", F.pmod(F.col("id_hash"), F.lit(buckets)))
@@ -104,7 +106,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, block_rows: i
     per = per.withColumn("rows_before", F.coalesce(F.sum("rows").over(ahead), F.lit(0))).drop("rows")
     sources = source_table(made, weights, block_rows, power)
     schedule = period_schedules(sources)
-    inside = Window.partitionBy("source_key", "rank_bucket").orderBy("id_hash", id_col)
+    inside = Window.partitionBy("source_key", "rank_bucket").orderBy("id_hash", F.col("mixed_row")[id_col])
     ranked = made.withColumn("own", F.row_number().over(inside)).join(per, ["source_key", "rank_bucket"]).withColumn("rank", F.col("rows_before") + F.col("own") - 1)
     ranked = ranked.withColumn("block", F.expr(f"rank div {block_rows}")).withColumn("mix_place", F.col("rank") % block_rows)
     ends = sources.agg(F.collect_set("e").alias("ends"))
@@ -114,7 +116,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, block_rows: i
     ranked = ranked.withColumn("until", F.array_min(F.filter("ends", lambda e: e > F.col("period"))))
     mixed = ranked.join(F.broadcast(schedule), ["until", "source_key", "j"])
     slot = F.col("base") + (F.col("period") - F.col("since")) * F.col("q") + F.when(F.col("period") == F.col("until") - 1, F.col("last_slot")).otherwise(F.col("slot"))
-    return mixed.select(*columns, "block", F.col("release"), F.col("due").alias("deadline"), slot.alias("mix_slot"), "mix_place")
+    return mixed.select(*[F.col("mixed_row")[c].alias(c) for c in kept], "block", F.col("release"), F.col("due").alias("deadline"), slot.alias("mix_slot"), "mix_place")
 
 
 def in_mix_order(mixed: DataFrame) -> DataFrame:

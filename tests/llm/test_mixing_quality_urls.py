@@ -32,6 +32,13 @@ def test_mix_keeps_every_row_and_the_weights(spark):
     assert all(p == set(range(len(p))) for p in places.values())
 
 
+def test_mix_with_clashing_columns(spark):
+    rows = [(i, "a" if i % 3 else "b", i, "w", "x") for i in range(200)]
+    got = mix_sources(spark.createDataFrame(rows, "doc_id long, source string, block int, w string, rank string"), block_rows=8)
+    assert got.columns == ["doc_id", "source", "w", "rank", "block", "release", "deadline", "mix_slot", "mix_place"]
+    assert sorted((r["doc_id"], r["source"], r["w"], r["rank"]) for r in got.collect()) == sorted((r[0], r[1], r[3], r[4]) for r in rows)
+
+
 def test_mix_of_nothing(spark):
     assert mix_sources(spark.createDataFrame([], "doc_id long, source string")).collect() == []
 
