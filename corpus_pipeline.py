@@ -25,8 +25,8 @@ LEAST_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or with no clear language, go."""
     trees = fit_languages(docs.where(~held_out()))
-    predicted = predict_languages(docs, trees, docs.columns)
-    return predicted.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    predicted = predict_languages(docs, trees, docs.columns, ("stage_language", "stage_score"))
+    return predicted.where((F.col("stage_language") != UNKNOWN) & (F.col("stage_score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
