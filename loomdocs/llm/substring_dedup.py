@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import chunks, map_texts, materialize, tasks_for
+from ._spark import chunks, discard, map_texts, materialize, small_batches, tasks_for
 from ._words import gram_hashes, mix, whole_grams, words_of
 
 #: Words of an anchor: a window's anchor is its anchor-sized gram with the least hash.
@@ -220,11 +220,11 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
                 yield from _emit_segments(part, width, seen)
 
     schema = "segment long, key long, doc_id long, row_key long, start int, words binary"
-    found = marked.select("doc_id", "row_key", "text", "anchors", "hot_anchors").mapInArrow(cut, schema)
+    found = small_batches(marked.select("doc_id", "row_key", "text", "anchors", "hot_anchors")).mapInArrow(cut, schema)
     found = materialize(found, "segments")
     texts = found.where("words is not null")
     n_bytes = texts.agg(F.sum(F.length("words"))).first()[0] or 0
-    shards = max(tasks_for(spark), int(n_bytes // SHARD_BYTES) + 1)
+    shards = max(4 * tasks_for(spark), int(n_bytes // SHARD_BYTES) + 1)
     sharded = texts.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "segment", "doc_id", "words")
 
     def index(key, table):
@@ -240,7 +240,9 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     hits = found.select("segment", "doc_id", "row_key", "start").join(firsts, "segment")
     hits = hits.select("row_key", F.expr("transform(filter(sequence(0, size(firsts) - 1), i -> firsts[i] < doc_id), i -> i + start)").alias("starts")).where("size(starts) > 0")
     # at most a text's windows for each text
-    return hits.groupBy("row_key").agg(F.flatten(F.collect_set("starts")).alias("starts"))
+    removed = materialize(hits.groupBy("row_key").agg(F.flatten(F.collect_set("starts")).alias("starts")), "removed")
+    discard(found)
+    return removed
 
 
 def remove_repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
