@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step handles at once; a longer text is a step of its own.
 CHUNK_BYTES = 2 << 20
+#: Rows of an Arrow batch.
+BATCH_ROWS = 500
 #: Spark's setting to remove a query's shuffle files at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -67,6 +69,12 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES)
     yield from chunks(batch.slice(half), text, limit)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with Arrow batches of few rows from here on in its session: texts make batches large."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str, text: str = "text") -> DataFrame:
     """Apply fn to small Arrow batches of df, in parallel, without a shuffle."""
 
@@ -75,4 +83,4 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
             for part in chunks(batch, text):
                 yield from fn(part)
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)

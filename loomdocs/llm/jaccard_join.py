@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import chunks, discard, map_texts, materialize
+from ._spark import chunks, discard, map_texts, materialize, small_batches
 from ._words import gram_hashes, mix, whole_grams, words_of
 from .components import connected_components
 
@@ -62,7 +62,7 @@ def frequency_sketch(docs: DataFrame, k: int) -> np.ndarray:
         levels = np.log2(np.maximum(total, 1)).astype(np.uint8)
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([levels.tobytes()], pa.binary())})
 
-    rows = docs.select("text").mapInArrow(count, "block int, counts binary")
+    rows = small_batches(docs.select("text")).mapInArrow(count, "block int, counts binary")
     sketch = np.zeros(SLOTS, np.uint8)
     for row in rows.groupBy("block").applyInArrow(add, "block int, counts binary").collect():  # SLOTS bytes
         sketch[row["block"] * SLOT_BLOCK :][:SLOT_BLOCK] = np.frombuffer(row["counts"], np.uint8)

@@ -19,7 +19,7 @@ TRAIN_DOCS = 2000
 #: Contexts-with-symbol that a tree keeps at most per length: the most frequent ones.
 MOST_NODES = 150_000
 #: Distinct words whose code lengths a worker remembers at most.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: Languages at most: those with the most labelled rows.
 MOST_LANGUAGES = 256
 UNKNOWN = "und"
@@ -197,8 +197,8 @@ def fit_languages(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> ContextT
     return ContextTrees.fit(langs, counts)
 
 
-def predict_languages(docs: DataFrame, trees: ContextTrees, keep: list[str]) -> DataFrame:
-    """Add lang_pred and score (the language's probability, all equally likely beforehand) to `keep` columns."""
+def predict_languages(docs: DataFrame, trees: ContextTrees, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Add the predicted language and its probability (all equally likely beforehand), under `names`, to `keep` columns."""
     source = docs.select(*keep, *(["text"] if "text" not in keep else []))
     shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by MOST_NODES
 
@@ -214,10 +214,10 @@ def predict_languages(docs: DataFrame, trees: ContextTrees, keep: list[str]) ->
             odds = np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
             for i, lang, s in zip(asked, first, 1 / odds, strict=True):
                 pred[i], best[i] = model.langs[lang], s
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(pred, pa.string()), pa.array(best)], [*keep, "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(pred, pa.string()), pa.array(best)], [*keep, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema)
-    return map_texts(source, score, f"{fields}, lang_pred string, score double")
+    return map_texts(source, score, f"{fields}, `{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from ._spark import chunks, scratch, tasks_for
+from ._spark import chunks, scratch, small_batches, tasks_for
 
 #: Pieces in the young half of a worker's cache; at that size it becomes the old half.
 CACHE_PIECES = 500_000
@@ -116,7 +116,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, keep: list[str]) -> D
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(lengths), ids], [*keep, "n_tokens", "ids"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", n_tokens long, ids array<int>"
-    return source.mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(run, schema)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, order: list[str] | None = None, stripe_bytes: int = 64 << 20, index_rows: int = 1000) -> None:
