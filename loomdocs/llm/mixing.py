@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import heapq
+import math
+from bisect import bisect_right
+from collections.abc import Iterator
+from functools import cmp_to_key
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import tasks_for
+from ._spark import scratch, tasks_for
 
-#: Slots of a full scheduling period: target weights are whole numbers of slots in it.
-PERIOD = 1000
-#: Sources at most; the schedule of a period is computed for all of them together.
+#: Share of the given weights that a source without a weight of its own gets.
+LEAST_SHARE = 0.001
+#: Sources at most.
 MAX_SOURCES = 256
 #: Rows of a source that are ranked together.
 RANK_ROWS = 2_000
+#: Slots of the schedule that the driver holds at once.
+SCHEDULE_ROWS = 100_000
 #: Columns of the result; input columns of these names give way.
 ADDED = ["block", "release", "deadline", "mix_slot", "mix_place"]
 
@@ -22,57 +32,92 @@ def _source_key(c):
 
 
 def source_table(docs: DataFrame, weights: DataFrame | None, block_rows: int, power: float) -> DataFrame:
-    """One row per source: blocks, slots per period `w`, and periods until it ends `e`."""
+    """One row per source: its blocks and its weight (null or not above 0: none given)."""
     counts = docs.groupBy("source_key").agg(F.count("*").alias("n"))
     if weights is None:
         asked = counts.select("source_key", F.pow(F.col("n"), F.lit(power)).alias("weight"))
     else:
         asked = weights.select(_source_key("source").alias("source_key"), F.col("weight").cast("double")).groupBy("source_key").agg(F.sum("weight").alias("weight"))
-    both = counts.join(asked, "source_key", "left").withColumn("weight", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)))
-    # At most MAX_SOURCES rows from here on.
-    whole = Window.partitionBy(F.lit(1))
-    both = both.withColumn("share", F.col("weight") / F.nullif(F.sum("weight").over(whole), F.lit(0.0)))
-    both = both.withColumn("sources", F.count("*").over(whole)).where(F.when(F.col("sources") <= MAX_SOURCES, True).otherwise(F.raise_error(F.lit(f"more than {MAX_SOURCES} sources"))))
-    w = F.greatest(F.lit(1), F.round(F.coalesce("share", F.lit(0.0)) * PERIOD)).cast("long")
     blocks = F.ceil(F.col("n") / block_rows)
-    return both.select("source_key", blocks.alias("blocks"), w.alias("w")).withColumn("e", F.ceil(F.col("blocks") / F.col("w")))
+    return counts.join(asked, "source_key", "left").select("source_key", blocks.alias("blocks"), "weight").orderBy("source_key")
 
 
-def period_schedules(sources: DataFrame) -> DataFrame:
-    """Earliest-deadline-first schedules: one per phase, that is per set of sources not yet at their end.
+def whole_weights(weights: list[float | None]) -> list[int]:
+    """The same weights as whole numbers, without any rounding of the given ones."""
+    given = [w if w is not None and math.isfinite(w) and w > 0 else None for w in weights]
+    ratios = [w.as_integer_ratio() if w else None for w in given]
+    scale = max((r[1] for r in ratios if r), default=1)  # denominators are powers of two
+    whole = [r[0] * (scale // r[1]) if r else 0 for r in ratios]
+    per = round(1 / LEAST_SHARE)
+    return [w * per or max(1, sum(whole)) for w in whole]
 
-    In a period of q slots (q: the sum of the active weights w), block j of a
-    source is released at floor(j q / w) and due at ceil((j + 1) q / w). Each
-    slot takes, of the released blocks, the one due first (ties: by source).
-    Returns phase, source_key, j, release, due, slot, and from the phase's last
-    period, where sources may end early: last_slot. Plus the phase's base.
+
+def slots_in_order(blocks: list[int], weights: list[int]) -> Iterator[tuple[int, int, int, int]]:
+    """Source, block, release and deadline of each slot: earliest deadline first, in whole numbers.
+
+    With every source served at its weight until its last block, S(v) slots have
+    passed when a source of weight w has had v w blocks: S is the sum of
+    min(w v, blocks), a line between the sources' ends. Block j is released at
+    floor(S(j / w)) and due at ceil(S((j + 1) / w)). Each slot takes, of the
+    released blocks, the one due first (ties: by source), which meets all
+    deadlines, as serving every source by its share in every slot would.
+    """
+    n = len(blocks)
+    ends = sorted(range(n), key=lambda i: blocks[i] / weights[i])
+    ends.sort(key=cmp_to_key(lambda a, b: blocks[a] * weights[b] - blocks[b] * weights[a]))
+    at = [blocks[i] / weights[i] for i in ends]
+    ended, active = [0], [sum(weights)]  # blocks of the ended sources, weight of the others
+    for i in ends:
+        ended.append(ended[-1] + blocks[i])
+        active.append(active[-1] - weights[i])
+
+    def passed(j: int, w: int) -> tuple[int, int]:
+        k = bisect_right(at, j / w)
+        while k < n and blocks[ends[k]] * w <= j * weights[ends[k]]:
+            k += 1
+        while k and blocks[ends[k - 1]] * w > j * weights[ends[k - 1]]:
+            k -= 1
+        whole, rest = divmod(active[k] * j, w)
+        return ended[k] + whole, ended[k] + whole + (rest > 0)
+
+    done, released = [0] * n, [0] * n
+    coming, ready = [(0, i) for i in range(n)], []
+    following = [0] * n  # release of the source's next block
+    t = 0
+    while coming or ready:
+        while coming and coming[0][0] <= t:
+            release, i = heapq.heappop(coming)
+            released[i] = release
+            following[i], due = passed(done[i] + 1, weights[i])
+            heapq.heappush(ready, (due, i))
+        due, i = heapq.heappop(ready)
+        yield i, done[i], released[i], due
+        done[i] += 1
+        if done[i] < blocks[i]:
+            heapq.heappush(coming, (following[i], i))
+        t += 1
+
+
+def block_schedule(sources: DataFrame) -> DataFrame:
+    """source_key, block, release, deadline and mix_slot of every block, as a scratch table.
+
+    The driver holds a row per source and SCHEDULE_ROWS slots at once; blocks
+    are numbers to it, rows of the input never get there.
     """
-    one = sources.agg(F.sort_array(F.collect_list(F.struct("source_key", "w", "e", "blocks"))).alias("every"))
-    phases = one.select("every", F.explode(F.array_distinct(F.transform("every", lambda x: x.e))).alias("until"))
-    phases = phases.select("until", F.filter("every", lambda x: x.e >= F.col("until")).alias("s"), F.coalesce(F.array_max(F.filter(F.transform("every", lambda x: x.e), lambda e: e < F.col("until"))), F.lit(0)).alias("since"))
-    phases = phases.withColumn("q", F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + x.w))
-    phases = phases.withColumn(
-        "picked",
-        F.expr("""
-        aggregate(
-          sequence(0L, q - 1),
-          named_struct('done', transform(s, x -> 0L), 'picked', cast(array() as array<int>)),
-          (state, t) -> transform(array(
-              array_min(transform(
-                filter(sequence(0, size(s) - 1), i -> state.done[i] < s[i].w and (state.done[i] * q) div s[i].w <= t),
-                i -> named_struct('due', ((state.done[i] + 1) * q + s[i].w - 1) div s[i].w, 'i', i))).i
-            ), pick -> named_struct('done', transform(state.done, (n, i) -> if(i = pick, n + 1, n)), 'picked', concat(state.picked, array(pick))))[0],
-          state -> state.picked)"""),
-    )
-    slots = phases.select("until", "since", "q", F.posexplode("picked").alias("slot", "i"), "s").select("until", "since", "q", "slot", F.col("s")[F.col("i")].alias("x"))
-    slots = slots.select("until", "since", "q", F.col("slot").cast("long").alias("slot"), "x.source_key", "x.w", (F.col("x.e") == F.col("until")).alias("ends"), (F.col("x.blocks") - (F.col("x.e") - 1) * F.col("x.w")).alias("left"))
-    slots = slots.withColumn("j", F.row_number().over(Window.partitionBy("until", "source_key").orderBy("slot")).cast("long") - 1)
-    there = (~F.col("ends") | (F.col("j") < F.col("left"))).cast("long")
-    slots = slots.withColumn("last_slot", F.coalesce(F.sum(there).over(Window.partitionBy("until").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    slots = slots.withColumn("last_size", F.sum(there).over(Window.partitionBy("until")))
-    sizes = slots.groupBy("until").agg(F.max((F.col("until") - F.col("since") - 1) * F.col("q") + F.col("last_size")).alias("size"))
-    bases = sizes.select("until", F.coalesce(F.sum("size").over(Window.orderBy("until").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    return slots.join(bases, "until").select("until", "since", "q", "source_key", "j", "slot", "last_slot", "base", (F.expr("(j * q) div w")).alias("release"), F.expr("((j + 1) * q + w - 1) div w").alias("due"))
+    spark = sources.sparkSession
+    got = sources.toArrow()
+    keys, blocks = got["source_key"].to_pylist(), got["blocks"].to_pylist()
+    if len(keys) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
+    slots = slots_in_order(blocks, whole_weights(got["weight"].to_pylist()))
+    schema, path, first = "source_key string, block long, release long, deadline long, mix_slot long", scratch(spark, "slots"), 0
+    while part := list(islice(slots, SCHEDULE_ROWS)):
+        source, *numbers = zip(*part, strict=True)
+        columns = [pa.array([keys[i] for i in source], pa.string()), *[pa.array(x, pa.int64()) for x in numbers], pa.array(range(first, first + len(part)), pa.int64())]
+        table = pa.table(columns, ["source_key", "block", "release", "deadline", "mix_slot"])
+        spark.createDataFrame(table).coalesce(1).write.mode("append").parquet(path)
+        first += len(part)
+    return spark.read.schema(schema).parquet(path) if first else spark.createDataFrame([], schema)
 
 
 def mix_sources(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = 32, power: float = 0.5, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
@@ -83,16 +128,17 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, block_rows: i
     their id, form blocks of `block_rows` (the last may be shorter). Blocks get
     release times and deadlines from the weight and are taken earliest deadline
     first: after every slot, each active source has had its weighted share to
-    within less than one block. When a source has no blocks left, the others go
-    on with their weights among themselves, so every row has its place.
+    within less than one block, however long the mix. Weights are taken exactly.
+    When a source has no blocks left, the others go on with their weights among
+    themselves, so every row has its place.
 
-    Adds block, release and deadline (in slots of its period), mix_slot (the
+    Adds block, release and deadline (in slots of the whole mix), mix_slot (the
     block's place in the mix, gapless from 0), mix_place (row in the block) to
     the columns of docs; input columns with these names give way. Rank buckets have about RANK_ROWS rows whatever the source, so a
     source with most of the rows is spread over many tasks.
 
     Null sources form a source of their own; sources missing in `weights`, or
-    with a weight of 0, null or less, get the least weight (1 of PERIOD slots).
+    with a weight of 0, null or less, get LEAST_SHARE of the sum of the others.
     Null ids and repeated rows are ranked like others. An empty table gives no
     rows. More than MAX_SOURCES sources are an error.
     """
@@ -103,20 +149,15 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, block_rows: i
     made = made.withColumn("rank_bucket", F.pmod(F.col("id_hash"), F.lit(buckets)))
     per = made.groupBy("source_key", "rank_bucket").agg(F.count("*").alias("rows"))
     ahead = Window.partitionBy("source_key").orderBy("rank_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("rows_before", F.coalesce(F.sum("rows").over(ahead), F.lit(0))).drop("rows")
-    sources = source_table(made, weights, block_rows, power)
-    schedule = period_schedules(sources)
+    per = per.withColumn("rows_before", F.coalesce(F.sum("rows").over(ahead), F.lit(0)))
+    schedule = block_schedule(source_table(made, weights, block_rows, power))
+    # A rank bucket gets the slots of its blocks as one array, so rows move only once.
+    held = per.withColumn("block", F.explode(F.expr(f"sequence(rows_before div {block_rows}, (rows_before + rows - 1) div {block_rows})")))
+    held = held.join(schedule, ["source_key", "block"]).groupBy("source_key", "rank_bucket").agg(F.first("rows_before").alias("rows_before"), F.sort_array(F.collect_list(F.struct("block", "release", "deadline", "mix_slot"))).alias("held"))
     inside = Window.partitionBy("source_key", "rank_bucket").orderBy("id_hash", F.col("mixed_row")[id_col])
-    ranked = made.withColumn("own", F.row_number().over(inside)).join(per, ["source_key", "rank_bucket"]).withColumn("rank", F.col("rows_before") + F.col("own") - 1)
-    ranked = ranked.withColumn("block", F.expr(f"rank div {block_rows}")).withColumn("mix_place", F.col("rank") % block_rows)
-    ends = sources.agg(F.collect_set("e").alias("ends"))
-    # At most MAX_SOURCES rows, and at most MAX_SOURCES schedules of about PERIOD + MAX_SOURCES slots.
-    known = F.broadcast(sources.select("source_key", "w").crossJoin(F.broadcast(ends)))
-    ranked = ranked.join(known, "source_key").withColumn("period", F.expr("block div w")).withColumn("j", F.col("block") % F.col("w"))
-    ranked = ranked.withColumn("until", F.array_min(F.filter("ends", lambda e: e > F.col("period"))))
-    mixed = ranked.join(F.broadcast(schedule), ["until", "source_key", "j"])
-    slot = F.col("base") + (F.col("period") - F.col("since")) * F.col("q") + F.when(F.col("period") == F.col("until") - 1, F.col("last_slot")).otherwise(F.col("slot"))
-    return mixed.select(*[F.col("mixed_row")[c].alias(c) for c in kept], "block", F.col("release"), F.col("due").alias("deadline"), slot.alias("mix_slot"), "mix_place")
+    ranked = made.withColumn("own", F.row_number().over(inside)).join(held, ["source_key", "rank_bucket"]).withColumn("rank", F.col("rows_before") + F.col("own") - 1)
+    ranked = ranked.withColumn("x", F.expr(f"held[cast(rank div {block_rows} - held[0].block as int)]")).withColumn("mix_place", F.col("rank") % block_rows)
+    return ranked.select(*[F.col("mixed_row")[c].alias(c) for c in kept], "x.block", "x.release", "x.deadline", "x.mix_slot", "mix_place")
 
 
 def in_mix_order(mixed: DataFrame) -> DataFrame:

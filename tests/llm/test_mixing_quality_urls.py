@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from loomdocs.llm.mixing import mix_sources
+from loomdocs.llm.mixing import mix_sources, slots_in_order, whole_weights
 from loomdocs.llm.quality import quality_verdicts, text_metrics
 from loomdocs.llm.url_filters import HOST_RULES, PATTERN_RULES, pattern_regex, pattern_tokens, url_verdicts
 
@@ -32,6 +32,53 @@ def test_mix_keeps_every_row_and_the_weights(spark):
     assert all(p == set(range(len(p))) for p in places.values())
 
 
+def worst_deviation(order, blocks, weights):
+    """Most blocks that any source was off the share that its weight among the active sources gives it."""
+    done, wanted, worst = [0] * len(blocks), [0.0] * len(blocks), 0.0
+    for i in order:
+        room = 1.0  # a slot is shared by the active sources; one may end within it
+        while room > 1e-9:
+            active = [k for k, b in enumerate(blocks) if wanted[k] < b - 1e-9]
+            if not active:
+                break
+            total = sum(weights[k] for k in active)
+            step = min([room] + [(blocks[k] - wanted[k]) * total / weights[k] for k in active])
+            for k in active:
+                wanted[k] += step * weights[k] / total
+            room -= step
+        done[i] += 1
+        worst = max(worst, max(abs(d - x) for d, x in zip(done, wanted, strict=True)))
+    assert done == list(blocks)
+    return worst
+
+
+def test_mix_keeps_uneven_weights_over_a_long_mix():
+    for blocks, weights in [
+        ([6667] + [701] * 19, [(6667 * 32) ** 0.5] + [(701 * 32) ** 0.5] * 19),
+        ([3000, 2000, 3, 40], [0.61803, 0.38196, 1e-5, 0.0007]),
+        ([400 + 7 * i for i in range(30)], [1 / (i + 1.7) for i in range(30)]),
+    ]:
+        slots = list(slots_in_order(blocks, whole_weights(weights)))
+        assert worst_deviation([x[0] for x in slots], blocks, weights) < 1
+        assert all(release <= t < due for t, (_, _, release, due) in enumerate(slots))
+
+
+def test_mix_of_uneven_sources(spark):
+    sizes = {"hot": 30_000, **{f"s{i}": 2_500 for i in range(7)}}
+    weights = {"hot": 0.2771, "s0": 0.1003, **{f"s{i}": 0.10377 for i in range(1, 6)}, "s6": 1e-4}
+    rows = [(1000_000 * k + i, s) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    got = mix_sources(spark.createDataFrame(rows, "doc_id long, source string"), spark.createDataFrame(list(weights.items()), "source string, weight double"), block_rows=4).collect()
+    assert sorted((r["doc_id"], r["source"]) for r in got) == sorted(rows)
+    names = list(sizes)
+    order = [names.index(s) for _, s in sorted({(r["mix_slot"], r["source"]) for r in got})]
+    assert worst_deviation(order, [-(-n // 4) for n in sizes.values()], list(weights.values())) < 1
+
+
+def test_weights_are_whole_and_exact():
+    assert whole_weights([0.5, 0.25, None]) == [2000, 1000, 3]
+    assert whole_weights([0.0, -1.0, float("nan"), float("inf")]) == [1, 1, 1, 1]
+
+
 def test_mix_with_clashing_columns(spark):
     rows = [(i, "a" if i % 3 else "b", i, "w", "x") for i in range(200)]
     got = mix_sources(spark.createDataFrame(rows, "doc_id long, source string, block int, w string, rank string"), block_rows=8)
