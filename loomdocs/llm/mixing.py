@@ -17,8 +17,6 @@ from ._spark import scratch, tasks_for
 
 #: Share of the given weights that a source without a weight of its own gets.
 LEAST_SHARE = 0.001
-#: Sources at most.
-MAX_SOURCES = 256
 #: Rows of a source that are ranked together.
 RANK_ROWS = 2_000
 #: Slots of the schedule that the driver holds at once.
@@ -107,8 +105,6 @@ def block_schedule(sources: DataFrame) -> DataFrame:
     spark = sources.sparkSession
     got = sources.toArrow()
     keys, blocks = got["source_key"].to_pylist(), got["blocks"].to_pylist()
-    if len(keys) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
     slots = slots_in_order(blocks, whole_weights(got["weight"].to_pylist()))
     schema, path, first = "source_key string, block long, release long, deadline long, mix_slot long", scratch(spark, "slots"), 0
     while part := list(islice(slots, SCHEDULE_ROWS)):
@@ -140,7 +136,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, block_rows: i
     Null sources form a source of their own; sources missing in `weights`, or
     with a weight of 0, null or less, get LEAST_SHARE of the sum of the others.
     Null ids and repeated rows are ranked like others. An empty table gives no
-    rows. More than MAX_SOURCES sources are an error.
+    rows. Any number of sources goes; the driver holds a row for each.
     """
     kept = [c for c in docs.columns if c not in ADDED]
     made = docs.select(F.struct(*docs.columns).alias("mixed_row"), _source_key(source_col).alias("source_key"), F.xxhash64(F.col(id_col)).alias("id_hash"))

@@ -74,6 +74,16 @@ def test_mix_of_uneven_sources(spark):
     assert worst_deviation(order, [-(-n // 4) for n in sizes.values()], list(weights.values())) < 1
 
 
+def test_mix_of_many_sources(spark):
+    rows = [(i, None if i % 700 == 0 else f"host{i % 700}") for i in range(3500)]
+    got = mix_sources(spark.createDataFrame(rows, "doc_id long, source string"), block_rows=2).collect()
+    assert sorted((r["doc_id"], r["source"] or "") for r in got) == sorted((d, s or "") for d, s in rows)
+    assert {r["mix_slot"] for r in got} == set(range(2100))
+    assert len({(r["source"], r["block"], r["mix_slot"]) for r in got}) == 2100
+    first = {r["source"] for r in got if r["mix_slot"] < 700}  # equal weights: each source once in 700 slots
+    assert len(first) == 700
+
+
 def test_weights_are_whole_and_exact():
     assert whole_weights([0.5, 0.25, None]) == [2000, 1000, 3]
     assert whole_weights([0.0, -1.0, float("nan"), float("inf")]) == [1, 1, 1, 1]
