@@ -22,14 +22,16 @@ class PieceEncoder:
     The tokenizer's pre-tokenizer starts a new token at a space that has no
     white space beside it, and makes a token of such a newline. Texts whose
     white space stands alone are cut there, and the pieces' ids are joined; the
-    result equals that of the whole text. Other texts are encoded whole.
+    result equals that of the whole text. Other texts are encoded whole, as are
+    those that hold a token added to the vocabulary (a special token gets its
+    own id, as by the plain library call).
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.newline = self._ids("\n")
         if len(self.newline) != 1:
             raise ValueError("the tokenizer has no token of its own for a newline")
@@ -67,6 +69,10 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
+        held = {i for i, t in enumerate(texts) if any(x in t for x in self.added)}
+        if held:
+            others = iter(self.encode([t for i, t in enumerate(texts) if i not in held]))
+            return [self._ids(t).tobytes() if i in held else next(others) for i, t in enumerate(texts)]
         cut = [[line.split(" ") for line in t.split("\n")] for t in texts]
         firsts, rest = set(), set()
         for lines in cut:

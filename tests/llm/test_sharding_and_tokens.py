@@ -40,6 +40,23 @@ def test_pieces_equal_whole_texts():
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(odd)] == whole  # from the cache
 
 
+def test_special_tokens_in_texts_as_by_the_plain_call(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y\n<|endoftext|> z  w", "a b", "", "<|endoftext| >", "a  <|endoftext|>\n\nb", "a <|endoftext|> b"]
+    whole = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert whole[0] == [64, 220, 50256, 275]
+    assert [np.frombuffer(x, "<u4").tolist() for x in PieceEncoder(tokenizer_path()).encode(texts)] == whole
+    start, wanted = 0, []
+    for d, ids in enumerate(whole):
+        raw = np.array([*ids, 2], "<u4").tobytes()
+        wanted.append((d, start, len(ids) + 1, zlib.crc32(raw)))
+        start += len(ids) + 1
+    docs = spark.createDataFrame([(d, t, "", "") for d, t in enumerate(texts)], DOCS)
+    assert sorted(tuple(r) for r in token_output(docs, tokenizer_path()).collect()) == wanted
+
+
 def test_token_files_round_trip(spark, tmp_path):
     docs = spark.createDataFrame([r for r in ROWS if r[0] is not None], DOCS)
     encoder = PieceEncoder(tokenizer_path())
