@@ -114,3 +114,19 @@ def test_contaminated_documents(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == wanted
     assert contaminated_documents(spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect() == []
     assert contaminated_documents(spark.createDataFrame(docs, "doc_id long, text string, cosine double"), spark.createDataFrame([], "item_id long, text string")).collect() == []
+
+
+def test_copies_of_short_and_long_items(spark):
+    rng = random.Random(4)
+    weights = [1 / (i + 3) for i in range(6000)]
+    vocabulary = [f"term{i}" for i in range(6000)]
+    sizes = [1000, 300, 250, 65, 48, 15, 12, 10, 8, 5] * 4
+    items = [(i, " ".join(rng.choices(vocabulary, weights, k=n))) for i, n in enumerate(sizes)]
+    docs = [(i, " ".join(rng.choices(vocabulary, weights, k=500))) for i in range(120)]
+    for i in range(len(sizes)):
+        w = docs[i][1].split()
+        docs[i] = (i, " ".join([*w[: i * 7], items[i][1], *w[i * 7 :]]))
+    got = contaminated_documents(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    shares = {(r["doc_id"], r["item_id"]): r["lcs_share"] for r in got.collect()}
+    assert [(i, sizes[i]) for i in range(len(sizes)) if shares.get((i, i)) != 1.0] == []
+    assert [pair for pair in shares if pair[0] != pair[1] and sizes[pair[1]] > 24] == []
