@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._spark import map_texts
@@ -16,7 +16,7 @@ from ._spark import map_texts
 DEPTH = 4
 #: Labelled documents per language that the context trees are fitted on, about; a bounded sample by a hash of the id.
 TRAIN_DOCS = 2000
-#: Contexts-with-symbol that a tree keeps at most per length: the most frequent ones.
+#: Contexts-with-symbol that the trees keep at most, on average per length: each language's and length's most frequent ones by turns.
 MOST_NODES = 150_000
 #: Distinct words whose code lengths a worker remembers at most.
 CACHE_WORDS = 200_000
@@ -169,25 +169,30 @@ def _node_counts(batch: pa.RecordBatch):
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(np.full(len(keys), k, np.int32)), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "k", "key", "n"])
 
 
-def fit_languages(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> ContextTrees:
+def fit_languages(labelled: DataFrame, train_docs: int = TRAIN_DOCS, most_nodes: int = MOST_NODES * (DEPTH + 1)) -> ContextTrees:
     """Fit context trees on rows with text and lang, about train_docs of each language.
 
-    The sample is set by a hash of the id against the language's number of
-    rows. Node counts are summed on the cluster; the driver gets at most
-    MOST_NODES nodes for each string length and language.
+    The sample is set by a hash of the id (of the text, if the id is null)
+    against the language's number of rows. Node counts are summed on the
+    cluster; the driver gets at most most_nodes nodes. They are taken by their
+    place in their language and length, so each of these keeps its most frequent
+    ones, and what one doesn't use goes to the others. Only the MOST_LANGUAGES
+    languages with the most rows are learned and can be predicted.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     per = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
     if not per:
         return ContextTrees.fit([], {})
     share = F.create_map(*[x for lang, n in per.items() for x in (F.lit(lang), F.lit(min(1.0, train_docs / n)))])
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).select("lang", "text")
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).select("lang", "text")
     nodes = map_texts(sample, _node_counts, "lang string, k int, key long, n long").groupBy("k", "key", "lang").agg(F.sum("n").alias("n"))
     nodes = nodes.where((F.col("n") > 1) | (F.col("k") <= 2))
+    # bounded by the sample: train_docs texts of a language
+    nodes = nodes.withColumn("place", F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "key")))
     langs, counts = sorted(per), {}
     own = [f"lang_{i}" for i in range(len(langs))]
-    table = nodes.groupBy("k", "key").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(c) for c, x in zip(own, langs, strict=True)], F.sum("n").alias("n_all"))
-    got = table.orderBy(F.desc("n_all"), "k", "key").limit(MOST_NODES * (DEPTH + 1)).toArrow()
+    table = nodes.groupBy("k", "key").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(c) for c, x in zip(own, langs, strict=True)], F.min("place").alias("place"))
+    got = table.orderBy("place", "k", "key").limit(most_nodes).toArrow()
     ks, keys = got["k"].to_numpy(), got["key"].to_numpy().astype(np.uint64)
     n = np.stack([got[c].to_numpy().astype(float) for c in own], 1)
     for k in range(1, DEPTH + 2):

@@ -73,6 +73,23 @@ def test_code_lengths_are_those_of_the_tree(spark):
     assert np.allclose(trees.word_bits(words), [[plain(w, lang) for lang in "xy"] for w in words], atol=1e-3)
 
 
+def test_every_language_keeps_nodes_of_every_length(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(40)), "big", "s", 1.0) for i in range(400)]
+    rows += [(1000 + i, "quorxy vintzop zypolm", "small", "s", 1.0) for i in range(4)]
+    trees = fit_languages(spark.createDataFrame(rows, DOCS), most_nodes=200)
+    small = trees.langs.index("small")
+    assert [int(np.isfinite(x[:, small]).sum()) >= 10 for x in trees.symbol_bits] == [True] * 5
+    assert sum(len(k) for k in trees.keys) == 200
+
+
+def test_null_ids_are_sampled_like_others(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(None, f"{a}{b} QQQQQ", "aa", "s", 1.0) for a in letters for b in letters]
+    trees = fit_languages(spark.createDataFrame(rows, DOCS), train_docs=100)
+    assert 80 < len(trees.keys[1]) < 250  # pairs of letters, and 52 of a letter and a space
+
+
 def test_prediction_keeps_columns(spark):
     df = spark.createDataFrame(texts(30), DOCS)
     assert predict_languages(df, fit_languages(df), ["doc_id", "text"]).columns == ["doc_id", "text", "lang_pred", "score"]
