@@ -1,9 +1,12 @@
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
+from math import ceil, floor
 
 from pyspark.sql import functions as F
 
-from loomdocs.llm.mixing import mix_sources, slots_in_order, whole_weights
+from loomdocs.llm import mixing
+from loomdocs.llm.mixing import block_schedule, block_windows, mix_sources, source_table
 from loomdocs.llm.quality import quality_verdicts, text_metrics
 from loomdocs.llm.url_filters import HOST_RULES, PATTERN_RULES, pattern_regex, pattern_tokens, url_verdicts
 
@@ -52,15 +55,57 @@ def worst_deviation(order, blocks, weights):
     return worst
 
 
-def test_mix_keeps_uneven_weights_over_a_long_mix():
-    for blocks, weights in [
-        ([6667] + [701] * 19, [(6667 * 32) ** 0.5] + [(701 * 32) ** 0.5] * 19),
-        ([3000, 2000, 3, 40], [0.61803, 0.38196, 1e-5, 0.0007]),
-        ([400 + 7 * i for i in range(30)], [1 / (i + 1.7) for i in range(30)]),
+def brute_schedule(blocks, weights):
+    """Source, block, release and deadline of each slot, slot after slot, in fractions."""
+
+    def passed(v):
+        return sum(min(w * v, n) for w, n in zip(weights, blocks, strict=True))
+
+    windows = [[(floor(passed(Fraction(j, w))), ceil(passed(Fraction(j + 1, w)))) for j in range(n)] for n, w in zip(blocks, weights, strict=True)]
+    done, out = [0] * len(blocks), []
+    for t in range(sum(blocks)):
+        due, i = min((windows[i][done[i]][1], i) for i in range(len(blocks)) if done[i] < blocks[i] and windows[i][done[i]][0] <= t)
+        out.append((i, done[i], windows[i][done[i]][0], due))
+        done[i] += 1
+    return out
+
+
+def spark_schedule(spark, blocks, weights, segment):
+    docs = spark.createDataFrame([(f"={i:03}", n) for i, n in enumerate(blocks)], "source_key string, n long").select("source_key", F.explode(F.expr("sequence(1, n)")))
+    asked = spark.createDataFrame([(f"{i:03}", float(w)) for i, w in enumerate(weights)], "source string, weight double")
+    sources = source_table(docs, asked, 1, 0.5)
+    whole = [int(r["w"]) for r in sources.orderBy("source_no").collect()]
+    mixing.SEGMENT_SLOTS, before = segment, mixing.SEGMENT_SLOTS
+    try:
+        rows = block_schedule(mixing.materialize(block_windows(sources), "windows")).orderBy("mix_slot").collect()
+    finally:
+        mixing.SEGMENT_SLOTS = before
+    assert [r["mix_slot"] for r in rows] == list(range(sum(blocks)))
+    return [(r["source_no"] - 1, r["block"], r["release"], r["deadline"]) for r in rows], whole
+
+
+def test_schedule_equals_slot_by_slot_and_keeps_weights(spark):
+    for blocks, weights, segment in [
+        ([667] + [71] * 19, [(667 * 32) ** 0.5] + [(71 * 32) ** 0.5] * 19, 64),
+        ([300, 200, 3, 40], [0.61803, 0.38196, 1e-5, 0.0007], 50),
+        ([40 + 7 * i for i in range(30)], [1 / (i + 1.7) for i in range(30)], 100),
+        ([500, 500, 500], [0.5, 0.3, 0.2], 16),
+        ([4000, 2000], [0.66649, 0.33351], 2048),
+        ([1], [7.0], 8),
     ]:
-        slots = list(slots_in_order(blocks, whole_weights(weights)))
-        assert worst_deviation([x[0] for x in slots], blocks, weights) < 1
-        assert all(release <= t < due for t, (_, _, release, due) in enumerate(slots))
+        got, whole = spark_schedule(spark, blocks, weights, segment)
+        assert got == brute_schedule(blocks, whole)
+        assert worst_deviation([x[0] for x in got], blocks, weights) < 1
+        assert all(release <= t < due for t, (_, _, release, due) in enumerate(got))
+
+
+def test_long_mix_of_two(spark):
+    """137 blocks off was once measured here."""
+    got, _ = spark_schedule(spark, [66_649, 33_351], [0.66649, 0.33351], 2048)
+    done = 0
+    for t, (source, *_) in enumerate(got):
+        done += source == 0
+        assert abs(done - 0.66649 * (t + 1)) < 1
 
 
 def test_mix_of_uneven_sources(spark):
@@ -84,9 +129,16 @@ def test_mix_of_many_sources(spark):
     assert len(first) == 700
 
 
-def test_weights_are_whole_and_exact():
-    assert whole_weights([0.5, 0.25, None]) == [2000, 1000, 3]
-    assert whole_weights([0.0, -1.0, float("nan"), float("inf")]) == [1, 1, 1, 1]
+def test_weights_are_whole_shares(spark):
+    def whole(weights):
+        docs = spark.createDataFrame([(f"={i}",) for i in range(len(weights))], "source_key string")
+        asked = spark.createDataFrame([(str(i), w) for i, w in enumerate(weights)], "source string, weight double")
+        return [int(r["w"]) for r in source_table(docs, asked, 1, 0.5).orderBy("source_key").collect()]
+
+    assert whole([0.5, 0.3, 0.2]) == [5 * 10**14, 3 * 10**14, 2 * 10**14]
+    assert whole([1e300, 1e300, None]) == [5 * 10**14, 5 * 10**14, 10**12]
+    assert whole([0.0, -1.0, float("nan"), float("inf")]) == [10**12] * 4
+    assert whole([1.0, 1e-9])[1] == 10**9
 
 
 def test_mix_with_clashing_columns(spark):
