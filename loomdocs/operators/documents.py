@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import names, text, urls
-from ..functions.citations import parse_citation
+from ..functions.citations import citation_column, parse_citation
 from ..functions.dates import safe_date, title_date
 from ..functions.payload import scrub_struct
 from ..functions.sections import split_sections
@@ -194,7 +194,7 @@ def build_detail(content: DataFrame) -> DataFrame:
 
 def parse_citations(df: DataFrame, column: str) -> DataFrame:
     """The five parts of every citation."""
-    return df.withColumn("citation", parse_citation(column))
+    return citation_column(df, column, "citation")
 
 
 def precedents(rec: DataFrame) -> DataFrame:
