@@ -42,7 +42,7 @@ def _first(parts: Column, role: str) -> Column:
 
 def _name(s: Callable[[str], Column]) -> Column:
     """What is left of the words ahead of the neutral citation without the parts; brackets of a party's capacity stay."""
-    ahead = F.when(s("neutral").isNull(), s("work")).otherwise(F.substring_index(s("work"), s("neutral"), 1))
+    ahead = F.when(s("neutral").isNull(), s("work")).otherwise(F.call_function("substring_index", s("work"), s("neutral"), F.lit(1)))
     others = F.filter(s("parts"), lambda p: ~p["role"].isin("party", "neutral"))
     left = F.aggregate(others, ahead, lambda a, p: F.replace(a, p["part"], F.lit(" ")))
     name = strip(F.regexp_replace(left, r"\s+", " "), ";,. ")
