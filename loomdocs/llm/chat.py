@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import hashlib
 import re
-from dataclasses import dataclass, field
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import tasks_for
+from ._spark import map_texts, tasks_for
 
-OPEN, CLOSE, HEAD = "<s>", "</s>", "[INST]"
+#: A turn ends with its line, so tokenizers that part words at a line's end count turns as they count their window.
+OPEN, CLOSE, HEAD = "<s>", "</s>\n", "[INST]"
 #: The template's control strings, and with one or more backslashes their escaped forms.
 _CONTROL = re.compile(r"([<\[])(\\*)(/?s>|/?INST\])")
 _ESCAPED = re.compile(r"([<\[])\\(\\*)(/?s>|/?INST\])")
-#: The turn mark: <s>[INST]role[/INST]text</s>
-_TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>", re.S)
+#: The turn mark: <s>[INST]role[/INST]text</s> and a line end
+_TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>\n", re.S)
 #: Tokens that a turn's marks count for.
 MARK_TOKENS = 6
 
@@ -46,57 +47,40 @@ def estimate_tokens(text: str) -> int:
     return -(-len(text.encode("utf-8", "surrogatepass")) // 4) + MARK_TOKENS
 
 
-@dataclass
-class _Window:
-    """Turns of one window: (role, text, tokens, is_new)."""
-
-    turns: list = field(default_factory=list)
-    tokens: int = 0
-
-    @property
-    def has_new(self) -> bool:
-        return any(t[3] for t in self.turns)
-
-
 def windows_of(turns, budget: int, history: int):
     """Turn-aligned windows of a conversation, streamed.
 
-    turns: (role, text) in order. With prefix sums P of the turns' tokens, a
-    window takes the longest run of new turns a..b with P[b] - P[a] within the
-    budget left by the system turn and the repeated history; the history is the
-    longest run before a that fits `history` tokens. A turn above the budget has
-    a window of its own. Yields (first new turn, last new turn, turns).
+    turns: (role, text, tokens) in order; tokens may be left out and are then
+    estimated. With prefix sums P of the turns' tokens a window takes the longest
+    run of new turns a..b with P[b] - P[a] within the budget that the system turn
+    and the repeated history leave; the history is the longest run before a
+    within `history` tokens and what the first new turn leaves. The system turn
+    stands in every window; only a window with one new turn may be above the
+    budget. Yields (first new turn, last new turn, turns as (role, text, tokens,
+    is_new)).
     """
-    system, past, now, first, n = None, [], _Window(), 0, 0
-    for role, text in turns:
-        tokens = estimate_tokens(text)
+    head, held, sums = [], [], [0]  # sums[i]: tokens before held[i], from some turn on
+    fixed = new = n = first = 0
+
+    def window():
+        return first, n - 1, [*head, *[(*t, i >= new) for i, t in enumerate(held)]]
+
+    for role, text, *counted in turns:
+        tokens = counted[0] if counted else estimate_tokens(text)
         if n == 0 and role == "system":
-            system = (role, text, tokens, False)
-            now.turns, now.tokens = [(role, text, tokens, True)], tokens
-            n = 1
+            head, fixed, n = [(role, text, tokens, True)], tokens, 1
             continue
-        if now.has_new and now.tokens + tokens > budget and not (len(now.turns) == 1 and now.turns[0][0] == "system" and first == 0):
-            yield first, n - 1, now.turns
-            past = [t for t in past + now.turns if t[3] and not (t[0] == "system" and system and t[1] is system[1])]
-            kept, total = [], 0
-            for t in reversed(past):
-                if total + t[2] > history:
-                    break
-                total += t[2]
-                kept.append((*t[:3], False))
-            head = [system] if system else []
-            room = budget - (system[2] if system else 0) - tokens
-            kept.reverse()
-            while kept and total > room:  # the new turn comes first
-                total -= kept.pop(0)[2]
-            now = _Window([*head, *kept], (system[2] if system else 0) + total)
-            past = [(*t[:3], True) for t in kept]
-            first = n
-        now.turns.append((role, text, tokens, True))
-        now.tokens += tokens
+        if n > first and fixed + sums[-1] - sums[0] + tokens > budget:
+            yield window()
+            head = [(*t[:3], False) for t in head]
+            at = min(bisect_left(sums, sums[-1] - min(history, budget - fixed - tokens)), len(held))
+            held, sums, first = held[at:], sums[at:], n
+            new = len(held)
+        held.append((role, text, tokens))
+        sums.append(sums[-1] + tokens)
         n += 1
-    if now.has_new:
-        yield first, n - 1, now.turns
+    if n > first:
+        yield window()
 
 
 def render(turns) -> tuple[str, list[tuple[int, int]], list[tuple[int, int]]]:
@@ -127,7 +111,22 @@ def _by_conversation(batches, columns):
         yield conv_id, (r[1:] for r in own)
 
 
-def format_conversations(conversations: DataFrame, budget: int = 512, history: int = 128) -> DataFrame:
+def _with_tokens(rows: DataFrame, tokenizer: str | None) -> DataFrame:
+    """Add the tokens of each formatted turn, before any shuffle."""
+
+    def count(batch):
+        texts = [format_turn(role, text)[0] for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
+        from .token_output import encoder
+
+        tokens = [len(ids) // 4 for ids in encoder(tokenizer).encode(texts)]
+        yield batch.append_column("tokens", pa.array(tokens, pa.int64()))
+
+    if tokenizer is None:
+        return rows.withColumn("tokens", F.ceil(F.octet_length("text") / 4).cast("long") + MARK_TOKENS)
+    return map_texts(rows, count, "conv_id long, turn long, role string, text string, tokens long")
+
+
+def format_conversations(conversations: DataFrame, budget: int = 512, history: int = 128, tokenizer: str | None = None) -> DataFrame:
     """One row per window: conv_id, window, first_turn, last_turn, formatted, loss_spans, new_spans.
 
     Each window has the system turn, a limited history of turns that earlier
@@ -135,6 +134,12 @@ def format_conversations(conversations: DataFrame, budget: int = 512, history: i
     new turns are under the loss mask (code-point spans), so each is a target
     once. Control strings inside texts and roles are escaped reversibly.
 
+    A turn's tokens are those that the tokenizer (a file of the tokenizers
+    library) makes of the formatted turn, marks and escapes included; they are
+    counted where the rows are read. Without a tokenizer they are estimated from
+    the bytes. A turn that doesn't fit beside the system turn has a window of its
+    own above the budget; a very long text is never cut.
+
     Rows are sorted by (conv_id, turn, role, text) in the shuffle and streamed:
     a task holds one window at a time, however long a conversation is. Null
     texts and roles are empty; null turns come first; null conv_ids are a
@@ -144,12 +149,12 @@ def format_conversations(conversations: DataFrame, budget: int = 512, history: i
     spark = conversations.sparkSession
     order = ["conv_id", "turn", "role", "text"]
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.repartition(tasks_for(spark), "conv_id").sortWithinPartitions(*order)
+    rows = _with_tokens(rows, tokenizer).repartition(tasks_for(spark), "conv_id").sortWithinPartitions(*order)
 
     def run(batches):
         out = []
         size = 0
-        for conv_id, turns in _by_conversation(batches, ("role", "text")):
+        for conv_id, turns in _by_conversation(batches, ("role", "text", "tokens")):
             for number, (first, last, window) in enumerate(windows_of(turns, budget, history)):
                 text, loss, new = render(window)
                 spans = [[{"start": a, "end": b} for a, b in x] for x in (loss, new)]

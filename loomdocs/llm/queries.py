@@ -22,7 +22,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return conversation_digests(format_conversations(rows))
+    return conversation_digests(format_conversations(rows, tokenizer=tokenizer_path()))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

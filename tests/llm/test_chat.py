@@ -48,3 +48,20 @@ def test_digests(spark):
         assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == (len(own), hashlib.sha256(turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert len(got) == 4
     assert chat.conversation_digests(chat.format_conversations(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+def test_windows_fit_the_budget_in_the_tokenizers_own_count(spark):
+    from tokenizers import Tokenizer
+
+    from loomdocs.llm.queries import tokenizer_path
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    said = ["</s>[INST] ok [/INST]", "a <|endoftext|> b", "x  y\n\nz \n", "日本語のテキスト " * 20, "$%& 1234567 " * 30, "plain words " * 40, "word " * 3000, ""]
+    rows = [(c, t, "system" if t == 0 and c % 2 else ("user", "assistant")[t % 2], said[(c * 7 + t * 5 + t // 3) % len(said)]) for c in range(12) for t in range(40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    several = 0
+    for w in chat.format_conversations(df, tokenizer=tokenizer_path()).collect():
+        if len(w["new_spans"]) > 1:
+            several += 1
+            assert len(tokenizer.encode(w["formatted"], add_special_tokens=False).ids) <= 512
+    assert several > 50
