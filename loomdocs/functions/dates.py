@@ -45,11 +45,14 @@ def document_date(data, as_of: Column, keys: tuple[str, ...] = ("document_date",
     return F.coalesce(*days, F.when(year.rlike(r"^\d{4}$"), F.try_to_date(F.concat(year, F.lit("-01-01")), "yyyy-MM-dd")), as_of)
 
 
+#: Fixed value: what names the year of a case number.
+CASE_YEAR = r"20\d{2}|/\d{2}$|/\d{4}"
+
+
 def case_year(c) -> Column:
-    """Year of a case number: a leading year, or the 2 or 4 digits after the last slash."""
-    c = _c(c)
-    lead, tail = found(c, r"^(20\d{2})(?:/|$)"), found(c, r"/(\d{4}|\d{2})$")
-    return F.coalesce(lead.cast("int"), F.when(F.length(tail) == 2, tail.cast("int") + 2000).otherwise(tail.cast("int")))
+    """Year of a case number: its first 20xx, two digits after the last slash, or four after a slash, whichever comes first."""
+    year = F.translate(F.nullif(F.regexp_extract(_c(c), CASE_YEAR, 0), F.lit("")), "/", "").cast("int")
+    return F.when(year < 100, year + 2000).otherwise(year)
 
 
 def duration_years(number, decided) -> Column:

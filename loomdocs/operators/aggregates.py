@@ -11,6 +11,8 @@ from ..functions.text import edge_text
 from .filters import exclude_rolls
 
 GAP_SECONDS, BUCKET_MINUTES, ONLINE_MINUTES = 120, 5, 15
+#: Length of the time slices that one key's events are cut into.
+SLICE_SECONDS = 3600
 PERIODS = {"7d": 604_800, "24h": 86_400}
 
 
@@ -62,18 +64,52 @@ def overall_totals(rec: DataFrame) -> DataFrame:
     return rec.groupBy("scraper_type").agg(F.sum(F.when(F.coalesce("status", F.lit("indexed")) == "indexed", F.col("n")).otherwise(0)).alias("indexed"), F.sum(F.when(F.col("status") == "detailed", F.col("n")).otherwise(0)).alias("detailed"), F.sum("n").alias("total"))
 
 
-def with_gap(ev: DataFrame, keys: list[str], tie: list[str]) -> DataFrame:
-    """Microseconds since the key's previous event."""
+def _sliced(ev: DataFrame, seconds: int) -> DataFrame:
+    """ev with its time in microseconds and the number of its time slice."""
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return ev.withColumn("us", us).withColumn("gap_us", F.col("us") - F.lag("us").over(Window.partitionBy(*keys).orderBy("us", *tie)))
+    return ev.withColumn("us", us).withColumn("slice", F.floor(F.col("us") / (seconds * 1_000_000)))
+
+
+def with_gap(ev: DataFrame, keys: list[str], tie: list[str], slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Microseconds since the key's previous event.
+
+    A key's events are ordered slice by slice, so one key's events go to many
+    tasks; the first event of a slice takes the last time of the slice before
+    from a table of a row per key and slice.
+    """
+    cut = _sliced(ev, slice_seconds)
+    own = Window.partitionBy(*keys, "slice").orderBy("us", *tie)
+    cut = cut.withColumn("before", F.lag("us").over(own)).withColumn("leads", F.row_number().over(own) == 1)
+    ends = cut.groupBy(*keys, "slice").agg(F.max("us").alias("end"))
+    ends = ends.withColumn("end", F.lag("end").over(Window.partitionBy(*keys).orderBy("slice")))
+    ends = ends.select(*[F.col(k).alias(f"end {k}") for k in (*keys, "slice")], "end").where("end is not null")
+    same = [F.col(k).eqNullSafe(F.col(f"`end {k}`")) for k in (*keys, "slice")]
+    joined = cut.join(ends, [*same], "left")
+    return joined.select(*ev.columns, "us", (F.col("us") - F.when(F.col("leads"), F.col("end")).otherwise(F.col("before"))).alias("gap_us"))
+
+
+def _uptime(ev: DataFrame, keys: list[str], tie: list[str], gap: int, also: dict[str, Column], slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """total, active, uptime_us and rates per key, and sums of other counts, in one pass: slices first, then their borders."""
+    gap_us, known = gap * 1_000_000, F.coalesce(F.col("gap_us") <= gap * 1_000_000, F.lit(False))
+    cut = _sliced(ev, slice_seconds)
+    inner = F.col("us") - F.lag("us").over(Window.partitionBy(*keys, "slice").orderBy("us", *tie))
+    part = cut.withColumn("gap_us", inner).groupBy(*keys, "slice").agg(
+        F.count("*").alias("total"), F.count_if(known).alias("active"), F.sum(F.when(known, F.col("gap_us")).otherwise(0)).alias("uptime_us"),
+        F.min("us").alias("begin"), F.max("us").alias("end"), *[c.alias(n) for n, c in also.items()],
+    )
+    border = F.col("begin") - F.lag("end").over(Window.partitionBy(*keys).orderBy("slice"))
+    part = part.withColumn("border", F.when(border <= gap_us, border))
+    out = part.groupBy(*keys).agg(
+        F.sum("total").alias("total"), (F.sum("active") + F.count("border")).alias("active"), (F.sum("uptime_us") + F.coalesce(F.sum("border"), F.lit(0))).alias("uptime_us"),
+        *[F.sum(n).alias(n) for n in also],
+    )
+    rate = F.when(F.col("uptime_us") > 0, F.col("active") * F.lit(1e6) / F.col("uptime_us")).otherwise(0.0)
+    return out.select(*keys, "total", "active", "uptime_us", rate.alias("rate"), (rate * 3600).alias("rate_per_hour"), *also)
 
 
 def uptime_and_rate(ev: DataFrame, keys: list[str], tie: list[str], gap: int = GAP_SECONDS) -> DataFrame:
     """Active time (sum of gaps up to `gap` seconds), number of such gaps, and their rate per second and hour."""
-    active = F.coalesce(F.col("gap_us") <= gap * 1_000_000, F.lit(False))
-    out = with_gap(ev, keys, tie).groupBy(*keys).agg(F.count("*").alias("total"), F.count_if(active).alias("active"), F.sum(F.when(active, F.col("gap_us")).otherwise(0)).alias("uptime_us"))
-    rate = F.when(F.col("uptime_us") > 0, F.col("active") * F.lit(1e6) / F.col("uptime_us")).otherwise(0.0)
-    return out.select(*keys, "total", "active", "uptime_us", rate.alias("rate"), (rate * 3600).alias("rate_per_hour"))
+    return _uptime(ev, keys, tie, gap, {})
 
 
 def period_rate(ev: DataFrame, keys: list[str], now: Column, period: str) -> DataFrame:
@@ -136,16 +172,23 @@ def both_advanced(latest: DataFrame, cursor: DataFrame) -> DataFrame:
     return newest.join(seen, "source", "left").agg(F.coalesce(F.every(F.coalesce(F.col("latest") > F.col("seen"), F.col("seen").isNull())), F.lit(False)).alias("due"))
 
 
-def pipeline_metrics(ev: DataFrame, key: str, worker: str, tie: list[str], now: dt.datetime) -> DataFrame:
-    """Per key one struct of uptime, periods, online state, last-hour buckets and workers."""
-    at = F.lit(now).cast("timestamp")
-    up = uptime_and_rate(ev, [key], tie)
-    week, day = (period_rate(ev, [key], at, p).select(key, F.struct("n", "rate").alias(f"last_{p}")) for p in ("7d", "24h"))
-    hour = last_hour_intervals(ev, [key], now).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("start_s", "n", "rate_per_hour"))).alias("intervals"))
-    online, workers = is_online(ev, [key], at), worker_breakdown(ev, key, worker, tie)
-    out = up
-    for part in (week, day, hour, online, workers):
-        out = out.join(part, key, "left")
+def pipeline_metrics(ev: DataFrame, key: str, worker: str, tie: list[str], now: dt.datetime, minutes: int = BUCKET_MINUTES) -> DataFrame:
+    """Per key one struct of uptime, periods, online state, last-hour buckets and workers.
+
+    Two passes over the events: one by key with every count, one by key and worker.
+    """
+    at, time = F.lit(now).cast("timestamp"), F.col("ts").cast("timestamp")
+    end = now.replace(minute=now.minute - now.minute % minutes, second=0, microsecond=0).replace(tzinfo=dt.UTC)
+    starts = [int(end.timestamp()) - 3600 + i * minutes * 60 for i in range(60 // minutes)]
+    within = lambda s: F.count_if((F.unix_seconds(time) >= s) & (F.unix_seconds(time) < s + minutes * 60))
+    also = {f"last_{p}": F.count_if(time >= at - F.make_dt_interval(secs=F.lit(s))) for p, s in PERIODS.items()}
+    also |= {"recent": F.count_if(time >= at - F.make_dt_interval(mins=F.lit(ONLINE_MINUTES)))} | {f"from_{s}": within(s) for s in starts}
+    per = _uptime(ev, [key], tie, GAP_SECONDS, also)
+    periods = [F.struct(F.col(f"last_{p}").alias("n"), (F.col(f"last_{p}") / s).alias("rate")).alias(f"last_{p}") for p, s in PERIODS.items()]
+    buckets = [F.struct(F.lit(s).cast("long").alias("start_s"), F.col(f"from_{s}").alias("n"), (F.col(f"from_{s}") * (60 // minutes)).cast("double").alias("rate_per_hour")) for s in starts]
+    per = per.select(key, "total", "active", "uptime_us", "rate", "rate_per_hour", *periods, F.array(*buckets).alias("intervals"), (F.col("recent") > 0).alias("online"))
+    workers = worker_breakdown(ev, key, worker, tie).withColumnRenamed(key, "worker key")
+    out = per.join(workers, F.col(key).eqNullSafe(F.col("worker key")), "left").drop("worker key")
     return out.select(key, F.struct(*[c for c in out.columns if c != key]).alias("metrics"))
 
 

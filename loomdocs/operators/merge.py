@@ -91,6 +91,32 @@ def recovered(sections: DataFrame) -> DataFrame:
     return sections.withColumn("recovered", F.coalesce(F.length(text.strip(F.col("sections.order"))) > 0, F.lit(False)))
 
 
+def reprocess_failed(rec: DataFrame, parsed: DataFrame, sections: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
+    """M8: records and parsed rows after another parse of failed records (sections: id and sections of those).
+
+    Where an order was found the record's review flag and reason are cleared and
+    its parsed row takes the new sections; a record without a parsed row gets none.
+    All other rows stay as they are.
+    """
+    good = recovered(sections).where("recovered").select("id", F.to_json("sections").alias("n_data"), F.lit(True).alias("hit"))
+    hit = F.coalesce("hit", F.lit(False))
+    new = {"requires_human_review": F.lit(False), "review_reason": F.lit(None), "updated_at": now}
+    records = rec.join(good.drop("n_data"), "id", "left").select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in rec.columns])
+    new = {"data": F.col("n_data"), "updated_at": now}
+    children = parsed.join(good.withColumnRenamed("id", "extracted_record_id"), "extracted_record_id", "left")
+    return records, children.select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in parsed.columns])
+
+
+def repair_order(changes: DataFrame, time: str = "created_at") -> DataFrame:
+    """Changes by target, then time, then id."""
+    return changes.orderBy("target_name", time, "id")
+
+
+def preview(changes: DataFrame, n: int) -> DataFrame:
+    """T4: the first n changes in their order, with their values before and after."""
+    return changes.limit(n)
+
+
 def fix_case_numbers(rows: DataFrame) -> DataFrame:
     """M9: changes of case numbers. Input: id, target_name, title, header, extracted_number, record_number.
 

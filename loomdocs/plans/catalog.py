@@ -400,12 +400,32 @@ def _(t):
     return agg.configured_concurrency(cfg)
 
 
-@query("A12_pipeline_metrics")
-def _(t):
-    return agg.pipeline_metrics(t["events"], "event_type", "user_id", ["event_id"], NOW)
+_WEEK, _DAY, _QUARTER = (f"count(*) FILTER (ts >= make_timestamp({(NOW_S - s) * 1_000_000}))" for s in (604_800, 86_400, 900))
+_HOUR_END = NOW_S // 300 * 300
+
+
+@query("A12_pipeline_metrics", f"""WITH {_GAPS}, u AS (SELECT event_type, {_UPTIME}, {_WEEK} AS n_7d, {_DAY} AS n_24h, {_QUARTER} > 0 AS online FROM g GROUP BY 1),
+b AS (SELECT event_type, s AS start_s, (SELECT count(*) FROM events e WHERE e.event_type = k.event_type AND epoch_us(e.ts) >= s * 1000000 AND epoch_us(e.ts) < (s + 300) * 1000000) AS n FROM (SELECT DISTINCT event_type FROM events) k, (SELECT unnest(range({_HOUR_END - 3600}, {_HOUR_END}, 300)) AS s)),
+i AS (SELECT event_type, string_agg(concat(CAST(start_s AS VARCHAR), ':', CAST(n AS VARCHAR)), ',' ORDER BY start_s) AS intervals FROM b GROUP BY 1),
+gw AS (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id)) AS gap FROM events),
+w AS (SELECT event_type, CAST(user_id AS VARCHAR) AS worker, {_UPTIME} FROM gw GROUP BY 1, 2),
+v AS (SELECT event_type, count(*) AS n_workers, CAST(sum(active) AS BIGINT) AS worker_active, CAST(sum(uptime_us) AS BIGINT) AS worker_uptime_us FROM w GROUP BY 1)
+SELECT u.*, CASE WHEN uptime_us > 0 THEN active * 1e6 / uptime_us ELSE 0 END AS rate, i.intervals, v.n_workers, v.worker_active, v.worker_uptime_us FROM u JOIN i USING (event_type) JOIN v USING (event_type)""")
+def _(t):
+    m = agg.pipeline_metrics(t["events"], "event_type", "user_id", ["event_id"], NOW).select("event_type", "metrics.*")
+    workers = F.map_values("workers")
+    sum_of = lambda c: F.aggregate(workers, F.lit(0).cast("long"), lambda a, w: a + w[c])
+    intervals = F.array_join(F.transform("intervals", lambda b: F.concat(b["start_s"], F.lit(":"), b["n"])), ",")
+    return m.select(
+        "event_type", "total", "active", "uptime_us", "rate", F.col("last_7d.n").alias("n_7d"), F.col("last_24h.n").alias("n_24h"), "online", intervals.alias("intervals"),
+        F.size("workers").cast("long").alias("n_workers"), sum_of("active").alias("worker_active"), sum_of("uptime_us").alias("worker_uptime_us"),
+    )
+
+
+CASE_YEAR = "CAST(replace(regexp_extract(dataset_number, '20[0-9]{2}|/[0-9]{4}'), '/', '') AS INT)"
 
 
-@query("A13_legal_kpis", f"{JUD}, y AS (SELECT *, greatest(0, year(judgment_date) - CAST(split_part(dataset_number, '/', 2) AS INT)) AS dur FROM j) SELECT count(*) AS total, round_even(avg(dur), 1) AS mean_duration, count(*) FILTER (reportable) / count(reportable) AS reportable_share FROM y")
+@query("A13_legal_kpis", f"{JUD}, y AS (SELECT *, greatest(0, year(judgment_date) - {CASE_YEAR}) AS dur FROM j) SELECT count(*) AS total, round_even(avg(dur), 1) AS mean_duration, count(*) FILTER (reportable) / count(reportable) AS reportable_share FROM y")
 def _(t):
     return agg.legal_kpis(t.judgments().withColumn("duration_years", dates.duration_years("dataset_number", F.col("judgment_date"))))
 
@@ -592,9 +612,9 @@ def _(t):
     return t["part"].select("p_partkey", text.norm_id("p_name").alias("norm"))
 
 
-@query("X21_case_year", f"{JUD} SELECT id, CAST(split_part(dataset_number, '/', 2) AS INT) AS case_year, greatest(0, CAST(year(judgment_date) AS INT) - CAST(split_part(dataset_number, '/', 2) AS INT)) AS duration FROM j WHERE id NOT BETWEEN 2000 AND 2099")
+@query("X21_case_year", f"{JUD}, y AS (SELECT *, {CASE_YEAR} AS case_year FROM j) SELECT id, case_year, greatest(0, CAST(year(judgment_date) AS INT) - case_year) AS duration FROM y")
 def _(t):
-    return t.judgments().where("id not between 2000 and 2099").select("id", dates.case_year("dataset_number").alias("case_year"), dates.duration_years("dataset_number", "judgment_date").alias("duration"))
+    return t.judgments().select("id", dates.case_year("dataset_number").alias("case_year"), dates.duration_years("dataset_number", "judgment_date").alias("duration"))
 
 
 @query("X22_X23_bool_and_time", "SELECT event_id, event_id % 2 = 0 AS flag, epoch_us(ts) AS us FROM events")
@@ -883,9 +903,36 @@ def _(t):
     return merge.reset_cases(rec, t.child("parsed"), rec.where("id % 10 = 0"), _now())[1].select("extracted_record_id")
 
 
-@query("M8_A19_reprocess", "SELECT count(*) AS reprocessed, count(*) AS recovered, CAST(1 AS DOUBLE) AS rate FROM documents")
+_RETRIED = "SELECT doc_id AS id, doc_id % 3 <> 0 AS flagged, doc_id % 3 = 1 AS retried, doc_id % 3 = 1 AND doc_id % 2 = 0 AS recovered, doc_id % 5 <> 0 AS has_child FROM documents"
+
+
+def _retry(t):
+    """Two of three records are flagged, one of them for its parse; even ones have an order in their text."""
+    head = "concat('JUDGMENT', chr(10), 'The facts are common cause. ', regexp_replace(coalesce(text, ''), '[^a-z]+', ' '), chr(10)"
+    body = F.expr(f"CASE WHEN doc_id % 2 = 0 THEN {head}, 'ORDER', chr(10), 'The claim ', CAST(doc_id AS STRING), ' fails.') ELSE 'zzz' END")
+    rec = t["documents"].select(
+        F.col("doc_id").alias("id"), F.lit("court").alias("record_type"), (F.col("doc_id") % 3 != 0).alias("requires_human_review"),
+        F.when(F.col("doc_id") % 3 == 1, filters.PARSING_FAILED).when(F.col("doc_id") % 3 == 2, "Empty PDF text").alias("review_reason"), F.lit(None).cast("timestamp").alias("updated_at"), body.alias("full_text"),
+    )
+    parsed = t["documents"].where("doc_id % 5 <> 0").select(F.col("doc_id").alias("extracted_record_id"), F.lit("old").alias("data"), F.lit(None).cast("timestamp").alias("updated_at"))
+    sections = documents.parse_sections(filters.failed_parses(rec))
+    return sections, merge.reprocess_failed(rec, parsed, sections, _now())
+
+
+@query("M8_reprocess_records", f"SELECT id, flagged AND NOT recovered AS requires_human_review, CASE WHEN retried AND NOT recovered THEN '{filters.PARSING_FAILED}' WHEN flagged AND NOT retried THEN 'Empty PDF text' END AS review_reason, recovered AS touched FROM ({_RETRIED})")
+def _(t):
+    return _retry(t)[1][0].select("id", "requires_human_review", "review_reason", F.col("updated_at").isNotNull().alias("touched"))
+
+
+@query("M8_reprocess_children", f"SELECT id AS extracted_record_id, CASE WHEN recovered THEN concat('ORDER', chr(10), 'The claim ', CAST(id AS VARCHAR), ' fails.') ELSE 'old' END AS value FROM ({_RETRIED}) WHERE has_child")
+def _(t):
+    child = _retry(t)[1][1]
+    return child.select("extracted_record_id", F.coalesce(F.get_json_object("data", "$.order"), "data").alias("value"))
+
+
+@query("M8_A19_reprocess", f"SELECT count(*) AS reprocessed, count(*) FILTER (recovered) AS recovered, coalesce(avg(CAST(recovered AS DOUBLE)), 0) AS rate FROM ({_RETRIED}) WHERE retried")
 def _(t):
-    return agg.recovery_report(merge.recovered(_sections(t)))
+    return agg.recovery_report(merge.recovered(_retry(t)[0]))
 
 
 @query("A22_section_nulls", "SELECT 'order' AS section, count(*) AS n, min(doc_id) AS first_id FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT 'header', count(*), min(doc_id) FROM documents WHERE doc_id % 4 = 0")
@@ -902,12 +949,12 @@ def _numbers(t):
     return merge.fix_case_numbers(t["orders"].select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("target_name"), title.alias("title"), F.lit("").alias("header"), old.alias("extracted_number"), right.alias("record_number")))
 
 
-_FIXES = "SELECT o_orderkey AS id, o_orderpriority AS target_name, concat(CAST(o_orderkey AS VARCHAR), '/20') AS after, CASE o_orderkey % 4 WHEN 0 THEN 'missing_populated' WHEN 1 THEN 'neutral_replaced' ELSE 'case_number_corrected' END AS fix_type FROM orders WHERE o_orderkey % 4 <> 3"
+_FIXES = "SELECT o_orderkey AS id, o_orderpriority AS target_name, CASE o_orderkey % 4 WHEN 1 THEN '[2020] ZACC 1' WHEN 2 THEN '9/99' END AS before, concat(CAST(o_orderkey AS VARCHAR), '/20') AS after, CASE o_orderkey % 4 WHEN 0 THEN 'missing_populated' WHEN 1 THEN 'neutral_replaced' ELSE 'case_number_corrected' END AS fix_type FROM orders WHERE o_orderkey % 4 <> 3"
 
 
 @query("M9_fix_case_numbers", _FIXES)
 def _(t):
-    return _numbers(t).select("id", "target_name", "after", "fix_type")
+    return _numbers(t).select("id", "target_name", "before", "after", "fix_type")
 
 
 @query("A17_repair_report", f"SELECT target_name, fix_type, count(*) AS n FROM ({_FIXES}) GROUP BY 1, 2")
@@ -915,9 +962,10 @@ def _(t):
     return agg.repair_report(_numbers(t))
 
 
-@query("T4_preview", f"SELECT id, after FROM ({_FIXES}) ORDER BY id LIMIT 10")
+@query("T3_T4_preview", f"SELECT id, target_name, before, after FROM ({_FIXES}) JOIN (SELECT o_orderkey, o_orderdate FROM orders) ON o_orderkey = id ORDER BY target_name, o_orderdate, id LIMIT 10")
 def _(t):
-    return _numbers(t).orderBy("id").limit(10).select("id", "after")
+    made = t["orders"].select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("created_at"))
+    return merge.preview(merge.repair_order(_numbers(t).join(made, "id")), 10).select("id", "target_name", "before", "after")
 
 
 @query("M10_fix_dates", "SELECT o_orderkey AS id, make_date(2020, 5, 3) AS document_date, CASE WHEN o_orderkey % 2 = 0 THEN make_date(2020, 5, 3) ELSE make_date(2001, 1, 1) END AS hearing_date FROM orders")

@@ -102,6 +102,7 @@ def test_sections(tail, order, appearances):
 
 
 def test_sections_of_nothing():
+    assert split_sections("zzz") == {"null_values": ["judgment", "order"], "header": "zzz", "judgment": "", "order": "", "appearances": "", "footnotes": ""}
     assert split_sections(None)["null_values"] == ["header", "judgment", "order"]
     assert split_sections("JUDGMENT\n" + BODY)["null_values"] == ["header", "order"]
     assert split_sections("H\nJUDGMENT\nThe matter was struck off the roll by agreement of the parties")["order"] == "Struck from the roll"
