@@ -422,7 +422,7 @@ def _(t):
     )
 
 
-CASE_YEAR = "CAST(replace(regexp_extract(dataset_number, '20[0-9]{2}|/[0-9]{4}'), '/', '') AS INT)"
+CASE_YEAR = "CAST(CASE WHEN regexp_full_match(split_part(dataset_number, '/', 1), '20[0-9][0-9]') THEN split_part(dataset_number, '/', 1) ELSE split_part(dataset_number, '/', 2) END AS INT)"
 
 
 @query("A13_legal_kpis", f"{JUD}, y AS (SELECT *, greatest(0, year(judgment_date) - {CASE_YEAR}) AS dur FROM j) SELECT count(*) AS total, round_even(avg(dur), 1) AS mean_duration, count(*) FILTER (reportable) / count(reportable) AS reportable_share FROM y")
