@@ -10,18 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import map_texts
+from ._spark import discard, map_texts, materialize
 
 #: Longest context in bytes.
 DEPTH = 4
 #: Labelled documents per language that the context trees are fitted on, about; a bounded sample by a hash of the id.
 TRAIN_DOCS = 2000
-#: Contexts-with-symbol that the trees keep at most, on average per length: each language's and length's most frequent ones by turns.
-MOST_NODES = 150_000
-#: Distinct words whose code lengths a worker remembers at most.
-CACHE_WORDS = 200_000
-#: Languages at most: those with the most labelled rows.
-MOST_LANGUAGES = 256
+#: Contexts-with-symbol that the trees keep at most: each language's most frequent ones by turns.
+MOST_NODES = 750_000
+#: Nodes times languages at most, so that the tables of many languages take no more memory than those of 16.
+MOST_CELLS = 16 * MOST_NODES
+#: Distinct words times languages whose code lengths a worker remembers at most.
+CACHE_CELLS = 3_200_000
 UNKNOWN = "und"
 
 
@@ -50,6 +50,8 @@ class ContextTrees:
     bytes before are the context. symbol_bits has the code length of the symbol
     in that context (infinite if the language never showed it), escape_bits
     that of leaving the node as a context for a shorter one (escape method C).
+    Counts of nodes that aren't kept stay in their contexts' totals and kinds:
+    such a symbol is coded by an escape, so its count is added to the escape's.
     """
 
     langs: list[str]
@@ -60,8 +62,12 @@ class ContextTrees:
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @classmethod
-    def fit(cls, langs: list[str], counts: dict[int, tuple[np.ndarray, np.ndarray]]) -> ContextTrees:
-        """counts: per string length the sorted keys and a count for each key and language."""
+    def fit(cls, langs: list[str], counts: dict[int, tuple[np.ndarray, np.ndarray]], whole: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> ContextTrees:
+        """counts: per string length the sorted keys and a count for each key and language.
+
+        whole: per string length, for each key and language that has it, the
+        total and the kinds of symbols of its context among all nodes, kept or not.
+        """
         out = cls(langs)
         parents_total: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for k in range(1, DEPTH + 2):
@@ -72,10 +78,15 @@ class ContextTrees:
             at = np.flatnonzero(new)
             totals = np.add.reduceat(n, at, axis=0) if len(at) else np.zeros((0, len(langs)))
             kinds = np.add.reduceat((n > 0).astype(float), at, axis=0) if len(at) else totals
+            lost = np.zeros_like(totals)
+            if whole and len(at):
+                kept = totals
+                totals, kinds = (np.maximum.reduceat(x, at, axis=0) for x in whole[k])
+                lost = totals - kept
             group = np.cumsum(new) - 1
             with np.errstate(divide="ignore", invalid="ignore"):
                 bits = -np.log2(n / (totals + kinds)[group]) if len(keys) else n
-                escape = np.where(totals > 0, -np.log2(kinds / (totals + kinds)), 0.0)
+                escape = np.where(totals > 0, -np.log2((kinds + lost) / (totals + kinds)), 0.0)
             bits[~np.isfinite(bits)] = np.inf
             out.keys.append(keys)
             out.symbol_bits.append(bits.astype(np.float32))
@@ -132,7 +143,7 @@ _bits: dict[str, np.ndarray] = {}
 
 def text_bits(trees: ContextTrees, texts: list[str]) -> np.ndarray:
     """Code length of each whole text per language: the sum over its words."""
-    if trees.name not in _memory or len(_memory[trees.name]) > CACHE_WORDS:
+    if trees.name not in _memory or len(_memory[trees.name]) * len(trees.langs) > CACHE_CELLS:
         _memory.clear()
         _bits.clear()
         _memory[trees.name], _bits[trees.name] = {}, np.zeros((1, len(trees.langs)))
@@ -169,43 +180,64 @@ def _node_counts(batch: pa.RecordBatch):
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(np.full(len(keys), k, np.int32)), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "k", "key", "n"])
 
 
-def fit_languages(labelled: DataFrame, train_docs: int = TRAIN_DOCS, most_nodes: int = MOST_NODES * (DEPTH + 1)) -> ContextTrees:
-    """Fit context trees on rows with text and lang, about train_docs of each language.
+def node_table(labelled: DataFrame, train_docs: int) -> DataFrame:
+    """k, key, lang and count n of every node of the sample, and the total and kinds of symbols of its context.
 
-    The sample is set by a hash of the id (of the text, if the id is null)
-    against the language's number of rows. Node counts are summed on the
-    cluster; the driver gets at most most_nodes nodes. They are taken by their
-    place in their language and length, so each of these keeps its most frequent
-    ones, and what one doesn't use goes to the others. Only the MOST_LANGUAGES
-    languages with the most rows are learned and can be predicted.
+    The sample has about train_docs rows of each language, taken by a hash of the
+    id (of the text, if the id is null) against the language's number of rows.
     """
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    per = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
-    if not per:
-        return ContextTrees.fit([], {})
-    share = F.create_map(*[x for lang, n in per.items() for x in (F.lit(lang), F.lit(min(1.0, train_docs / n)))])
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).select("lang", "text")
+    # one row per language
+    shares = labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(train_docs) / F.count("*")).alias("share"))
+    place = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(1_000_000))
+    sample = labelled.join(shares, "lang").where(place < F.col("share") * 1_000_000).select("lang", "text")
     nodes = map_texts(sample, _node_counts, "lang string, k int, key long, n long").groupBy("k", "key", "lang").agg(F.sum("n").alias("n"))
-    nodes = nodes.where((F.col("n") > 1) | (F.col("k") <= 2))
+    siblings = Window.partitionBy("k", "lang", F.shiftright("key", 8))  # a symbol is a byte: 256 rows at most
+    return nodes.withColumns({"total": F.sum("n").over(siblings), "kinds": F.count("*").over(siblings)})
+
+
+def fit_languages(labelled: DataFrame, train_docs: int = TRAIN_DOCS, most_nodes: int = MOST_NODES) -> ContextTrees:
+    """Fit context trees on rows with text and lang, about train_docs of each language.
+
+    Nodes are counted on the cluster; the driver gets most_nodes of them at most
+    (MOST_CELLS over the number of languages, if that is less). They are taken by
+    their place in their language, most frequent first and contexts before what
+    they hold, so a kept node's context is kept. A node that isn't kept still
+    counts in its context: see ContextTrees. Every language of a row with text is
+    learned.
+    """
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    nodes = node_table(rows, train_docs)
     # bounded by the sample: train_docs texts of a language
-    nodes = nodes.withColumn("place", F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "key")))
-    langs, counts = sorted(per), {}
-    own = [f"lang_{i}" for i in range(len(langs))]
-    table = nodes.groupBy("k", "key").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(c) for c, x in zip(own, langs, strict=True)], F.min("place").alias("place"))
-    got = table.orderBy("place", "k", "key").limit(most_nodes).toArrow()
+    nodes = nodes.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "k", "key")))
+    nodes = materialize(nodes, "nodes")
+    langs = sorted(r["lang"] for r in nodes.where(F.col("place") == 1).select("lang").collect())
+    if not langs:
+        discard(nodes)
+        return ContextTrees.fit([], {})
+    of_key = nodes.groupBy("k", "key").agg(F.min("place").alias("place"), F.collect_list(F.struct("lang", "n", "total", "kinds")).alias("own"))
+    first = of_key.orderBy("place", "k", "key").limit(max(1, min(most_nodes, MOST_CELLS // len(langs))))
+    got = first.select("k", "key", F.explode("own").alias("o")).select("k", "key", "o.*").toArrow()
+    discard(nodes)
+    number = {x: i for i, x in enumerate(langs)}
+    lang = np.fromiter((number[x] for x in got["lang"].to_pylist()), np.int64, got.num_rows)
     ks, keys = got["k"].to_numpy(), got["key"].to_numpy().astype(np.uint64)
-    n = np.stack([got[c].to_numpy().astype(float) for c in own], 1)
+    counts, whole = {}, {}
     for k in range(1, DEPTH + 2):
         at = np.flatnonzero(ks == k)
-        at = at[np.argsort(keys[at])]
-        counts[k] = keys[at], n[at]
-    return ContextTrees.fit(langs, counts)
+        own, row = np.unique(keys[at], return_inverse=True)
+        tables = []
+        for name in ("n", "total", "kinds"):
+            table = np.zeros((len(own), len(langs)))
+            table[row, lang[at]] = got[name].to_numpy()[at]
+            tables.append(table)
+        counts[k], whole[k] = (own, tables[0]), (tables[1], tables[2])
+    return ContextTrees.fit(langs, counts, whole)
 
 
 def predict_languages(docs: DataFrame, trees: ContextTrees, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Add the predicted language and its probability (all equally likely beforehand), under `names`, to `keep` columns."""
     source = docs.select(*keep, *(["text"] if "text" not in keep else []))
-    shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by MOST_NODES
+    shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by MOST_NODES and MOST_CELLS
 
     def score(batch):
         model = shared.value
@@ -236,7 +268,7 @@ def identify_languages(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFra
     inside one lower-cased word with a space before and after it) with escape
     probabilities (method C, without exclusion) gives each word's exact code
     length under frozen statistics. A text's code length is the sum over all its
-    words; the shortest wins, ties by name. The trees learn only from documents
+    words, whatever its length; the shortest wins, ties by name. The trees learn only from documents
     that aren't held out (crc32 of the id as text, modulo 5, is 0) and have a
     lang; text is the only input of a prediction.
 

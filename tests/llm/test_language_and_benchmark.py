@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 
@@ -83,6 +84,77 @@ def test_every_language_keeps_nodes_of_every_length(spark):
     assert sum(len(k) for k in trees.keys) == 200
 
 
+def plain_bits(word, counts, kept):
+    """Code length of one word by walking down the contexts; counts: of all strings of a language, kept: those the tree has."""
+    total, padded = 0.0, b" " + word + b" "
+    for i in range(1, len(padded)):
+        for size in range(min(i, 4), -1, -1):
+            context = padded[i - size : i]
+            children = {c: n for c, n in ((x[-1:], n) for x, n in counts.items() if x[:-1] == context)}
+            own = {c: n for c, n in children.items() if context + c in kept}
+            if not own:
+                continue
+            n, kinds = sum(children.values()), len(children)
+            symbol = padded[i : i + 1]
+            if symbol in own:
+                total -= np.log2(own[symbol] / (n + kinds))
+                break
+            total -= np.log2((kinds + n - sum(own.values())) / (n + kinds))
+        else:
+            total += 8
+    return total
+
+
+def plain_counts(rows):
+    counts = {}
+    for _, text, lang, *_ in rows:
+        for w in text.lower().encode().split():
+            padded = b" " + w + b" "
+            for i in range(1, len(padded)):
+                for size in range(1, min(i + 1, 5) + 1):
+                    x = padded[i - size + 1 : i + 1]
+                    counts.setdefault(lang, {})[x] = counts.setdefault(lang, {}).get(x, 0) + 1
+    return counts
+
+
+def test_predictions_equal_brute_force(spark):
+    rows = texts(40, seed=3) + [(2000, "mola krchta uoieab", "aa", "s", 0.0), (2001, "q Zz mol\u00e9", "bb", "s", 0.0)]
+    df = spark.createDataFrame(rows, DOCS)
+    trained = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    counts = plain_counts(trained)
+    memory = {}
+    for d, lang_pred, score in [(r["doc_id"], r["lang_pred"], r["score"]) for r in identify_languages(df).collect()]:
+        text = next(r[1] for r in rows if r[0] == d)
+        bits = {}
+        for lang, own in counts.items():
+            for w in text.lower().encode().split():
+                if (w, lang) not in memory:
+                    memory[w, lang] = plain_bits(w, own, own)
+                bits[lang] = bits.get(lang, 0) + memory[w, lang]
+        least = min(bits.values())
+        assert bits[lang_pred] - least < 1e-3
+        assert abs(score - 1 / sum(2 ** max(-1000, least - b) for b in bits.values())) < 1e-3
+
+
+def test_pruned_nodes_stay_in_their_contexts_counts(spark):
+    rows = texts(30, seed=4)
+    counts = plain_counts(rows)
+    trees = fit_languages(spark.createDataFrame(rows, DOCS), most_nodes=90)
+    kept = {int(key).to_bytes(k + 1, "big") for k, keys in enumerate(trees.keys) for key in keys}
+    assert len(kept) == 90 and all(x[:-1] in kept for x in kept if len(x) > 1)
+    words = [b"molaa", b"krchtz", b"uoi", b"zebra", b"tirrae"]
+    wanted = [[plain_bits(w, counts[lang], kept) for lang in trees.langs] for w in words]
+    assert np.allclose(trees.word_bits(words), wanted, atol=1e-3)
+
+
+def test_many_languages_all_are_learned(spark):
+    rows = [(i, f"w{i}x{i * 7}y " * 3, f"l{i:03}", "s", 1.0) for i in range(400)]
+    trees = fit_languages(spark.createDataFrame(rows, DOCS))
+    assert trees.langs == sorted(r[2] for r in rows)
+    long = [(0, rows[7][1] * 20_000, "l007", "s", 1.0)]
+    assert [r["lang_pred"] for r in predict_languages(spark.createDataFrame(long, DOCS), trees, ["doc_id"]).collect()] == ["l007"]
+
+
 def test_null_ids_are_sampled_like_others(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     rows = [(None, f"{a}{b} QQQQQ", "aa", "s", 1.0) for a in letters for b in letters]
