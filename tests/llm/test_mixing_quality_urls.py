@@ -198,3 +198,11 @@ def test_pattern_tokens():
     assert pattern_tokens("^casino-") == ["casino"]
     assert pattern_tokens("abc*") == []
     assert F is not None
+
+
+def test_frequent_null_and_long_urls(spark):
+    long = "http://x.com/en/" + "a/" * 200_000
+    rows = [(i, "http://x.net/de/1") for i in range(50)] + [(None, "http://x.net/de/1")] * 3 + [(7, "http://x.net/de/1"), (8, None), (8, None), (None, None), (9, long), (9, long), (9, "http://plain.io")]
+    got = url_verdicts(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    wanted = [(i, *brute_verdict(u)) for i, u in rows]
+    assert sorted(((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got), key=str) == sorted(wanted, key=str)
