@@ -22,6 +22,8 @@ MOST_NODES = 750_000
 MOST_CELLS = 16 * MOST_NODES
 #: Distinct words times languages whose code lengths a worker remembers at most.
 CACHE_CELLS = 3_200_000
+#: Languages up to which their sampling shares are broadcast; beyond, they are joined by shuffling.
+BROADCAST_LANGUAGES = 100_000
 UNKNOWN = "und"
 
 
@@ -186,8 +188,9 @@ def node_table(labelled: DataFrame, train_docs: int) -> DataFrame:
     The sample has about train_docs rows of each language, taken by a hash of the
     id (of the text, if the id is null) against the language's number of rows.
     """
-    # one row per language
-    shares = labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(train_docs) / F.count("*")).alias("share"))
+    shares = materialize(labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(train_docs) / F.count("*")).alias("share")), "shares")
+    if shares.count() <= BROADCAST_LANGUAGES:  # texts stay where they are read
+        shares = F.broadcast(shares)
     place = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(1_000_000))
     sample = labelled.join(shares, "lang").where(place < F.col("share") * 1_000_000).select("lang", "text")
     nodes = map_texts(sample, _node_counts, "lang string, k int, key long, n long").groupBy("k", "key", "lang").agg(F.sum("n").alias("n"))
