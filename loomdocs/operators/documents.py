@@ -15,7 +15,9 @@ from ..functions.citations import citation_column, parse_citation
 from ..functions.dates import safe_date, title_date
 from ..functions.payload import scrub_struct
 from ..functions.sections import split_sections
-from .joins import append_uncovered, attach_url
+from .joins import append_uncovered, attach_url, unscrubbed
+from .merge import upsert_child
+from .quality import validate
 
 SECTION_TYPE = "null_values array<string>, header string, judgment string, order string, appearances string, footnotes string"
 PARSERS: dict[str, Callable[[str | None], dict]] = {"default": split_sections}
@@ -299,3 +301,39 @@ def extract_and_scrub(rec: DataFrame, header: DataFrame, body: DataFrame) -> tup
     return done, rec.select("id").join(wrapped.select("id"), "id", "left_anti").withColumn("reason", F.lit("no result"))
 
 
+#: What an extractor's JSON may hold by pass, and what the wrapped payload must.
+HEADER_RESULT = "court string, judges array<string>, applicant string, respondent string, judgment_date string"
+BODY_RESULT = "outcome string, summary string"
+PAYLOAD_REQUIRED, PAYLOAD_DATES = ["title", "extracted_data.court"], ["extracted_data.judgment_date"]
+
+
+def pass_results(results: DataFrame, name: str, schema: str) -> DataFrame:
+    """One pass's results (id, pass, result as JSON) as columns; of repeated ones the first in text order, none if it isn't JSON."""
+    own = results.where(F.col("pass") == name).withColumn("r", F.from_json("result", schema)).where(F.try_parse_json("result").isNotNull())
+    return own.groupBy("id").agg(F.min_by("r", "result").alias("r")).select("id", "r.*")
+
+
+def extract_pending(rec: DataFrame, parsed: DataFrame, scrubbed: DataFrame, tgt: DataFrame, ent: DataFrame, extractor, now) -> tuple[DataFrame, DataFrame]:
+    """D17 as one job: the scrubbed table's new state, and the ids that gave no row with their reasons (Q5).
+
+    Reads detailed records without scrubbed row that aren't under review (J5),
+    builds contexts (D12), applies `extractor` (D13: iterators of pandas frames
+    of id, pass, context to id, pass, result as JSON), fills headers from the
+    record (D14), merges (D15), wraps (D16) and scrubs (X2), checks the payload
+    (Q1) and upserts the children (M4). A record needs a result of any pass.
+    rec: id, title, data (with full_text), status, record_type, document_date,
+    target_id, requires_human_review. Null and empty texts give an empty context.
+    """
+    own = unscrubbed(rec.where(~F.coalesce("requires_human_review", F.lit(False))), parsed, scrubbed, tgt, ent)
+    own = own.withColumns({"full_text": F.get_json_object("data", "$.full_text"), "sections": F.from_json("parsed_data", SECTION_TYPE)})
+    own = own.withColumn("header", F.coalesce("sections.header", F.lit("")))
+    kind = rec.schema["id"].dataType.simpleString()
+    results = apply_extractor(extraction_contexts(own), extractor, f"id {kind}, pass string, result string")
+    header, body = pass_results(results, "header", HEADER_RESULT), pass_results(results, "body", BODY_RESULT)
+    reached = header.select("id").union(body.select("id")).distinct()
+    filled = header_fallback(header.drop("judges"), own.join(reached, "id", "left_semi"))
+    done, missing = extract_and_scrub(own, filled.join(header.select("id", "judges"), "id", "left"), body)
+    checked = done.select("id", F.to_json(F.struct("title", "metadata", "extracted_data")).alias("payload"))
+    good, bad = validate(checked, T.StructType().add("title", "string"), PAYLOAD_REQUIRED, PAYLOAD_DATES)
+    rejects = missing.unionByName(bad.select("id", F.array_join("reasons", "; ").alias("reason")))
+    return upsert_child(scrubbed, good.select(F.col("id").alias("extracted_record_id"), F.col("payload").alias("data")), now), rejects

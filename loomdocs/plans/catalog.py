@@ -804,6 +804,68 @@ def _(t):
     return done.select("id", "metadata.case_number", "extracted_data.summary")
 
 
+def _json_passes(frames):
+    """The extractor of the D17 queries: no result for every 7th id, a wrong date for every 11th."""
+    import hashlib
+    import json
+
+    import pandas as pd
+
+    for pdf in frames:
+        rows = []
+        for i, name, context in zip(pdf["id"], pdf["pass"], pdf["context"], strict=True):
+            if i % 7 and name == "header":
+                rows.append((i, name, json.dumps({"court": "", "judges": ["SMITH J"], "judgment_date": "soon" if i % 11 == 0 else "3 May 2020"})))
+            elif i % 7 and name == "body":
+                rows.append((i, name, json.dumps({"outcome": "Granted", "summary": f"id 8001015009087 {hashlib.md5(context.encode()).hexdigest()}"})))
+        yield pd.DataFrame(rows, columns=["id", "pass", "result"])
+
+
+def _records(docs):
+    """Documents as records; every 5th is only indexed, every 13th under review."""
+    i = F.col("doc_id")
+    title = F.concat(F.lit("A v B (CCT "), i.cast("string"), F.lit("/20) [2020] ZACC 1 (3 May 2020)"))
+    return docs.select(
+        i.alias("id"), title.alias("title"), F.to_json(F.struct(F.col("text").alias("full_text"))).alias("data"), F.when(i % 5 == 0, "indexed").otherwise("detailed").alias("status"),
+        F.lit("cases").alias("record_type"), F.lit("2020-05-03").cast("date").alias("document_date"), (i % 25).alias("target_id"), (i % 13 == 0).alias("requires_human_review"),
+    )
+
+
+def _extraction(t):
+    """Sections of even documents, an empty scrubbed table's schema, and dimensions."""
+    even = t["documents"].where("doc_id % 2 = 0")
+    parsed = even.select(F.col("doc_id").alias("extracted_record_id"), F.to_json(F.struct(F.col("text").alias("judgment"), F.lit("It is so ordered.").alias("order"))).alias("data"))
+    dims = t["nation"].select(F.col("n_nationkey").alias("id"), F.lit("ZACC").alias("target_name"), F.col("n_regionkey").alias("entity_id"))
+    return parsed, dims, t["region"].select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+
+
+_CHILD_TYPE = "extracted_record_id long, data string, created_at timestamp, updated_at timestamp"
+_PENDING = "doc_id % 5 <> 0 AND doc_id % 13 <> 0"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_EXTRACTED = f"""SELECT doc_id AS id, concat('CCT ', CAST(doc_id AS VARCHAR), '/20') AS case_number, r_name AS entity_name, 'Constitutional Court of South Africa' AS court,
+CASE WHEN doc_id % 11 <> 0 THEN '2020-05-03' END AS judgment_date, concat('id [RSA ID] ', md5(CASE WHEN doc_id % 2 = 0 THEN concat_ws(chr(10) || chr(10), nullif(trim(text, {_BLANKS}), ''), 'It is so ordered.') ELSE coalesce(text, '') END)) AS summary
+FROM documents JOIN nation ON n_nationkey = doc_id % 25 JOIN region ON r_regionkey = n_regionkey WHERE {_PENDING} AND doc_id % 7 <> 0"""
+
+
+def _payloads_of(child):
+    p = lambda c: F.get_json_object("data", f"$.{c}")
+    return child.select(F.col("extracted_record_id").alias("id"), p("metadata.case_number").alias("case_number"), p("metadata.entity_name").alias("entity_name"), *[p(f"extracted_data.{c}").alias(c) for c in ("court", "judgment_date", "summary")])
+
+
+@query("D17_extract_pending", f"SELECT * FROM ({_EXTRACTED}) WHERE id % 3 <> 0")
+def _(t):
+    had = t["documents"].where("doc_id % 3 = 0").select(F.col("doc_id").alias("extracted_record_id"), F.lit("{}").alias("data"), _now().alias("created_at"), _now().alias("updated_at"))
+    child, _ = documents.extract_pending(_records(t["documents"]), _extraction(t)[0], had, *_extraction(t)[1:], _json_passes, _now())
+    return _payloads_of(child.where("data <> '{}'"))
+
+
+@query("D17_Q5_extraction_rejects", f"SELECT doc_id AS id, 'no result' AS reason FROM documents WHERE {_PENDING} AND doc_id % 7 = 0")
+def _(t):
+    none = t.spark.createDataFrame([], _CHILD_TYPE)
+    parsed, dims, ents = _extraction(t)
+    return documents.extract_pending(_records(t["documents"]), parsed, none, dims, ents, _json_passes, _now())[1]
+
+
 _TIER = "array<struct<qty:string,price:string>>"
 
 
@@ -1135,6 +1197,17 @@ def _(t):
     return table.current().select(F.col("extracted_record_id").alias("doc_id"), F.col("data").alias("order_text"))
 
 
+@query("ST3_stream_scrub", _EXTRACTED)
+def _(t):
+    from ..streaming.streams import Versions, stream_scrub
+    from ..streaming.tables import landed, shared_folder
+
+    folder = shared_folder(t.spark, "scrub")
+    table = Versions(t.spark, f"{folder}/scrubbed", _CHILD_TYPE)
+    stream_scrub(_records(landed(t.spark, f"{t.dir}/documents.parquet")), table, *_extraction(t), _json_passes, _now(), f"{folder}/state").awaitTermination()
+    return _payloads_of(table.current())
+
+
 @query("ST3_ST8_stream_redact", f"SELECT doc_id, md5({_SCRUB_SQL.format('text')}) AS text FROM documents")
 def _(t):
     from ..streaming.streams import stream_redact

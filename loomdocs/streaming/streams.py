@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from ..functions.text import scrub
 from ..operators.aggregates import BUCKET_MINUTES, GAP_SECONDS, ONLINE_MINUTES
+from ..operators.documents import extract_pending
 
 
 class Versions:
@@ -46,6 +47,15 @@ def stream_upsert(source: DataFrame, table: Versions, merge: Callable[[DataFrame
     return source.writeStream.foreachBatch(lambda batch, _: table.put(merge(table.current(), batch))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def stream_scrub(source: DataFrame, table: Versions, parsed: DataFrame, tgt: DataFrame, ent: DataFrame, extractor, now, checkpoint: str) -> StreamingQuery:
+    """ST3: landed records through extraction and scrubbing (D17) into the scrubbed table, per micro-batch.
+
+    Records that have a scrubbed row are left alone, so a repeated micro-batch
+    changes nothing; rejected ones get no row.
+    """
+    return stream_upsert(source, table, lambda old, batch: extract_pending(batch, parsed, old, tgt, ent, extractor, now)[0], checkpoint)
+
+
 def stream_intervals(ev: DataFrame, key: str, watermark: str = "10 minutes", minutes: int = BUCKET_MINUTES) -> DataFrame:
     """ST4: counts per completed bucket; empty buckets are filled by the reader."""
     counted = ev.withWatermark("ts", watermark).groupBy(key, F.window("ts", f"{minutes} minutes")).agg(F.count("*").alias("n"))
