@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
 from ._spark import chunks, scratch, small_batches, tasks_for
 
-#: Pieces in the young half of a worker's cache; at that size it becomes the old half.
-CACHE_PIECES = 500_000
+#: Pieces in the young half of a worker's cache; at that size it becomes the old half. Longer pieces aren't kept.
+CACHE_PIECES, CACHE_CHARS = 500_000, 64
+#: A run of Latin letters and what may follow it in a piece of its own: ASCII signs other than the apostrophe.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is printable, else the next one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class PieceEncoder:
@@ -21,10 +33,15 @@ class PieceEncoder:
 
     The tokenizer's pre-tokenizer starts a new token at a space that has no
     white space beside it, and makes a token of such a newline. Texts whose
-    white space stands alone are cut there, and the pieces' ids are joined; the
-    result equals that of the whole text. Other texts are encoded whole, as are
-    those that hold a token added to the vocabulary (a special token gets its
-    own id, as by the plain library call).
+    white space stands alone are cut there, the distinct pieces of a batch are
+    looked up, and their ids are put together by position; the result equals
+    that of the whole text. Other texts are encoded whole, as are those that
+    hold a token added to the vocabulary (a special token gets its own id, as
+    by the plain library call).
+
+    A piece is what stands after a space, or a newline and what stands after
+    it. Pieces of letters and signs go to the tokenizer's model directly, as the
+    pre-tokenizer would cut them in these two; others to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -35,61 +52,105 @@ class PieceEncoder:
         self.newline = self._ids("\n")
         if len(self.newline) != 1:
             raise ValueError("the tokenizer has no token of its own for a newline")
-        self.caches: dict[str, tuple[dict, dict]] = {"": ({}, {}), " ": ({}, {})}
+        self.letters = _byte_letters()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, pieces: set[str], lead: str) -> dict[str, bytes | None]:
-        """Ids of pieces, each with `lead` before it; None for those that need their neighbours.
-
-        Unseen ones are encoded many at a time with newlines between, and the ids cut there.
-        """
-        cache, old = self.caches[lead]
-        if len(cache) > CACHE_PIECES:
-            old, cache = cache, {}
-            self.caches[lead] = cache, old
-        new = []
-        for x in pieces.difference(cache):
-            if x in old:
-                cache[x] = old[x]
-            elif not x or x[0].isspace() or x[-1].isspace() or "\u180e" in (x[0], x[-1]):
-                cache[x] = None
+    def _stem(self, token: str) -> bytes:
+        """Ids of one pre-token."""
+        if token.isascii():
+            mapped = "\u0120" + token[1:] if token[0] == " " else token
+        else:
+            mapped = token.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+        if len(token) <= CACHE_CHARS:
+            self.stems[token] = ids
+        return ids
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of unseen pieces; nothing (b"") for those that need their neighbours."""
+        newline, found, others = self.newline.tobytes(), {}, {"": [], " ": []}
+        if len(self.stems) > CACHE_PIECES:
+            self.stems = {"": b""}
+        stems, learn, match = self.stems, self._stem, _PLAIN.fullmatch
+        for piece in pieces:
+            bare = piece[:1] == "\n"
+            body = piece[1:] if bare else piece
+            plain = match(body)
+            if plain:
+                stem, tail = plain.groups()
+                if not bare:
+                    stem = " " + stem
+                ids = (stems.get(stem) or learn(stem)) + (tail and (stems.get(tail) or learn(tail)) or b"")
+                found[piece] = newline + ids if bare else ids
+            elif not body or body[0].isspace() or body[-1].isspace() or "\u180e" in (body[0], body[-1]):
+                found[piece] = b""
             else:
-                new.append(x)
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            ids = self._ids("\n".join([lead + x for x in some]))
-            raw = ids.tobytes()
-            start = 0
-            for piece, end in zip(some, [*(np.flatnonzero(ids == self.newline[0]) * 4).tolist(), len(raw)], strict=True):
-                cache[piece] = raw[start:end]
-                start = end + 4
-        return cache
+                others["" if bare else " "].append(body)
+        for lead, bodies in others.items():  # many at a time with newlines between, cut there
+            for at in range(0, len(bodies), 20_000):
+                some = bodies[at : at + 20_000]
+                ids = self._ids("\n".join([lead + x for x in some]))
+                raw, start = ids.tobytes(), 0
+                for body, end in zip(some, [*(np.flatnonzero(ids == self.newline[0]) * 4).tolist(), len(raw)], strict=True):
+                    found[body if lead else "\n" + body] = raw[start:end] if lead else newline + raw[start:end]
+                    start = end + 4
+        return found
+
+    def _lookup(self, pieces: list[str]) -> list[bytes]:
+        if len(self.young) > CACHE_PIECES:
+            self.old, self.young = self.young, {}
+        ids = list(map(self.young.get, pieces))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            new = [pieces[i] for i in missing]
+            learned = {x: self.old[x] for x in new if x in self.old} if self.old else {}
+            learned |= self._learn([x for x in new if x not in learned] if learned else new)
+            for i, x in zip(missing, new, strict=True):
+                ids[i] = learned[x]
+            self.young.update(learned if all(len(x) <= CACHE_CHARS for x in learned) else {x: v for x, v in learned.items() if len(x) <= CACHE_CHARS})
+        return ids
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column of strings without nulls, one text after the other, and each text's number of ids."""
+        n = len(texts)
+        if n == 0:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        # every newline starts a piece; so does a text, by a newline that is taken off again
+        lines = pc.replace_substring(texts, "\n", " \n")
+        cut = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", texts.type), lines, pa.scalar("", texts.type)), " ")
+        words = np.asarray(pc.list_value_length(cut), np.int64)
+        coded = pc.list_flatten(cut).dictionary_encode()
+        codes = np.asarray(coded.indices)
+        ids = self._lookup(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        whole = np.zeros(n, bool)  # encoded by the plain call
+        for token in self.added:
+            whole |= np.asarray(pc.match_substring(texts, token).cast(pa.uint8())).astype(bool)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        if not sizes.all():
+            whole[np.repeat(np.arange(n), words)[sizes[codes] == 0]] = True
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        begins = np.cumsum(sizes) - sizes
+        counts = sizes[codes]
+        ends = np.cumsum(counts)
+        flat = pool[np.arange(ends[-1]) + np.repeat(begins[codes] - (ends - counts), counts)]
+        edges = np.concatenate([[0], ends[np.cumsum(words) - 1]])
+        if not whole.any():
+            keep = np.ones(len(flat), bool)
+            keep[edges[:-1]] = False
+            return flat[keep], np.diff(edges) - 1
+        parts = [self._ids(texts[i].as_py()) if whole[i] else flat[edges[i] + 1 : edges[i + 1]] for i in range(n)]
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        held = {i for i, t in enumerate(texts) if any(x in t for x in self.added)}
-        if held:
-            others = iter(self.encode([t for i, t in enumerate(texts) if i not in held]))
-            return [self._ids(t).tobytes() if i in held else next(others) for i, t in enumerate(texts)]
-        cut = [[line.split(" ") for line in t.split("\n")] for t in texts]
-        firsts, rest = set(), set()
-        for lines in cut:
-            for line in lines:
-                firsts.add(line[0])
-                del line[0]
-                rest.update(line)
-        # (the first pieces are cut from the texts again below)
-        bare, spaced = self._learn(firsts, ""), self._learn(rest, " ")
-        newline, out = self.newline.tobytes(), []
-        for text, lines in zip(texts, cut, strict=True):
-            try:
-                heads = [line.partition(" ")[0] for line in text.split("\n")]
-                out.append(newline.join([bare[head] + b"".join(map(spaced.__getitem__, line)) for head, line in zip(heads, lines, strict=True)]))
-            except TypeError:  # white space beside white space
-                out.append(self._ids(text).tobytes() if text else b"")
-        return out
+        ids, lengths = self.encode_column(pa.array(texts, pa.string()))
+        ends = np.cumsum(lengths)
+        return [ids[a:b].tobytes() for a, b in zip(ends - lengths, ends, strict=True)]
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -105,20 +166,23 @@ def encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
+def with_end_ids(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' ids with end_id after each text, and the new lengths."""
+    return np.insert(ids, np.cumsum(lengths), np.uint32(end_id)), lengths + 1
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int, keep: list[str]) -> DataFrame:
     """Add ids (array<int>) and n_tokens to the `keep` columns; null text counts as empty."""
     source = docs.select(*keep, "text")
     kept = source.drop("text").schema
 
     def run(batches):
-        tail = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in chunks(batch):
-                encoded = [x + tail for x in encoder(tokenizer).encode([t or "" for t in part.column("text").to_pylist()])]
-                lengths = np.array([len(x) // 4 for x in encoded], np.int64)
-                offsets = np.zeros(len(encoded) + 1, np.int32)
+                flat, lengths = with_end_ids(*encoder(tokenizer).encode_column(pc.fill_null(part.column("text"), "")), end_id)
+                offsets = np.zeros(len(lengths) + 1, np.int32)
                 np.cumsum(lengths, out=offsets[1:])
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)))
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(lengths), ids], [*keep, "n_tokens", "ids"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", n_tokens long, ids array<int>"
