@@ -1,4 +1,4 @@
-"""Queries of the ten training-data operators, and SQL where it can express them."""
+"""Queries of the thirteen training-data operators, and SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -82,6 +82,12 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), 1024)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,7 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    ops = [op1_chat_formatting, op2_substring_dedup, op3_token_output, op4_sharding, op5_source_mixing, op6_ngram_jaccard_join, op7_quality_rules, op8_url_filters, op9_language_id, op10_benchmark_decontamination, pipeline]
+    ops = [op1_chat_formatting, op2_substring_dedup, op3_token_output, op4_sharding, op5_source_mixing, op6_ngram_jaccard_join, op7_quality_rules, op8_url_filters, op9_language_id, op10_benchmark_decontamination, op13_best_fit_packing, pipeline]
     return {f.__name__: f for f in ops}
 
 
