@@ -15,6 +15,7 @@ from ..functions.citations import citation_column, parse_citation
 from ..functions.dates import safe_date, title_date
 from ..functions.payload import scrub_struct
 from ..functions.sections import split_sections
+from ..streaming.tables import written
 from .joins import append_uncovered, attach_url, unscrubbed
 from .merge import upsert_child
 from .quality import validate
@@ -323,12 +324,14 @@ def extract_pending(rec: DataFrame, parsed: DataFrame, scrubbed: DataFrame, tgt:
     (Q1) and upserts the children (M4). A record needs a result of any pass.
     rec: id, title, data (with full_text), status, record_type, document_date,
     target_id, requires_human_review. Null and empty texts give an empty context.
+    The extractor's results are written to the shared folder first: it sees every
+    context once, whatever is then asked of the two outputs.
     """
     own = unscrubbed(rec.where(~F.coalesce("requires_human_review", F.lit(False))), parsed, scrubbed, tgt, ent)
     own = own.withColumns({"full_text": F.get_json_object("data", "$.full_text"), "sections": F.from_json("parsed_data", SECTION_TYPE)})
     own = own.withColumn("header", F.coalesce("sections.header", F.lit("")))
     kind = rec.schema["id"].dataType.simpleString()
-    results = apply_extractor(extraction_contexts(own), extractor, f"id {kind}, pass string, result string")
+    results = written(apply_extractor(extraction_contexts(own), extractor, f"id {kind}, pass string, result string"), "extracted")
     header, body = pass_results(results, "header", HEADER_RESULT), pass_results(results, "body", BODY_RESULT)
     reached = header.select("id").union(body.select("id")).distinct()
     filled = header_fallback(header.drop("judges"), own.join(reached, "id", "left_semi"))

@@ -1165,47 +1165,67 @@ _MARK = "(SELECT epoch_us(max(ts)) - 600000000 FROM events)"
 
 @query("ST1_stream_ingest", "SELECT url AS source_url, 'indexed' AS status FROM pages")
 def _(t):
-    from ..streaming.streams import Versions, stream_upsert
-    from ..streaming.tables import landed, shared_folder
+    from ..streaming.streams import stream_upsert
+    from ..streaming.tables import BucketTables, landed, shared_folder
 
     folder = shared_folder(t.spark, "ingest")
-    table = Versions(t.spark, f"{folder}/records", "id string, source_url string, document_date date, target_id string, record_type string, status string, data string, scraped_at timestamp, detailed_at timestamp")
+    tables = BucketTables(t.spark, f"{folder}/tables", {"records": ("id string, source_url string, document_date date, target_id string, record_type string, status string, data string, scraped_at timestamp, detailed_at timestamp", "source_url")}, 8)
 
     def land(old, batch):
         none = F.lit(None)
         rows = batch.select(F.col("url").alias("source_url"), none.cast("date").alias("document_date"), none.cast("string").alias("target_id"), F.lit("page").alias("record_type"), F.lit("indexed").alias("status"), F.to_json(F.struct("page_id")).alias("data"), F.col("page_id").alias("place"))
         return merge.upsert_records(old, rows, _now())
 
-    stream_upsert(landed(t.spark, f"{t.dir}/pages.parquet"), table, land, f"{folder}/state").awaitTermination()
-    return table.current().select("source_url", "status")
+    stream_upsert(landed(t.spark, f"{t.dir}/pages.parquet"), tables, "records", "url", land, f"{folder}/state").awaitTermination()
+    return tables.current("records").select("source_url", "status")
 
 
-@query("ST2_stream_parse", "SELECT doc_id, 'x' AS order_text FROM documents")
+@query("ST2_stream_parse", """SELECT doc_id, md5(concat('ORDER', chr(10), 'The claim ', CAST(doc_id AS VARCHAR), ' fails.')) AS order_md5, 'Appearances: N. N.' AS appearances FROM documents""")
 def _(t):
-    from ..streaming.streams import Versions, stream_upsert
-    from ..streaming.tables import landed, shared_folder
+    from ..streaming.streams import stream_upsert
+    from ..streaming.tables import BucketTables, landed, shared_folder
 
     folder = shared_folder(t.spark, "parse")
-    table = Versions(t.spark, f"{folder}/parsed", "extracted_record_id long, data string, created_at timestamp, updated_at timestamp")
+    tables = BucketTables(t.spark, f"{folder}/tables", {"parsed": (_CHILD_TYPE, "extracted_record_id")}, 8)
 
     def parse(old, batch):
         body = "regexp_replace(coalesce(text, ''), '[^a-z]+', ' ')"
         cut = documents.parse_sections(batch.select("doc_id", F.expr(_D1.format(body, body)).alias("full_text")))
-        return merge.upsert_child(old, cut.select(F.col("doc_id").alias("extracted_record_id"), F.when(F.contains("sections.order", F.lit("fails.")), "x").alias("data")), _now())
+        return merge.upsert_child(old, cut.select(F.col("doc_id").alias("extracted_record_id"), F.to_json("sections").alias("data")), _now())
 
-    stream_upsert(landed(t.spark, f"{t.dir}/documents.parquet"), table, parse, f"{folder}/state").awaitTermination()
-    return table.current().select(F.col("extracted_record_id").alias("doc_id"), F.col("data").alias("order_text"))
+    stream_upsert(landed(t.spark, f"{t.dir}/documents.parquet"), tables, "parsed", "doc_id", parse, f"{folder}/state").awaitTermination()
+    part = lambda c: F.get_json_object("data", f"$.{c}")
+    return tables.current("parsed").select(F.col("extracted_record_id").alias("doc_id"), F.md5(part("order")).alias("order_md5"), part("appearances").alias("appearances"))
+
+
+def _scrubbed(t):
+    """Landed documents in four batches by id, and the last of them again under its number."""
+    from ..streaming.streams import SCRUB_TABLES, scrub_batch
+    from ..streaming.tables import BucketTables, shared_folder
+
+    tables = BucketTables(t.spark, f"{shared_folder(t.spark, 'scrub')}/tables", SCRUB_TABLES, 8)
+    records = _records(t["documents"])
+    for number in (0, 1, 2, 3, 3):
+        scrub_batch(tables, records.where(F.pmod("id", F.lit(4)) == number), number, *_extraction(t), _json_passes, _now())
+    return tables
 
 
 @query("ST3_stream_scrub", _EXTRACTED)
 def _(t):
-    from ..streaming.streams import Versions, stream_scrub
-    from ..streaming.tables import landed, shared_folder
+    from ..streaming.streams import SCRUB_TABLES, stream_scrub
+    from ..streaming.tables import BucketTables, landed, shared_folder
 
     folder = shared_folder(t.spark, "scrub")
-    table = Versions(t.spark, f"{folder}/scrubbed", _CHILD_TYPE)
-    stream_scrub(_records(landed(t.spark, f"{t.dir}/documents.parquet")), table, *_extraction(t), _json_passes, _now(), f"{folder}/state").awaitTermination()
-    return _payloads_of(table.current())
+    tables = BucketTables(t.spark, f"{folder}/tables", SCRUB_TABLES, 8)
+    stream_scrub(_records(landed(t.spark, f"{t.dir}/documents.parquet")), tables, *_extraction(t), _json_passes, _now(), f"{folder}/state").awaitTermination()
+    return _payloads_of(tables.current("scrubbed"))
+
+
+@query("ST3_Q5_scrub_batches", f"""SELECT id, 'scrubbed' AS sink, summary AS said FROM ({_EXTRACTED}) UNION ALL SELECT doc_id, 'rejects', 'no result' FROM documents WHERE {_PENDING} AND doc_id % 7 = 0""")
+def _(t):
+    tables = _scrubbed(t)
+    done = _payloads_of(tables.current("scrubbed")).select("id", F.lit("scrubbed").alias("sink"), F.col("summary").alias("said"))
+    return done.unionByName(tables.current("rejects").select("id", F.lit("rejects").alias("sink"), F.col("reason").alias("said")))
 
 
 @query("ST3_ST8_stream_redact", f"SELECT doc_id, md5({_SCRUB_SQL.format('text')}) AS text FROM documents")

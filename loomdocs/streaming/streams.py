@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from ..functions.text import scrub
 from ..operators.aggregates import BUCKET_MINUTES, GAP_SECONDS, ONLINE_MINUTES
 from ..operators.documents import extract_pending
+from .tables import BucketTables
 
 
 class Versions:
@@ -37,23 +38,49 @@ class Versions:
         df.write.mode("overwrite").parquet(f"{self.root}/v={(numbers[-1] if numbers else 0) + 1}")
 
 
-def stream_upsert(source: DataFrame, table: Versions, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
-    """ST1-ST3: every micro-batch is merged into the table's next version; all available input, then stop.
+def stream_upsert(source: DataFrame, tables: BucketTables, name: str, key: str, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
+    """ST1, ST2: every micro-batch is merged into the buckets of `name` that its keys fall into; all available input, then stop.
 
-    merge(old, batch) is the batch operator: record upsert for ingestion, section
-    parsing or extraction with child upsert for the other steps. Merges are
-    idempotent, so a repeated micro-batch changes nothing.
+    merge(old, batch) is the batch operator, on the rows of those buckets: record
+    upsert (M2) for ingestion, section parsing with child upsert (M4). `key` is the
+    batch's column with the table's key. A repeated batch number changes nothing.
     """
-    return source.writeStream.foreachBatch(lambda batch, _: table.put(merge(table.current(), batch))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+    def take(batch: DataFrame, number: int) -> None:
+        if number > tables.last_batch():
+            buckets = tables.buckets_of(batch, key)
+            tables.commit(number, {name: (buckets, merge(tables.current(name, buckets), batch))})
 
-def stream_scrub(source: DataFrame, table: Versions, parsed: DataFrame, tgt: DataFrame, ent: DataFrame, extractor, now, checkpoint: str) -> StreamingQuery:
-    """ST3: landed records through extraction and scrubbing (D17) into the scrubbed table, per micro-batch.
+    return source.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    Records that have a scrubbed row are left alone, so a repeated micro-batch
-    changes nothing; rejected ones get no row.
+
+#: Tables of the scrubbing stream.
+SCRUB_TABLES = {"scrubbed": ("extracted_record_id long, data string, created_at timestamp, updated_at timestamp", "extracted_record_id"), "rejects": ("id long, reason string", "id")}
+
+
+def scrub_batch(tables: BucketTables, batch: DataFrame, number: int, parsed: DataFrame, tgt: DataFrame, ent: DataFrame, extractor, now) -> bool:
+    """One batch of landed records through extraction and scrubbing (D17), with its rejects (Q5); False if it is in already.
+
+    Records that have a scrubbed row, and those that an earlier batch rejected, are
+    left alone. Scrubbed rows and rejects are two tables under one batch number:
+    both get the batch, or neither does. Only the batch's buckets are read and written.
     """
-    return stream_upsert(source, table, lambda old, batch: extract_pending(batch, parsed, old, tgt, ent, extractor, now)[0], checkpoint)
+    if number <= tables.last_batch():
+        return False
+    buckets = tables.buckets_of(batch, "id")
+    scrubbed, rejected = tables.current("scrubbed", buckets), tables.current("rejects", buckets)
+    fresh = batch.join(rejected.select("id"), "id", "left_anti")
+    child, rejects = extract_pending(fresh, parsed, scrubbed, tgt, ent, extractor, now)
+    return tables.commit(number, {"scrubbed": (buckets, child), "rejects": (buckets, rejected.unionByName(rejects.groupBy("id").agg(F.min("reason").alias("reason"))))})
+
+
+def stream_scrub(source: DataFrame, tables: BucketTables, parsed: DataFrame, tgt: DataFrame, ent: DataFrame, extractor, now, checkpoint: str) -> StreamingQuery:
+    """ST3: scrub_batch for every micro-batch."""
+
+    def take(batch: DataFrame, number: int) -> None:
+        scrub_batch(tables, batch, number, parsed, tgt, ent, extractor, now)
+
+    return source.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_intervals(ev: DataFrame, key: str, watermark: str = "10 minutes", minutes: int = BUCKET_MINUTES) -> DataFrame:

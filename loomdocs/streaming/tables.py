@@ -1,11 +1,13 @@
-"""Running a streaming query over what has landed, into a table."""
+"""Streams over what has landed, and tables that take their micro-batches."""
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -35,3 +37,108 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     path = shared_folder(spark, name)
     stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: what several outputs need is computed once."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class BucketTables:
+    """Tables cut into buckets by a hash of their key, changed together by numbered batches.
+
+    A batch reads and writes only the buckets that its keys fall into; all other
+    buckets keep their files. tables: name -> (schema, key). New buckets are
+    written beside the old ones, in `name/v=<batch>/bucket=<b>`; a batch counts once
+    its manifest is there, which names the version of every bucket of every table
+    and appears by one rename. So readers see a batch whole, in all tables, or not
+    at all; a batch that failed is written again; and a batch number that is already
+    in is passed over. The last two states stay readable, older buckets go.
+
+    Rows of a null key are a bucket like others. Choose n_buckets so that a bucket
+    suits a few tasks (a bucket's rows may be split over several).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, tables: dict[str, tuple[str, str]], n_buckets: int = 64):
+        self.spark, self.root, self.tables, self.n_buckets = spark, root.rstrip("/"), tables, n_buckets
+        path = self._path("_commits")
+        self.fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        known = self.manifest()
+        if known and known["n_buckets"] != n_buckets:
+            raise ValueError(f"{root} has {known['n_buckets']} buckets")
+
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
+
+    def _commits(self) -> list[int]:
+        folder = self._path("_commits")
+        names = [x.getPath().getName() for x in self.fs.listStatus(folder)] if self.fs.exists(folder) else []
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def _read(self, number: int) -> dict:
+        stream = self.fs.open(self._path("_commits", f"{number}.json"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()))
+        finally:
+            stream.close()
+
+    def manifest(self) -> dict | None:
+        """The last batch: {batch, n_buckets, tables: {name: {bucket: version}}}."""
+        numbers = self._commits()
+        return self._read(numbers[-1]) if numbers else None
+
+    def last_batch(self) -> int:
+        numbers = self._commits()
+        return numbers[-1] if numbers else -1
+
+    def bucket(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.n_buckets)).cast("int")
+
+    def buckets_of(self, rows: DataFrame, key: str) -> list[int]:
+        """Buckets that the rows' keys fall into: n_buckets numbers at most."""
+        return sorted(r[0] for r in rows.select(self.bucket(F.col(key)).alias("bucket")).distinct().collect())
+
+    def current(self, name: str, buckets: list[int] | None = None) -> DataFrame:
+        """A table's rows, of all buckets or of the given ones."""
+        schema, known = self.tables[name][0], self.manifest()
+        versions = known["tables"].get(name, {}) if known else {}
+        paths = [f"{self.root}/{name}/v={v}/bucket={b}" for b, v in versions.items() if buckets is None or int(b) in set(buckets)]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def commit(self, batch: int, changes: dict[str, tuple[list[int], DataFrame]]) -> bool:
+        """Replace, for each named table, the given buckets by the given rows; False if the batch is in already."""
+        before = self.manifest()
+        if before and before["batch"] >= batch:
+            return False
+        after = {name: dict(before["tables"].get(name, {})) if before else {} for name in self.tables}
+        for name, (buckets, rows) in changes.items():
+            own = self.bucket(F.col(self.tables[name][1]))
+            checked = F.when(own.isin(buckets), own).otherwise(F.raise_error(F.lit(f"{name}: a row outside the batch's buckets"))).cast("int") if buckets else own
+            columns = self.spark.createDataFrame([], self.tables[name][0]).columns
+            rows.select(*columns, checked.alias("bucket")).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{name}/v={batch}")
+            for b in buckets:
+                after[name].pop(str(b), None)
+                if self.fs.exists(self._path(name, f"v={batch}", f"bucket={b}")):
+                    after[name][str(b)] = batch
+        self._publish(batch, {"batch": batch, "n_buckets": self.n_buckets, "tables": after})
+        self._remove_old()
+        return True
+
+    def _publish(self, batch: int, manifest: dict) -> None:
+        draft = self._path("_commits", f".{uuid.uuid4().hex}")
+        stream = self.fs.create(draft, True)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        if not self.fs.rename(draft, self._path("_commits", f"{batch}.json")):
+            raise OSError(f"batch {batch} of {self.root} could not be published")
+
+    def _remove_old(self, keep: int = 2) -> None:
+        numbers = self._commits()
+        places = lambda m: {(name, v, b) for name, own in m["tables"].items() for b, v in own.items()}
+        kept = set().union(*[places(self._read(n)) for n in numbers[-keep:]])
+        for number in numbers[:-keep]:
+            for name, v, b in places(self._read(number)) - kept:
+                self.fs.delete(self._path(name, f"v={v}", f"bucket={b}"), True)
+            self.fs.delete(self._path("_commits", f"{number}.json"), False)
