@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,8 @@ PARSERS: dict[str, Callable[[str | None], dict]] = {"default": split_sections}
 SCHEMAS: dict[str, T.StructType] = {"generic": T.StructType().add("title", "string").add("extracted_data", T.MapType(T.StringType(), T.StringType()))}
 # File endings of downloads, and path parts of document links.
 DOWNLOADS, LINK_PARTS = (".pdf", ".rtf", ".doc"), ["LawCite", "/za/cases/", "/za/legis/"]
+# Class of links that a site sets on citations by itself; what ids and classes of footnote containers hold.
+CITATION_CLASS, NOTE_IDS, NOTE_CLASSES = "autolink_findcases", ("ftn", "fn"), ("footnote", "ftn")
 CONTEXT_CHARS = 3000
 
 
@@ -52,16 +55,25 @@ def register_sql(spark: SparkSession) -> None:
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION rand_price(cents BIGINT) RETURNS STRING RETURN CASE WHEN cents IS NOT NULL THEN format_string('R %.2f', cents / 100) END")
 
 
-def parse_sections(rec: DataFrame, parser: str = "default", text_col: str = "full_text") -> DataFrame:
-    """`sections` of every record, by a registered parser; headers are cleaned. Null texts have no sections."""
+def parse_sections(rec: DataFrame, parser: str = "default", text_col: str = "full_text", html_col: str | None = None) -> DataFrame:
+    """`sections` of every record, by a registered parser; headers are cleaned. Null texts have no sections.
+
+    With html_col, the column of the page behind the text, the parser also gets
+    first_note: the number in the page's first footnote container, so that the
+    notes begin at that number's line in the text. Null pages have no container.
+    """
     parse = PARSERS[parser]
+    columns = ["null_values", "header", "judgment", "order", "appearances", "footnotes"]
 
     @F.pandas_udf(SECTION_TYPE)
     def split(texts: pd.Series) -> pd.DataFrame:
-        columns = ["null_values", "header", "judgment", "order", "appearances", "footnotes"]
         return pd.DataFrame([parse(t) for t in texts], columns=columns)
 
-    return rec.withColumn("sections", split(text_col)).withColumn("sections", F.col("sections").withField("header", text.clean_text(F.col("sections.header"), True)))
+    @F.pandas_udf(SECTION_TYPE)
+    def split_with_notes(texts: pd.Series, pages: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([parse(t, first_note=_read(h).first_note()) for t, h in zip(texts, pages, strict=True)], columns=columns)
+
+    return rec.withColumn("sections", split_with_notes(text_col, html_col) if html_col else split(text_col)).withColumn("sections", F.col("sections").withField("header", text.clean_text(F.col("sections.header"), True)))
 
 
 class _Page(HTMLParser):
@@ -74,7 +86,9 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.title, self.h1, self.links, self.texts = "", "", [], {"center": [], "judgment": [], "article": [], "body": []}
         self.stack: list[tuple[str, str | None]] = []
-        self.link: tuple[str, list[str]] | None = None
+        self.link: tuple[str, list[str], list[str]] | None = None
+        self.notes: dict[str, list[list[str]]] = {"id": [], "class": []}  # texts of footnote containers, by what marks them
+        self.in_notes: list[tuple[int, list[str]]] = []  # open containers, with their places on the stack
 
     VOID = {"br", "img", "meta", "link", "input", "hr", "area", "base", "col", "embed", "source", "track", "wbr"}
 
@@ -84,18 +98,40 @@ class _Page(HTMLParser):
         if tag in self.BLOCKS:
             self._add("\n")
         if tag == "a" and a.get("href"):
-            self.link = (a["href"], [])
+            self.link = (a["href"], [], (a.get("class") or "").split())
         if tag not in self.VOID:
+            marked = self._note_mark(tag, a)
+            if marked:
+                self.notes[marked].append([])
+                self.in_notes.append((len(self.stack), self.notes[marked][-1]))
             self.stack.append((tag, kind))
 
+    @staticmethod
+    def _note_mark(tag, attrs) -> str | None:
+        """Whether an element is a footnote container, by its id or, weaker, by a class."""
+        own = attrs.get("id") or ""
+        if tag == "div" and (own.startswith(NOTE_IDS) or NOTE_CLASSES[0] in own.lower()):
+            return "id"
+        if tag in ("div", "p") and any(x in c.lower() for c in (attrs.get("class") or "").split() for x in NOTE_CLASSES):
+            return "class"
+        return None
+
+    def first_note(self) -> int | None:
+        """The number in brackets of the first footnote container, those marked by id first."""
+        texts = self.notes["id"] or self.notes["class"]
+        number = re.search(r"\[(\d+)\]", "".join(texts[0])) if texts else None
+        return int(number[1]) if number else None
+
     def handle_endtag(self, tag):
         if tag == "a" and self.link:
             in_h3 = any(t == "h3" for t, _ in self.stack)
-            self.links.append((self.link[0], " ".join("".join(self.link[1]).split()), in_h3))
+            self.links.append((self.link[0], " ".join("".join(self.link[1]).split()), in_h3, self.link[2]))
             self.link = None
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 del self.stack[i:]
+                while self.in_notes and self.in_notes[-1][0] >= i:
+                    self.in_notes.pop()
                 break
         if tag in self.BLOCKS:
             self._add("\n")
@@ -115,6 +151,8 @@ class _Page(HTMLParser):
             self.h1 += data
         if self.link:
             self.link[1].append(data)
+        for _, words in self.in_notes:
+            words.append(data)
         self._add(data)
 
     def content(self) -> tuple[str | None, str]:
@@ -145,26 +183,33 @@ def page_content(pages: DataFrame) -> DataFrame:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """url, place, href (absolute), label and in_h3 of every link of landed pages."""
+    """url, place, href (absolute), label, in_h3 and classes of every link of landed pages."""
 
     def run(batches):
         for pdf in batches:
             rows = [(u, i, *link) for u, h in zip(pdf["url"], pdf["html"], strict=True) for i, link in enumerate(_read(h).links)]
-            yield pd.DataFrame(rows, columns=["url", "place", "href", "label", "in_h3"])
+            yield pd.DataFrame(rows, columns=["url", "place", "href", "label", "in_h3", "classes"])
 
-    return pages.select("url", "html").mapInPandas(run, "url string, place int, href string, label string, in_h3 boolean").withColumn("href", urls.abs_url("url", "href"))
+    return pages.select("url", "html").mapInPandas(run, "url string, place int, href string, label string, in_h3 boolean, classes array<string>").withColumn("href", urls.abs_url("url", "href"))
 
 
-def link_targets(pages: DataFrame, parts: list[str] | None = None) -> DataFrame:
-    """(url, text, target) of document links, not downloads, with a label; each target of a page once, the first."""
-    links = page_links(pages)
-    wanted = F.lit(False)
+def link_kind(parts: list[str] | None = None) -> Column:
+    """What a link of page_links leads to: null for downloads and links of no interest, `citation` for those that the site set on a citation, else the part of the path that tells."""
+    kind = F.when(F.array_contains("classes", CITATION_CLASS), "citation")
     for p in parts or LINK_PARTS:
-        wanted = wanted | F.contains("href", F.lit(p))
+        kind = kind.when(F.contains("href", F.lit(p)), p.strip("/"))
+    download = F.lit(False)
     for e in DOWNLOADS:
-        wanted = wanted & ~F.col("href").endswith(e)
-    first = links.where(wanted).groupBy("url", "href").agg(F.min(F.struct("place", "label")).alias("first"))
-    return first.select("url", F.col("first.label").alias("text"), F.col("href").alias("target")).where((F.col("text") != "") & (F.lower("text") != "lawcite"))
+        download = download | F.col("href").endswith(e)
+    return F.when(~download, kind)
+
+
+def link_targets(pages: DataFrame, parts: list[str] | None = None, kinds: bool = False) -> DataFrame:
+    """(url, text, target) of document links and citations, not downloads, with a label; each target of a page once, the first. `kinds` adds link_kind."""
+    links = page_links(pages).withColumn("kind", link_kind(parts)).where("kind is not null")
+    first = links.groupBy("url", "href").agg(F.min(F.struct("place", "label", "kind")).alias("first"))
+    out = first.select("url", F.col("first.label").alias("text"), F.col("href").alias("target"), F.col("first.kind").alias("kind")).where((F.col("text") != "") & (F.lower("text") != "lawcite"))
+    return out if kinds else out.drop("kind")
 
 
 def harvest_links(pages: DataFrame) -> DataFrame:
@@ -221,8 +266,6 @@ def extract_journals(rec: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def format_text(value: str | None) -> str:
     """D10's line rule: joined paragraphs, headings (capitals only) on their own with `## `, footnote numbers as `[^n]`."""
-    import re
-
     out, paragraph = [], []
     for line in [*(value or "").split("\n"), ""]:
         line = " ".join(line.split())

@@ -685,6 +685,38 @@ def _(t):
     return out.select("doc_id", "sections.header", F.col("sections.order").alias("order_text"), "sections.appearances", F.size("sections.null_values").alias("n_null"))
 
 
+#: Judgment pages made from documents: number paragraphs, one of several rulings by id, signatures, appearances, and footnotes in containers.
+_RULINGS = [
+    ("In the result, the appeal is upheld.", ""), ("ORDER", "\n1. The claim is struck."), ("I would propose the following order:", "\n(a) x"), ("There is no order as to costs.", ""),
+    ("(3) Die saak word van die rol geskrap.", ""), ("Accordingly, the application is dismissed with costs.", ""),
+]
+_MARKS = ['<div id="ftn{n}">', '<div id="fn{n}">', '<p class="MsoFootnoteText">', "<p>"]
+
+
+def _judgment_sql(duck: bool) -> str:
+    """id, body, ruling, notes, page: the parts of a made judgment and its page; notes begin at [k] after k - 1 paragraphs."""
+    s = "VARCHAR" if duck else "STRING"
+    words = _WORDS if duck else "regexp_replace(coalesce(text, ''), '[^a-z]+', ' ')"
+    nl = "chr(10)"
+    i = f"CAST(doc_id AS {s})"
+    ruling = "CASE doc_id % 6 " + " ".join(f"WHEN {k} THEN '" + (a + b).replace("\n", f"', {nl}, '") + "'" for k, (a, b) in enumerate(_RULINGS) if "\n" not in b)
+    ruling += " " + " ".join(f"WHEN {k} THEN concat('{a}', {nl}, '{b.strip()}')" for k, (a, b) in enumerate(_RULINGS) if "\n" in b) + " END"
+    body = f"concat('[1] The facts of matter ', {i}, ' are common cause between all the parties, who agree on a statement of them. ', trim({words}), {nl}, '[2] ', trim({words}), ' and so on.')"
+    number = "CASE WHEN doc_id % 4 = 3 THEN 1 ELSE 3 + doc_id % 5 END"
+    note = f"concat('[', CAST({number} AS {s}), '] See the case of ', {i}, ' and those it names', {nl}, '[', CAST({number} + 1 AS {s}), '] Ibid at ', {i})"
+    opened = "CASE doc_id % 4 " + " ".join(f"WHEN {k} THEN '" + m.replace("{n}", "7") + "'" for k, m in enumerate(_MARKS)) + " END"
+    return f"""SELECT doc_id AS id, body, ruling, note, concat('<html><body><div id="center"><p>', body, '</p>', opened, '<a href="#x">[', CAST(number AS {s}), ']</a> See</div></div></body></html>') AS page
+      FROM (SELECT doc_id, {body} AS body, {ruling} AS ruling, {note} AS note, {opened} AS opened, {number} AS number FROM documents) m"""
+
+
+@query("D1_sections_with_notes", f"""SELECT id, md5(trim(concat(body, chr(10), 'The reasons follow.'), ' ')) AS judgment_md5, md5(ruling) AS order_md5, md5(note) AS footnotes_md5, 'Appearances: N. N.' AS appearances FROM ({_judgment_sql(True)})""")
+def _(t):
+    text_ = F.concat(F.lit("IN THE COURT\nJUDGMENT\n"), "body", F.lit("\nThe reasons follow.\n"), "ruling", F.lit("\nAppearances: N. N.\n"), "note")
+    rec = t.spark.sql(_judgment_sql(False).replace("FROM documents", "FROM {documents}").replace("{n}", "7"), documents=t["documents"]).withColumn("full_text", text_)
+    out = documents.parse_sections(rec, html_col="page")
+    return out.select("id", F.md5("sections.judgment").alias("judgment_md5"), F.md5("sections.order").alias("order_md5"), F.md5("sections.footnotes").alias("footnotes_md5"), "sections.appearances")
+
+
 def _index_pages(t, links: str):
     """Landed index pages made from documents: one page per document with the given links."""
     return t["documents"].select(F.concat(F.lit("https://h/za/index/"), "source", F.lit("/"), "doc_id").alias("url"), F.concat(F.lit("<html><body><p>Index</p>"), F.expr(links), F.lit("</body></html>")).alias("html"))
@@ -696,6 +728,15 @@ def _(t):
     return documents.link_targets(_index_pages(t, links))
 
 
+@query("D2_link_kinds", """SELECT concat('https://h/za/index/', source, '/', CAST(doc_id AS VARCHAR)) AS url, x.text AS text, target, kind FROM documents, (VALUES (0), (1), (2)) v(k),
+LATERAL (SELECT CASE k WHEN 0 THEN concat('A v B ', CAST(doc_id AS VARCHAR)) WHEN 1 THEN concat('Act ', CAST(doc_id % 9 AS VARCHAR)) ELSE 'C v D' END AS text,
+  CASE k WHEN 0 THEN concat('https://h/search?q=', CAST(doc_id AS VARCHAR)) WHEN 1 THEN concat('https://h/za/legis/act', CAST(doc_id % 9 AS VARCHAR), '/') ELSE concat('https://h/za/cases/', source, '/', CAST(doc_id AS VARCHAR), '.html') END AS target,
+  CASE k WHEN 0 THEN 'citation' WHEN 1 THEN 'za/legis' ELSE 'za/cases' END AS kind) x""")
+def _(t):
+    links = """concat('<p><a class="x autolink_findcases" href="/search?q=', doc_id, '">A v B ', doc_id, '</a><a class="autolink_findcases" href="/y.pdf">file</a><a class="autolink_find" href="/none">none</a><a href="/za/legis/act', doc_id % 9, '/">Act ', doc_id % 9, '</a><a href="/za/cases/', source, '/', doc_id, '.html">C v D</a><a href="/za/LawCite?x">LawCite</a></p>')"""
+    return documents.link_targets(_index_pages(t, links), kinds=True)
+
+
 @query("D3_page_content", "SELECT page_id, 'article' AS container, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) <> '' AS has_lang FROM pages")
 def _(t):
     read = documents.page_content(t["pages"]).select("url", "container", F.contains("html", F.lit("<html lang=")).alias("has_lang"))

@@ -162,3 +162,33 @@ def test_versions(spark, tmp_path):
     table.put(spark.createDataFrame([(1,)], "n int"))
     table.put(table.current().selectExpr("n + 1 as n"))
     assert [r["n"] for r in table.current().collect()] == [2]
+
+
+@pytest.mark.parametrize("order", ["In the result, the appeal is upheld.", "There is no order as to costs.", "The application must succeed.", "(3) Die saak word van die rol geskrap.", "12. The claim was refused.", "Accordingly, the application is dismissed with costs."])
+def test_rulings_are_whole(order):
+    got = split_sections(f"H\nJUDGMENT\n{BODY}\n{order}")
+    assert (got["judgment"], got["order"]) == (BODY, order)
+
+
+def test_signature_under_a_ruled_line():
+    got = split_sections(f"H\nJUDGMENT\n{BODY}\n\nThe claim has no basis.\n\n_____\nA B SMITH R /")
+    assert (got["judgment"], got["order"]) == (BODY, "The claim has no basis.\n\n_____\nA B SMITH R /")
+    assert split_sections(f"H\nJUDGMENT\n{BODY}\n_____\nsome other line")["order"] == ""
+
+
+def test_first_footnote_container(spark):
+    pages = [
+        '<p class="x">[4]</p><div class="footnoteText">[9] late</div><div id="ftn1"><a>[3]</a> one</div><div id="ftn2">[4]</div>',
+        '<p class="MsoFootnoteText"><b>[5]</b> note</p>', '<div id="MyFootnotes">none</div><p class="ftn">[6]</p>', "<p>[7]</p>", None,
+    ]
+    assert [documents._read(p).first_note() for p in pages] == [3, 5, None, None, None]
+    text = f"H\nJUDGMENT\n{BODY}\nThe claim was refused.\n[5] See A v B\n[6] See C v D"
+    rows = documents.parse_sections(spark.createDataFrame([(text, p) for p in pages], "full_text string, page string"), html_col="page").select("sections.order", "sections.footnotes").collect()
+    assert tuple(rows[1]) == ("The claim was refused.", "[5] See A v B\n[6] See C v D")
+    assert all(tuple(r) == ("The claim was refused.\n[5] See A v B\n[6] See C v D", "") for i, r in enumerate(rows) if i != 1)
+
+
+def test_link_kinds(spark):
+    page = '<a class="autolink_findcases" href="/find?x">A v B</a><a class="autolink_findcases" href="/f.pdf">file</a><a href="/za/cases/1.html">C</a><a class="autolink_findcases" href="/za/cases/1.html">D</a><a class="other" href="/q">E</a>'
+    got = documents.link_targets(spark.createDataFrame([("https://h/i", page)], "url string, html string"), kinds=True).collect()
+    assert sorted(tuple(r)[1:] for r in got) == [("A v B", "https://h/find?x", "citation"), ("C", "https://h/za/cases/1.html", "za/cases")]
