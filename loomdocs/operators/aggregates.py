@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import edge_text
 from .filters import exclude_rolls
+from .substrings import candidates, write_gram_index
 
 GAP_SECONDS, BUCKET_MINUTES, ONLINE_MINUTES = 120, 5, 15
 #: Length of the time slices that one key's events are cut into.
@@ -46,6 +47,35 @@ def heading_search(rec: DataFrame, heading: str, n: int, bottom: bool = False, r
     )
 
 
+def index_headings(rec: DataFrame, path: str, n: int, bottom: bool = False, text: str = "full_text", key: str = "id") -> None:
+    """The gram index of the records' first or last n characters, for heading_search_by_index."""
+    write_gram_index(rec, path, [edge_text(text, n, bottom)], key)
+
+
+def heading_search_by_index(rec: DataFrame, index: DataFrame, heading: str, n: int, bottom: bool = False, rolls: bool = True, text: str = "full_text", key: str = "id") -> DataFrame:
+    """A3 on index_headings of the same edge: texts are read only of records with the heading's rarest gram. Same counts as heading_search; short headings, and such with letters beyond ASCII (whose case may depend on their neighbours), scan."""
+    found = candidates(index, heading) if heading.isascii() else None
+    if found is None:
+        return heading_search(rec, heading, n, bottom, rolls, text)
+    rec = rec if rolls else rec.where(exclude_rolls())
+    hits = heading_search(rec.join(found.select(F.col("id").alias(key)), key, "left_semi"), heading, n, bottom, True, text)
+    kinds = [c for c in hits.columns if c != "total"]
+    both = hits.withColumn("total", F.lit(0).cast("long")).unionByName(rec.agg(F.count("*").alias("total"), *[F.lit(0).cast("long").alias(c) for c in kinds]))
+    return both.agg(*[F.sum(c).alias(c) for c in hits.columns])
+
+
+def online_changes(ev: DataFrame, key: str, until: Column, minutes: int = ONLINE_MINUTES) -> DataFrame:
+    """ST6 in batch, as gaps and islands: `online` at an event after silence, `offline` when `minutes` have passed without one, up to the time `until`."""
+    us, silence = F.unix_micros("ts"), minutes * 60_000_000
+    own = ev.where("ts is not null").select(F.col(key).cast("string").alias("key"), us.alias("at_us")).distinct().where(F.col("at_us") <= until)
+    order = Window.partitionBy("key").orderBy("at_us")
+    own = own.withColumns({"before": F.lag("at_us").over(order), "after": F.lead("at_us").over(order)})
+    on = own.where(F.col("before").isNull() | (F.col("at_us") - F.col("before") > silence)).select("key", F.lit("online").alias("state"), "at_us")
+    end = F.col("at_us") + silence
+    off = own.where((F.col("after") - F.col("at_us") > silence) | (F.col("after").isNull() & (end <= until))).select("key", F.lit("offline").alias("state"), end.alias("at_us"))
+    return on.unionAll(off)
+
+
 def is_detailed() -> Column:
     return F.coalesce(F.col("status") == "detailed", F.lit(False)) | F.get_json_object("data", "$.details_scraped_at").isNotNull()
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.payload import has_key
 from ..functions.text import norm_id, strip
+from .substrings import candidates
 
 # Path parts of cases and of other categories.
 CASES_PATH, OTHER_PATHS = "/cases/", ["/gaz/", "/journals/", "/other/"]
@@ -115,6 +116,14 @@ def search_records(rec: DataFrame, q: str | None, columns: tuple[str, ...] = ("t
     return rec
 
 
+def search_by_index(rec: DataFrame, index: DataFrame, q: str | None, columns: tuple[str, ...] = ("target_name", "entity_name", "record_type"), key: str = "id", **filters) -> DataFrame:
+    """F15 on a gram index of these columns (substrings.write_gram_index): only records with the question's rarest gram are compared. Same rows as search_records; short questions scan."""
+    found = candidates(index, q) if q else None
+    if found is not None:
+        rec = rec.join(found.select(F.col("id").alias(key)), key, "left_semi")
+    return search_records(rec, q, columns, **filters)
+
+
 def exclude_rolls(target: str = "target_name") -> Column:
     """not a court-rolls target; null targets stay out, as in SQL."""
     return ~F.col(target).like("%Rolls%")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_id, strip
 from .filters import not_empty, pick
+from .substrings import substring_pairs
 
 
 def with_metadata(rec: DataFrame, tgt: DataFrame, ent: DataFrame) -> DataFrame:
@@ -78,22 +81,27 @@ def resolve_scraper_type(rec: DataFrame, lookup: DataFrame) -> DataFrame:
     """scraper_type of (record_type, target_name, entity_name), by lookup (place, key, scraper_type).
 
     Candidates in that order; for each an exact key, its normalised form, then
-    the first key that holds it or is held by it. Only distinct triples meet the
-    lookup, and the containment test runs over the lookup inside the row.
+    the first key that holds it or is held by it. Each distinct value is resolved
+    once; keys and values meet by equal strings and by their rarest grams
+    (substring_pairs), so any number of keys will do.
     """
     triple = ["record_type", "target_name", "entity_name"]
-    keys = lookup.agg(F.sort_array(F.collect_list(F.struct("place", "key", "scraper_type"))).alias("keys"))  # the configuration: small
-
-    def of(candidate: Column) -> Column:
-        low = F.lower(strip(candidate))
-
-        def first(test) -> Column:
-            return F.get(F.filter("keys", test), 0)["scraper_type"]
-
-        return F.when(not_empty(candidate), F.coalesce(first(lambda k: k["key"] == low), first(lambda k: k["key"] == norm_id(low)), first(lambda k: (k["key"] != "") & (F.contains(low, k["key"]) | F.contains(k["key"], low)))))
-
-    named = rec.select(*triple).distinct().join(F.broadcast(keys), F.lit(True))
-    resolved = F.coalesce(*[of(F.col(c)) for c in triple], F.nullif("entity_name", F.lit("")), F.nullif("record_type", F.lit("")), F.lit("Unknown"))
+    low = lambda c: F.lower(strip(F.col(c)))
+    named = rec.select(*triple).distinct()
+    values = reduce(DataFrame.unionAll, [named.where(not_empty(c)).select(low(c).alias("value")) for c in triple]).distinct()
+    keys = lookup.where("key is not null").groupBy("key").agg(F.min(F.struct("place", "key", "scraper_type")).alias("k"))
+    inside = substring_pairs(keys.select(F.col("key").alias("needle")), values.select(F.col("value").alias("hay"))).select(F.col("hay").alias("value"), F.col("needle").alias("key"))
+    around = substring_pairs(values.select(F.col("value").alias("needle")), keys.select(F.col("key").alias("hay"))).select(F.col("needle").alias("value"), F.col("hay").alias("key"))
+    held = inside.unionAll(around).join(keys, "key").select("value", "k")
+    # a blank value is held by every key: one row, and the first key
+    blank = values.where("value = ''").crossJoin(keys.where("key <> ''").agg(F.min("k").alias("k")))
+    held = held.unionAll(blank).groupBy("value").agg(F.min("k").alias("k_held"))
+    exact, normal = (keys.select(F.col("key").alias(n), F.col("k").alias(f"k_{n}")) for n in ("exact", "normal"))
+    known = values.join(exact, F.col("value") == F.col("exact"), "left").join(normal, norm_id("value") == F.col("normal"), "left").join(held, "value", "left")
+    known = known.select("value", F.coalesce("k_exact.scraper_type", "k_normal.scraper_type", "k_held.scraper_type").alias("type"))
+    for c in triple:
+        named = named.join(known.select(F.col("value").alias(f"value_{c}"), F.col("type").alias(f"type_{c}")), F.when(not_empty(c), low(c)) == F.col(f"value_{c}"), "left")
+    resolved = F.coalesce(*[F.col(f"type_{c}") for c in triple], F.nullif("entity_name", F.lit("")), F.nullif("record_type", F.lit("")), F.lit("Unknown"))
     named = named.select(*[F.col(c).alias(f"_{c}") for c in triple], resolved.alias("scraper_type"))
     same = [rec[c].eqNullSafe(named[f"_{c}"]) for c in triple]
     return rec.join(named, same).drop(*[f"_{c}" for c in triple])

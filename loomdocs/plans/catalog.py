@@ -72,6 +72,41 @@ def _round_trip(t, name: str, df, write, read):
     return read(path)
 
 
+@query("S1_read_jdbc", "SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_totalprice > 50000 AND o_orderstatus = 'F'")
+def _(t):
+    """The orders landed in a database and read back in partitions, the conditions pushed down. Derby comes with Spark; it serves one process, as in local mode."""
+    from ..sources.io import read_jdbc_tables, write_jdbc_table
+    from ..streaming.tables import shared_folder
+
+    folder = shared_folder(t.spark, "derby").removeprefix("file://")
+    t.spark._jvm.System.setProperty("derby.stream.error.file", f"{folder}.log")
+    url, driver = f"jdbc:derby:{folder};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    orders = t["orders"].select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_orderdate"), F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    write_jdbc_table(orders, url, "orders", "o_orderstatus VARCHAR(20)", **driver)
+    high = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    read = read_jdbc_tables(t.spark, url, {"orders": ("o_orderkey", 0, high + 1)}, 4, **driver)["orders"]
+    return read.where("o_totalprice > 50000 AND o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus", "o_orderdate")
+
+
+@query("S3_read_catalog", "SELECT p_partkey AS place, p_name AS description, CAST(p_retailprice AS VARCHAR) AS price, p_partkey % 3 = 0 AS tiered, p_partkey // 1000 AS catalog FROM part")
+def _(t):
+    from ..sources.io import read_catalog, write_json_arrays
+
+    tiers = F.when(F.col("p_partkey") % 3 == 0, F.array(F.struct(F.lit("1").alias("qty"), F.lit("R 1").alias("price"))))
+    parts = t["part"].select(F.col("p_partkey").alias("place"), F.col("p_name").alias("description"), F.col("p_retailprice").cast("string").alias("price"), tiers.alias("pricing"))
+    read = _round_trip(t, "catalog", parts, lambda df, path: write_json_arrays(df, path, "place"), lambda path: read_catalog(t.spark, f"{path}/*", "place long, description string, price string, pricing array<struct<qty:string,price:string>>"))
+    return read.select("place", "description", "price", (F.coalesce(F.size("pricing"), F.lit(0)) > 0).alias("tiered"), F.regexp_extract("catalog_file", r"group=(\d+)", 1).cast("long").alias("catalog"))
+
+
+@query("S4_read_judgments", f"WITH j AS ({JUDGMENTS}) SELECT dataset_number, court, judge, reportable, CAST(judgment_date AS VARCHAR) AS judgment_date, outcome AS outcome_type, subject_list FROM j")
+def _(t):
+    from ..sources.io import read_judgments, write_json_arrays
+
+    raw = t.judgments().select("id", "dataset_number", "court", "judge", "reportable", F.col("judgment_date").cast("string"), F.struct(F.col("outcome").alias("outcome_type")).alias("result"), "subjects")
+    read = _round_trip(t, "judgments", raw, lambda df, path: write_json_arrays(df, path, "id", 10_000), lambda path: read_judgments(t.spark, f"{path}/*"))
+    return read.select("dataset_number", "court", "judge", "reportable", "judgment_date", "result.outcome_type", F.array_join("subjects", ",").alias("subject_list"))
+
+
 _EXPORT = "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders"
 
 for _fmt in ("csv", "parquet", "json"):
@@ -205,6 +240,15 @@ def _(t):
     return filters.search_records(joins.with_metadata(t.records(), t.targets().drop("entity_name"), t.entities()), "Nation_1", status="indexed").select("id")
 
 
+@query("F15_search_by_index", f"{REC} SELECT rec.id FROM rec JOIN tgt ON tgt.id = rec.target_id WHERE (lower(target_name) LIKE '%nation_1%' OR lower(entity_name) LIKE '%nation_1%' OR lower(record_type) LIKE '%nation_1%') AND status = 'indexed'")
+def _(t):
+    from ..operators.substrings import read_gram_index, write_gram_index
+
+    rec = joins.with_metadata(t.records(), t.targets().drop("entity_name"), t.entities())
+    index = _round_trip(t, "grams", rec, lambda df, path: write_gram_index(df, path, ["target_name", "entity_name", "record_type"]), lambda path: read_gram_index(t.spark, path))
+    return filters.search_by_index(rec, index, "Nation_1", status="indexed").select("id")
+
+
 @query("F16_has_key", f"{DOC} SELECT id, contains(data, 'citations') AS has FROM rec")
 def _(t):
     return t.payloads().select("id", payload.has_key("data", "citations").alias("has"))
@@ -351,6 +395,16 @@ def _(t):
     return agg.heading_search(t.payloads().where("status = 'detailed'"), "The", 400)
 
 
+@query("A3_heading_search_by_index", f"""{DOC}, e AS (SELECT left(coalesce(full_text, ''), 400) AS x FROM rec WHERE status = 'detailed')
+SELECT count(*) AS total, count(*) FILTER (regexp_matches(x, '\\bThe\\b')) AS as_word, count(*) FILTER (regexp_matches(x, '(?m)^\\s*The')) AS at_line_start, count(*) FILTER (contains(x, 'The')) AS anywhere, count(*) FILTER (contains(lower(x), 'the')) AS any_case FROM e""")
+def _(t):
+    from ..operators.substrings import read_gram_index
+
+    rec = t.payloads().where("status = 'detailed'")
+    index = _round_trip(t, "headings", rec, lambda df, path: agg.index_headings(df, path, 400), lambda path: read_gram_index(t.spark, path))
+    return agg.heading_search_by_index(rec, index, "The", 400)
+
+
 _YEARS = f"y AS (SELECT record_type, rec_year, count(*) AS n, count(*) FILTER (status = 'detailed' OR {DONE} IS NOT NULL) AS d FROM rec GROUP BY 1, 2)"
 
 
@@ -1296,7 +1350,11 @@ def _(t):
     return run_to_table(stream_uptime(ev, "event_type"), "uptime")
 
 
-@query("ST6_stream_online")
+@query("ST6_stream_online", """WITH m AS (SELECT (epoch_us(max(ts)) // 1000 - 600000) * 1000 AS mark FROM events),
+e AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS key, epoch_us(ts) AS us FROM events, m WHERE epoch_us(ts) <= mark),
+g AS (SELECT *, lag(us) OVER w AS before, lead(us) OVER w AS after FROM e WINDOW w AS (PARTITION BY key ORDER BY us))
+SELECT key, 'online' AS state, us AS at_us FROM g WHERE before IS NULL OR us - before > 900000000
+UNION ALL SELECT key, 'offline', us + 900000000 FROM g, m WHERE after - us > 900000000 OR (after IS NULL AND us + 900000000 <= mark)""")
 def _(t):
     from ..streaming.streams import stream_online
     from ..streaming.tables import landed, run_to_table

@@ -17,6 +17,12 @@ def read_jdbc_tables(spark: SparkSession, url: str, tables: dict[str, tuple[str,
     return {name: spark.read.jdbc(url, name, column=column, lowerBound=low, upperBound=high, numPartitions=partitions, properties=properties) for name, (column, low, high) in tables.items()}
 
 
+def write_jdbc_table(df: DataFrame, url: str, name: str, types: str | None = None, **properties: str) -> None:
+    """A table of an external database from a DataFrame, in as many connections as it has partitions; types: DDL of columns whose database type matters."""
+    writer = df.write.option("createTableColumnTypes", types) if types else df.write
+    writer.jdbc(url, name, mode="errorifexists", properties=properties)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A record table of the lake with its fixed schema."""
     return spark.read.schema(schemas.TABLES[name]).parquet(f"{root}/{name}")
@@ -28,6 +34,13 @@ def read_catalog(spark: SparkSession, paths: str | list[str], schema: str | None
     return (reader.schema(schema) if schema else reader).json(paths).withColumn("catalog_file", F.col("_metadata.file_path"))
 
 
+def write_json_arrays(df: DataFrame, path: str, place: str, rows: int = 1000) -> None:
+    """Files of JSON arrays, as vendors deliver them: `rows` consecutive numbers of `place` make one array."""
+    group = F.floor(F.col(place) / rows)
+    arrays = df.groupBy(group.alias("group")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(place).alias("k"), F.to_json(F.struct(*df.columns)).alias("v")))), lambda x: x["v"]), ",\n").alias("v"))
+    arrays.select(F.concat(F.lit("["), "v", F.lit("]")).alias("value"), "group").write.partitionBy("group").text(path)
+
+
 def read_judgments(spark: SparkSession, path: str) -> DataFrame:
     """Judgments (JSON arrays)."""
     return spark.read.schema(schemas.JUDGMENTS).option("multiLine", True).json(path)

@@ -96,36 +96,65 @@ def stream_uptime(ev: DataFrame, key: str, watermark: str = "10 minutes", gap: i
 
 
 class OnlineState(StatefulProcessor):
-    """Emits `online` at a key's first event, and `offline` once it has been silent."""
+    """Emits `online` at an event after silence, and `offline` once a key has been silent.
+
+    Events wait until the watermark has passed them, and are then taken in time
+    order, so what comes out doesn't depend on how the input was cut into batches.
+    The state holds a key's events that the watermark hasn't passed.
+    """
+
+    silence = ONLINE_MINUTES * 60_000_000
 
     def init(self, handle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "us long")
+        self.waiting = handle.getListState("waiting", "us long")
 
     def handleInputRows(self, key, rows, timerValues):
-        latest = max((int(pd.Timestamp(t).value // 1000) for pdf in rows for t in pdf["ts"]), default=None)
-        known = self.last.get()[0] if self.last.exists() else None
-        if latest is None or (known is not None and latest <= known):
-            return
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old[0] if isinstance(old, tuple) else old)
-        self.handle.registerTimer(latest // 1000 + ONLINE_MINUTES * 60_000)
-        self.last.update((latest,))
-        if known is None:
-            yield pd.DataFrame({"key": [key[0]], "state": ["online"], "at_us": [latest]})
+        new = {int(pd.Timestamp(t).value // 1000) for pdf in rows for t in pdf["ts"] if not pd.isna(t)}
+        yield from self._settle(key, new, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        at = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        self.last.clear()
-        yield pd.DataFrame({"key": [key[0]], "state": ["offline"], "at_us": [at]})
+        yield from self._settle(key, set(), timerValues)
+
+    def _settle(self, key, new: set[int], timerValues):
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = sorted(new | {r[0] for r in self.waiting.get()})
+        last = self.last.get()[0] if self.last.exists() else None
+        out = []
+        for at in [x for x in waiting if x <= mark]:
+            if last is not None and at - last > self.silence:
+                out.append(("offline", last + self.silence))
+            if last is None or at - last > self.silence:
+                out.append(("online", at))
+            last = at if last is None else max(last, at)
+        waiting = [x for x in waiting if x > mark]
+        if last is not None and last + self.silence <= mark:
+            out.append(("offline", last + self.silence))
+            last = None
+        if last is None:
+            self.last.clear()
+        else:
+            self.last.update((last,))
+        if waiting:
+            self.waiting.put([(x,) for x in waiting])
+        else:
+            self.waiting.clear()
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old[0] if isinstance(old, tuple) else old)
+        ahead = [*waiting[:1], *([last + self.silence] if last is not None else [])]
+        if ahead:
+            self.handle.registerTimer(-(-min(ahead) // 1000))
+        if out:
+            yield pd.DataFrame({"key": [key[0]] * len(out), "state": [x[0] for x in out], "at_us": [x[1] for x in out]})
 
     def close(self) -> None:
         pass
 
 
 def stream_online(ev: DataFrame, key: str, watermark: str = "10 minutes") -> DataFrame:
-    """ST6: changes of each key's online state by event time. Needs the RocksDB state store."""
-    named = ev.select(F.col(key).cast("string").alias("key"), "ts").withWatermark("ts", watermark)
+    """ST6: changes of each key's online state up to the watermark; the batch form is aggregates.online_changes. Needs the RocksDB state store."""
+    named = ev.where("ts is not null").select(F.col(key).cast("string").alias("key"), "ts").withWatermark("ts", watermark)
     return named.groupBy("key").transformWithStateInPandas(statefulProcessor=OnlineState(), outputStructType="key string, state string, at_us long", outputMode="Append", timeMode="EventTime")
 
 
