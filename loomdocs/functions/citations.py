@@ -1,96 +1,199 @@
-"""Citations: a raw string's bracketed and numbered parts, and the role of each (D7), as expressions."""
+"""Citations: a raw string's name, numbers, reports and date.
+
+The date in the last bracket is read by expressions; the rest is one pass over
+the string's tokens, in Arrow batches.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .dates import parse_date
-from .text import _c, found, let, strip
+from .text import _c, strip
 
 # Law report series, words that name a case number, and words that mark a bracket as a party's capacity.
 SERIES = ["All SA", "BCLR", "BLLR", "ILJ", "SA", "SACR", "CPLR", "JOL", "CLD", "SALLR", "BPLR", "LAC", "LCC", "SCA", "CC"]
 NUMBER_WORDS = ["case", "application", "matter", "ref"]
 CAPACITY_WORDS = ["pty", "ltd", "others", "capacity", "acting", "executor", "trustee"]
-
-_SERIES = "|".join(x.replace(" ", r"\s+") for x in SERIES)
-_WORDS = "|".join(NUMBER_WORDS)
-#: A year and a court's letters: `[2026] ZACC 2`.
-NEUTRAL = r"\[\d{4}\]\s+[A-Z]+\s+\d+"
-#: A year, perhaps a volume, a series and a page, perhaps a court: `2026 (3) SA 1 (CC)`, `[2005] 2 CPLR 303`.
-REPORT = rf"(?i:(?<![\w(\[])(?:\d{{4}}|\[\d{{4}}\])(?:\s*\(\d+\)|\s+\[\d+\]|\s+\d+)?\s+(?:{_SERIES})\s+\d+(?:\s*\([A-Z0-9\s]+\))?)"
-#: A bracket with a numbered year or a word for a number: `(CCT 25/24; CCT 27/24)`, `(Case No: 5)`.
-NUMBER = rf"(?i:\([\w\s;/-]*\d/\d{{2,4}}[\w\s;/-]*\)|\((?:{_WORDS})\b[\w\s.:;/-]+\))"
-PARTS = rf"{NEUTRAL}|{REPORT}|{NUMBER}"
-ENDING = r"\(([^()]+)\)[\s.;]*$"
-
-
-def _role(part: Column) -> Column:
-    capacity = F.lower(part).rlike("|".join(CAPACITY_WORDS))
-    return F.when(part.rlike(f"^(?:{NEUTRAL})$"), "neutral").when(part.startswith("("), F.when(capacity, "party").otherwise("number")).otherwise("report")
-
-
-def _of_role(parts: Column, role: str) -> Column:
-    return F.transform(F.filter(parts, lambda p: p["role"] == role), lambda p: p["part"])
+# What may stand right before a report, around a name, and at the end of a citation.
+LEADS, NAME_EDGES, END_EDGES = "\n\t ;,([", ";,. \t\n", " .;\n\t\r"
+
+_SERIES = {tuple(x.upper().split()) for x in SERIES}
+_TOKEN = re.compile(r"\w+|[^\w\s]")
+#: A bracket's words that may be a case number.
+_NUMBER_CHARS = re.compile(r"[A-Za-z0-9\s;/:.-]+")
+
+
+class Tokens:
+    """The words and signs of a citation, with what stands between them."""
+
+    def __init__(self, text: str):
+        self.text = text
+        found = list(_TOKEN.finditer(text))
+        self.words, self.starts, self.ends = [m.group() for m in found], [m.start() for m in found], [m.end() for m in found]
+
+    def word(self, i: int) -> str:
+        return self.words[i] if i < len(self.words) else ""
+
+    def apart(self, i: int) -> bool:
+        """Whether white space stands before token i."""
+        return 0 < i < len(self.words) and self.starts[i] > self.ends[i - 1]
+
+    def digits(self, i: int, n: int | None = None) -> bool:
+        w = self.word(i)
+        return w.isdecimal() and (n is None or len(w) == n)
+
+    def enclosed(self, i: int, n: int | None = None, signs: str = "[]") -> int:
+        """The token after a number between two signs, 0 if there is none at i."""
+        return i + 3 if self.word(i) == signs[0] and self.digits(i + 1, n) and self.word(i + 2) == signs[1] else 0
+
+    def neutral(self, i: int) -> int:
+        """The token after year, court letters and number: `[2026] ZACC 2`; 0 if there are none at i."""
+        at = self.enclosed(i, 4)
+        court = self.word(at)
+        return at + 2 if at and self.apart(at) and court.isascii() and court.isalpha() and court.isupper() and self.apart(at + 1) and self.digits(at + 1) else 0
+
+    def report(self, i: int) -> int:
+        """The token after year, volume (or none), series, page and court (or none): `2026 (3) SA 1 (CC)`; 0 if there are none at i."""
+        if i and not self.apart(i) and self.text[self.starts[i] - 1] not in LEADS:
+            return 0
+        at = self.enclosed(i, 4) or (i + 1 if self.digits(i, 4) else 0)
+        if not at:
+            return 0
+        volume = self.enclosed(at, signs="()") or (self.apart(at) and (self.enclosed(at) or (self.digits(at) and at + 1)))
+        for series in filter(None, (volume, at)):
+            size = next((n for n in (2, 1) if tuple(w.upper() for w in self.words[series : series + n]) in _SERIES), 0)
+            page = series + size
+            if size and self.apart(series) and self.apart(page) and self.digits(page):
+                return self._court(page + 1) or page + 1
+        return 0
+
+    def _court(self, i: int) -> int:
+        """The token after letters and digits in a bracket."""
+        end = i + 1
+        while self.word(end).isalnum() and self.word(end).isascii():
+            end += 1
+        return end + 1 if self.word(i) == "(" and end > i + 1 and self.word(end) == ")" else 0
+
+    def all(self, kind) -> list[tuple[int, int]]:
+        """Spans of a kind from left to right, without overlaps."""
+        out, i = [], 0
+        while i < len(self.words):
+            end = kind(i)
+            if end:
+                out.append((self.starts[i], self.ends[end - 1]))
+            i = end or i + 1
+        return out
+
+    def brackets(self) -> list[tuple[int, int]]:
+        """Spans of round brackets without others inside."""
+        out, opened = [], None
+        for w, start, end in zip(self.words, self.starts, self.ends, strict=True):
+            if w == "(":
+                opened = start
+            elif w == ")" and opened is not None:
+                out.append((opened, end))
+                opened = None
+        return out
+
+
+def _number_rank(inside: str) -> int | None:
+    """0 for a number with a year, 1 for a word that names a number, None for other brackets."""
+    if not _NUMBER_CHARS.fullmatch(inside):
+        return None
+    if not set(":.") & set(inside) and any(a[-1:].isdecimal() and b[:2].isdecimal() and len(b) > 1 for a, b in _around_slashes(inside)):
+        return 0
+    return 1 if inside.lower().startswith(tuple(NUMBER_WORDS)) else None
+
+
+def _around_slashes(text: str) -> list[tuple[str, str]]:
+    parts = text.split("/")
+    return list(zip(parts, parts[1:], strict=False))
+
+
+def _without(text: str, spans: list[tuple[int, int]]) -> str:
+    """text with spans (apart and in order) replaced by a space each, and brackets that are left empty."""
+    out, at = [], 0
+    for start, end in spans:
+        out.append(text[at:start])
+        at = end
+    return re.sub(r"\(\s*\)", " ", " ".join([*out, text[at:]]))
+
+
+def citation_parts(text: str) -> tuple[str | None, str | None, str | None, list[str]]:
+    """Name, case number, neutral citation and reports of a citation without its date.
+
+    Name and number are looked for ahead of the neutral citation. The number is
+    the first bracket with a number and year, else the first that names a number;
+    a bracket of a party's capacity is part of the name.
+    """
+    tokens = Tokens(text)
+    neutrals = tokens.all(tokens.neutral)
+    neutral, limit = (text[slice(*neutrals[0])], neutrals[0][0]) if neutrals else (None, len(text))
+    spans = [s for s in tokens.all(tokens.report) if text[slice(*s)] != neutral]
+    reports = list(dict.fromkeys(text[slice(*s)] for s in spans))
+    gone = [s for s in spans if s[0] < limit]
+    free = [(a, b) for a, b in tokens.brackets() if b <= limit and not any(a < y and x < b for x, y in gone)]
+    ranked = min(((rank, a, b) for a, b in free if (rank := _number_rank(text[a + 1 : b - 1])) is not None), default=None)
+    number = None
+    if ranked:
+        inside = text[ranked[1] + 1 : ranked[2] - 1].strip()
+        if not any(w in inside.lower() for w in CAPACITY_WORDS):
+            number = inside
+            gone = sorted([*gone, ranked[1:]])
+    name = _without(text[:limit], gone).strip(NAME_EDGES) or re.split(r"[;\[(]", text, maxsplit=1)[0]
+    name = " ".join(name.split()).strip(NAME_EDGES)
+    return None if not name or name.isdecimal() or name == neutral or name in reports else name, number, neutral, reports
 
 
-def _first(parts: Column, role: str) -> Column:
-    return F.try_element_at(_of_role(parts, role), F.lit(1))
+_PARTS = T.StructType([T.StructField(n, T.StringType()) for n in ("case_name", "case_number", "neutral_citation")] + [T.StructField("commercial_citations", T.ArrayType(T.StringType()))])
 
 
-def _name(s: Callable[[str], Column]) -> Column:
-    """What is left of the words ahead of the neutral citation without the parts; brackets of a party's capacity stay."""
-    ahead = F.when(s("neutral").isNull(), s("work")).otherwise(F.call_function("substring_index", s("work"), s("neutral"), F.lit(1)))
-    others = F.filter(s("parts"), lambda p: ~p["role"].isin("party", "neutral"))
-    left = F.aggregate(others, ahead, lambda a, p: F.replace(a, p["part"], F.lit(" ")))
-    name = strip(F.regexp_replace(left, r"\s+", " "), ";,. ")
-    return F.when(name.rlike(r"^\d*$"), F.lit(None)).otherwise(name)
+@F.pandas_udf(_PARTS)
+def _parts(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([citation_parts(t or "") for t in texts], columns=_PARTS.names)
 
 
-#: Name and making of each step; a step sees those before it.
-STEPS: list[tuple[str, Callable[[Callable[[str], Column]], Column]]] = [
-    ("decided", lambda s: F.when(s("raw").rlike(ENDING), parse_date(found(s("raw"), ENDING)))),
-    ("work", lambda s: F.when(s("decided").isNotNull(), strip(F.regexp_replace(s("raw"), ENDING, ""))).otherwise(s("raw"))),
-    ("parts", lambda s: F.transform(F.regexp_extract_all(s("work"), F.lit(PARTS), 0), lambda p: F.struct(_role(p).alias("role"), p.alias("part")))),
-    ("neutral", lambda s: _first(s("parts"), "neutral")),
-    ("name", _name),
-]
+@F.pandas_udf(T.ArrayType(_PARTS))
+def _all_parts(lists: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else [dict(zip(_PARTS.names, citation_parts(t or ""), strict=True)) for t in x] for x in lists])
 
 
-def _result(s: Callable[[str], Column]) -> Column:
-    number = F.trim(F.translate(_first(s("parts"), "number"), "()", ""))
-    return F.struct(
-        s("raw").alias("raw_citation"), s("name").alias("case_name"), number.alias("case_number"), s("neutral").alias("neutral_citation"),
-        F.array_distinct(_of_role(s("parts"), "report")).alias("commercial_citations"), F.date_format(s("decided"), "yyyy-MM-dd").alias("decision_date"),
-    )
+def _dated(c) -> tuple[Column, Column, Column]:
+    """The trimmed string, the date in its last bracket (null if that isn't one), and the string without that bracket."""
+    raw = strip(F.coalesce(_c(c), F.lit("")))
+    closed = F.rtrim(raw, F.lit(END_EDGES))
+    inner = F.substring_index(F.left(closed, F.length(closed) - 1), "(", -1)
+    date = F.when(closed.endswith(")") & F.contains(closed, F.lit("(")) & ~F.contains(inner, F.lit(")")), parse_date(inner))
+    return raw, date, F.when(date.isNotNull(), strip(F.left(closed, F.length(closed) - F.length(inner) - 2))).otherwise(raw)
 
 
-def _raw(c) -> Column:
-    return strip(F.coalesce(_c(c), F.lit("")))
+def _citation(raw: Column, parts: Column, date: Column) -> Column:
+    return F.struct(raw.alias("raw_citation"), *[parts[n].alias(n) for n in _PARTS.names], F.date_format(date, "yyyy-MM-dd").alias("decision_date"))
 
 
 def parse_citation(c) -> Column:
     """Struct of raw_citation, case_name, case_number, neutral_citation, commercial_citations, decision_date (ISO text).
 
-    Null and empty strings give an empty raw_citation and no parts. For a whole
-    column of a table citation_column is the faster form.
+    Null and empty strings give an empty raw_citation and no parts. A last
+    bracket that isn't a date stays with the rest. Very long strings are read
+    in one pass.
     """
+    raw, date, work = _dated(c)
+    return _citation(raw, _parts(work), date)
 
-    def after(state: Column, names: list[str]) -> Column:
-        if len(names) > len(STEPS):
-            return _result(lambda n: state[n])
-        name, make = STEPS[len(names) - 1]
-        return let(F.struct(*[state[n].alias(n) for n in names], make(lambda n: state[n]).alias(name)), lambda x: after(x, [*names, name]))
 
-    return let(F.struct(_raw(c).alias("raw")), lambda x: after(x, ["raw"]))
+def parse_citations(c) -> Column:
+    """parse_citation of every string of an array; null arrays stay null."""
+    ready = F.transform(_c(c), lambda r: F.struct(*[x.alias(n) for n, x in zip(("raw", "date", "work"), _dated(r), strict=True)]))
+    return F.zip_with(ready, _all_parts(F.transform(ready, lambda x: x["work"])), lambda x, parts: _citation(x["raw"], parts, x["date"]))
 
 
 def citation_column(df: DataFrame, column: str, name: str) -> DataFrame:
-    """df with parse_citation of a column, one projection a step, so that each is compiled and evaluated once."""
-    hidden = lambda n: f"{name} {n}"
-    out = df.withColumn(hidden("raw"), _raw(column))
-    for n, make in STEPS:
-        out = out.withColumn(hidden(n), make(lambda x: F.col(f"`{hidden(x)}`")))
-    return out.withColumn(name, _result(lambda x: F.col(f"`{hidden(x)}`"))).drop(*[hidden(n) for n in ("raw", *[x for x, _ in STEPS])])
+    """df with parse_citation of a column."""
+    return df.withColumn(name, parse_citation(column))

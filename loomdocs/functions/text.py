@@ -52,13 +52,26 @@ def scrub(c) -> Column:
     return out
 
 
+def _trim(c: Column) -> Column:
+    """White space off both ends, without a pattern."""
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
+
+
 def clean_text(c, single: bool = False) -> Column:
-    """Drop everything up to the navigation marker, noise lines, and runs of blank lines. Null gives ''."""
-    out = strip(F.coalesce(_c(c), F.lit("")))
-    out = strip(F.regexp_replace(out, rf"(?is)^.*?\b{NAVIGATION_MARKER}\b", ""))
+    """Drop everything up to the navigation marker, noise lines, and runs of blank lines. Null gives ''.
+
+    The text is cut where the marker stands, and a noise line's pattern runs only
+    on texts that hold its first word.
+    """
+    text = _trim(F.coalesce(_c(c), F.lit("")))
+    out = let(F.split(text, rf"(?i)\b{NAVIGATION_MARKER}\b", 2), lambda parts: _trim(F.element_at(parts, -1)))
     for line in NOISE_LINES:
-        out = F.regexp_replace(out, rf"(?m)^[ \t]*{line}[ \t]*$", "")
-    return strip(F.regexp_replace(out, r"\n\s*\n+", "\n" if single else "\n\n"))
+        out = _without_line(out, line.partition("\\")[0], line)
+    return _trim(F.regexp_replace(out, r"\n\s*\n+", "\n" if single else "\n\n"))
+
+
+def _without_line(text: Column, word: str, line: str) -> Column:
+    return let(text, lambda t: F.when(F.contains(t, F.lit(word)), F.regexp_replace(t, rf"(?m)^[ \t]*{line}[ \t]*$", "")).otherwise(t))
 
 
 def is_neutral(c) -> Column:

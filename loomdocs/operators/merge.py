@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, names, payload, text
-from ..functions.citations import parse_citation
+from ..functions.citations import parse_citations
 from .filters import not_empty, pick
 from .joins import companion_titles, match_by_url
 
@@ -175,11 +175,9 @@ LEGACY_CITATION_KEYS = ["raw_citation", "citation", "full_citation", "case_citat
 def migrate_precedents(rows: DataFrame) -> DataFrame:
     """Precedents as maps of older key names, parsed to the five parts; treatment, reasoning and url stay."""
 
-    def one(p: Column) -> Column:
-        raw = F.coalesce(*[F.nullif(p[k], F.lit("")) for k in LEGACY_CITATION_KEYS], F.lit(""))
-        return F.struct(parse_citation(raw).alias("citation"), p["treatment"].alias("treatment"), p["reasoning"].alias("reasoning"), p["url"].alias("url"))
-
-    return rows.withColumn("precedents", F.transform("precedents", one))
+    raws = F.transform("precedents", lambda p: F.coalesce(*[F.nullif(p[k], F.lit("")) for k in LEGACY_CITATION_KEYS], F.lit("")))
+    both = F.zip_with("precedents", parse_citations(raws), lambda p, c: F.struct(c.alias("citation"), p["treatment"].alias("treatment"), p["reasoning"].alias("reasoning"), p["url"].alias("url")))
+    return rows.withColumn("precedents", both)
 
 
 def fix_pdf_titles(rec: DataFrame, pages: DataFrame) -> DataFrame:

@@ -592,10 +592,10 @@ def _(t):
     return payload.scrub_struct(df).select("doc_id", "s.a", F.col("s.l")[0].alias("b"))
 
 
-@query("X3_clean_text", r"SELECT doc_id, md5(trim(regexp_replace(trim(concat(text, chr(10), '  ', chr(10), chr(10), text), ' ' || chr(10) || chr(9)), '\n\s*\n+', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9))) AS cleaned FROM documents WHERE text IS NOT NULL")
+@query("X3_clean_text", r"SELECT doc_id, CASE WHEN text IS NULL THEN md5('') ELSE md5(trim(regexp_replace(trim(concat(text, chr(10), '  ', chr(10), chr(10), text), ' ' || chr(10) || chr(9)), '\n\s*\n+', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9))) END AS cleaned FROM documents")
 def _(t):
     raw = F.concat(F.lit("nav > LawCite\nPDF format\n"), "text", F.lit("\n  \n\n"), "text")
-    return t["documents"].where("text is not null").select("doc_id", F.md5(text.clean_text(raw)).alias("cleaned"))
+    return t["documents"].select("doc_id", F.md5(text.clean_text(raw)).alias("cleaned"))
 
 
 _FORMATS = [("d MMMM yyyy", "%-d %B %Y"), ("d/M/yyyy", "%-d/%-m/%Y"), ("MMMM d, yyyy", "%B %-d, %Y"), ("yyyy-MM-dd", "%Y-%m-%d")]

@@ -99,3 +99,35 @@ def test_small_formats(spark):
     assert run(spark, text.safe_name, "a/b:c? d.txt") == ["abc d.txt"]
     assert run(spark, lambda c: text.rand_price(c.cast("int")), "1234", None) == ["R 12.34", None]
     assert tuple(run(spark, text.title_parties, "Smith v Jones and Others (12/20) [2020] ZACC 1")[0]) == ("Smith", "Jones and Others")
+
+
+@pytest.mark.parametrize(
+    ("raw", "name", "number", "neutral", "reports"),
+    [
+        ("Minister of Police v Kunjana (CCT 25/24; CCT 27/24) [2026] ZACC 23", "Minister of Police v Kunjana", "CCT 25/24; CCT 27/24", "[2026] ZACC 23", []),
+        ("S v Makwanyane and Another [1995] ZACC 3; 1995 (3) SA 391; 1995 (6) BCLR 665 (CC)", "S v Makwanyane and Another", None, "[1995] ZACC 3", ["1995 (3) SA 391", "1995 (6) BCLR 665 (CC)"]),
+        ("2011 (3) SA 164", None, None, None, ["2011 (3) SA 164"]),
+        ("[2005] 2 CPLR 303", None, None, None, ["[2005] 2 CPLR 303"]),
+        ("X v Y ([2020] 3 SA 5 (CC))", "X v Y", None, None, ["[2020] 3 SA 5 (CC)"]),
+        ("X (Pty) Ltd v Y (Case No: 12) [2020] ZASCA 1", "X (Pty) Ltd v Y", "Case No: 12", "[2020] ZASCA 1", []),
+        ("X v Y [2020] ZASCA 1 (12/19)", "X v Y", None, "[2020] ZASCA 1", []),
+        ("X v Y (in his capacity as trustee 1/20) [2020] ZASCA 1", "X v Y (in his capacity as trustee 1/20)", None, "[2020] ZASCA 1", []),
+        ("X v Y 1999 [2] all sa 5 (a), 1999 [2] all sa 5 (a)", "X v Y , " .strip(" ,"), None, None, ["1999 [2] all sa 5 (a)"]),
+        ("X v Y12020 (3) SA 1", "X v Y12020 (3) SA 1", None, None, []),
+        ("X v Y (16/FN/Mar04) [2004] ZACT 9", "X v Y (16/FN/Mar04)", None, "[2004] ZACT 9", []),
+    ],
+)
+def test_citation_parts(raw, name, number, neutral, reports):
+    assert citations.citation_parts(raw) == (name, number, neutral, reports)
+
+
+def test_citation_dates(spark):
+    got = run(spark, citations.parse_citation, "A v B (1/20) (3 May 2020).", "A v B (not a date)", "A (x) (2020-01-31) ; ", "(3 May 2020)", "A v B )", "()")
+    assert [(r["case_name"], r["case_number"], r["decision_date"]) for r in got] == [
+        ("A v B", "1/20", "2020-05-03"), ("A v B (not a date)", None, None), ("A (x)", None, "2020-01-31"), (None, None, "2020-05-03"), ("A v B )", None, None), (None, None, None),
+    ]
+
+
+def test_clean_text_by_position(spark):
+    got = run(spark, text.clean_text, "a lawcite b LawCite c", "LawCites x", "x\n PDF format \ny", "PDF formats", "Heads\nof argument\n\n \n z", "\x0b a \f", None)
+    assert got == ["b LawCite c", "LawCites x", "x\n\ny", "PDF formats", "z", "a", ""]
