@@ -7,6 +7,7 @@ the string's tokens, in Arrow batches.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,7 @@ class Tokens:
         self.text = text
         found = list(_TOKEN.finditer(text))
         self.words, self.starts, self.ends = [m.group() for m in found], [m.start() for m in found], [m.end() for m in found]
+        self.years = [i for i, w in enumerate(self.words) if w == "[" or len(w) == 4 and w.isdecimal()]
 
     def word(self, i: int) -> str:
         return self.words[i] if i < len(self.words) else ""
@@ -81,13 +83,13 @@ class Tokens:
         return end + 1 if self.word(i) == "(" and end > i + 1 and self.word(end) == ")" else 0
 
     def all(self, kind) -> list[tuple[int, int]]:
-        """Spans of a kind from left to right, without overlaps."""
-        out, i = [], 0
-        while i < len(self.words):
-            end = kind(i)
+        """Spans of a kind, which begins with a year, from left to right, without overlaps."""
+        out, taken = [], 0
+        for i in self.years:
+            end = kind(i) if i >= taken else 0
             if end:
                 out.append((self.starts[i], self.ends[end - 1]))
-            i = end or i + 1
+                taken = end
         return out
 
     def brackets(self) -> list[tuple[int, int]]:
@@ -164,17 +166,26 @@ def _all_parts(lists: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else [dict(zip(_PARTS.names, citation_parts(t or ""), strict=True)) for t in x] for x in lists])
 
 
-def _dated(c) -> tuple[Column, Column, Column]:
-    """The trimmed string, the date in its last bracket (null if that isn't one), and the string without that bracket."""
-    raw = strip(F.coalesce(_c(c), F.lit("")))
-    closed = F.rtrim(raw, F.lit(END_EDGES))
-    inner = F.substring_index(F.left(closed, F.length(closed) - 1), "(", -1)
-    date = F.when(closed.endswith(")") & F.contains(closed, F.lit("(")) & ~F.contains(inner, F.lit(")")), parse_date(inner))
-    return raw, date, F.when(date.isNotNull(), strip(F.left(closed, F.length(closed) - F.length(inner) - 2))).otherwise(raw)
+#: Name and making of each step ahead of the tokens; a step sees those before it.
+STEPS: list[tuple[str, Callable[[Callable[[str], Column]], Column]]] = [
+    ("raw", lambda s: strip(F.coalesce(s("given"), F.lit("")))),
+    ("closed", lambda s: F.rtrim(s("raw"), F.lit(END_EDGES))),
+    ("inner", lambda s: F.substring_index(F.left(s("closed"), F.length(s("closed")) - 1), "(", -1)),  # of the last bracket, if one ends the string
+    ("date", lambda s: F.when(s("closed").endswith(")") & F.contains(s("closed"), F.lit("(")) & ~F.contains(s("inner"), F.lit(")")), parse_date(s("inner")))),
+    ("work", lambda s: F.when(s("date").isNotNull(), strip(F.left(s("closed"), F.length(s("closed")) - F.length(s("inner")) - 2))).otherwise(s("raw"))),
+]
 
 
-def _citation(raw: Column, parts: Column, date: Column) -> Column:
-    return F.struct(raw.alias("raw_citation"), *[parts[n].alias(n) for n in _PARTS.names], F.date_format(date, "yyyy-MM-dd").alias("decision_date"))
+def _read(c) -> Column:
+    """raw: the trimmed string; date: that in its last bracket, null if it isn't one; work: the string without that bracket."""
+    done = {"given": _c(c)}
+    for name, make in STEPS:
+        done[name] = make(done.__getitem__)
+    return F.struct(*[done[n].alias(n) for n in ("raw", "date", "work")])
+
+
+def _citation(read, parts: Column) -> Column:
+    return F.struct(read["raw"].alias("raw_citation"), *[parts[n].alias(n) for n in _PARTS.names], F.date_format(read["date"], "yyyy-MM-dd").alias("decision_date"))
 
 
 def parse_citation(c) -> Column:
@@ -182,18 +193,23 @@ def parse_citation(c) -> Column:
 
     Null and empty strings give an empty raw_citation and no parts. A last
     bracket that isn't a date stays with the rest. Very long strings are read
-    in one pass.
+    in one pass. For a whole column of a table citation_column is the faster form.
     """
-    raw, date, work = _dated(c)
-    return _citation(raw, _parts(work), date)
+    read = _read(c)
+    return _citation(read, _parts(read["work"]))
 
 
 def parse_citations(c) -> Column:
     """parse_citation of every string of an array; null arrays stay null."""
-    ready = F.transform(_c(c), lambda r: F.struct(*[x.alias(n) for n, x in zip(("raw", "date", "work"), _dated(r), strict=True)]))
-    return F.zip_with(ready, _all_parts(F.transform(ready, lambda x: x["work"])), lambda x, parts: _citation(x["raw"], parts, x["date"]))
+    read = F.transform(_c(c), _read)
+    return F.zip_with(read, _all_parts(F.transform(read, lambda x: x["work"])), _citation)
 
 
 def citation_column(df: DataFrame, column: str, name: str) -> DataFrame:
-    """df with parse_citation of a column."""
-    return df.withColumn(name, parse_citation(column))
+    """df with parse_citation of a column, one projection a step, so that each is compiled and evaluated once."""
+    hidden = lambda n: f"{name} {n}"
+    out = df.withColumn(hidden("given"), F.col(column))
+    for n, make in STEPS:
+        out = out.withColumn(hidden(n), make(lambda x: F.col(f"`{hidden(x)}`")))
+    read = {n: F.col(f"`{hidden(n)}`") for n in ("raw", "date", "work")}
+    return out.withColumn(name, _citation(read, _parts(read["work"]))).drop(*[hidden(n) for n in ("given", *[x for x, _ in STEPS])])

@@ -55,6 +55,12 @@ def register_sql(spark: SparkSession) -> None:
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION rand_price(cents BIGINT) RETURNS STRING RETURN CASE WHEN cents IS NOT NULL THEN format_string('R %.2f', cents / 100) END")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions as there are cores, if a small input has fewer: what follows costs far more than a row's way there. Larger inputs stay where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if not df.isStreaming and df.rdd.getNumPartitions() < cores else df
+
+
 def parse_sections(rec: DataFrame, parser: str = "default", text_col: str = "full_text", html_col: str | None = None) -> DataFrame:
     """`sections` of every record, by a registered parser; headers are cleaned. Null texts have no sections.
 
@@ -73,6 +79,7 @@ def parse_sections(rec: DataFrame, parser: str = "default", text_col: str = "ful
     def split_with_notes(texts: pd.Series, pages: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([parse(t, first_note=_read(h).first_note()) for t, h in zip(texts, pages, strict=True)], columns=columns)
 
+    rec = spread(rec)
     return rec.withColumn("sections", split_with_notes(text_col, html_col) if html_col else split(text_col)).withColumn("sections", F.col("sections").withField("header", text.clean_text(F.col("sections.header"), True)))
 
 
@@ -242,7 +249,7 @@ def build_detail(content: DataFrame) -> DataFrame:
 
 def parse_citations(df: DataFrame, column: str) -> DataFrame:
     """The five parts of every citation."""
-    return citation_column(df, column, "citation")
+    return citation_column(spread(df), column, "citation")
 
 
 def precedents(rec: DataFrame) -> DataFrame:
