@@ -130,14 +130,14 @@ def _(t):
 
 @query("K6_write_metrics", "SELECT event_type AS name, count(*) AS total FROM events GROUP BY 1")
 def _(t):
-    from ..sources.io import write_metrics
+    from ..sources.io import read_metrics, write_metrics
 
     def write(df, path):
         write_metrics(df.unionAll(df.select(F.lit("obsolete"), "total")), path)
         write_metrics(df, path)
 
     df = t["events"].groupBy(F.col("event_type").alias("name")).agg(F.count("*").alias("total"))
-    return _round_trip(t, "metrics", df, write, lambda p: t.spark.read.schema("name string, total long").parquet(p))
+    return _round_trip(t, "metrics", df, write, lambda p: read_metrics(t.spark, p, "name string, total long"))
 
 
 @query("S2_read_table", f"WITH tgt AS ({TARGETS}) SELECT id, entity_id, target_name FROM tgt")
@@ -357,10 +357,11 @@ def _(t):
     return t["orders"].select("o_orderkey", joins.attach_url(F.lit("Smith v Jones (1/20)"), targets).alias("url"), F.array_join(F.transform(added, lambda a: a["url"]), ",").alias("added"))
 
 
-@query("J14_companion_titles", f"{DOC} SELECT id, replace(source_url, '.pdf', '.html') AS companion_url FROM rec WHERE source_url LIKE '%.pdf'")
+@query("J14_companion_titles", f"{DOC} SELECT id, replace(source_url, '.pdf', '.html') AS companion_url, CASE WHEN id % 8 = 0 THEN concat('Title of ', CAST(id AS VARCHAR)) END AS companion_title FROM rec WHERE source_url LIKE '%.pdf'")
 def _(t):
-    pages = t["pages"].select("url", F.col("html").alias("title"))
-    return joins.companion_titles(filters.pdf_cases(t.payloads()), pages).select("id", "companion_url")
+    rec = t.payloads()
+    pages = rec.where("id % 8 = 0").select(F.replace("source_url", F.lit(".pdf"), F.lit(".html")).alias("url"), F.concat(F.lit("Title of "), "id").alias("title"))
+    return joins.companion_titles(filters.pdf_cases(rec), pages).select("id", "companion_url", "companion_title")
 
 
 @query("J15_match_pipeline", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey END AS pipeline_id FROM nation")
@@ -765,10 +766,15 @@ def _judgment_sql(duck: bool) -> str:
 
 @query("D1_sections_with_notes", f"""SELECT id, md5(trim(concat(body, chr(10), 'The reasons follow.'), ' ')) AS judgment_md5, md5(ruling) AS order_md5, md5(note) AS footnotes_md5, 'Appearances: N. N.' AS appearances FROM ({_judgment_sql(True)})""")
 def _(t):
+    out = _judgments_cut(t)
+    return out.select("id", F.md5("sections.judgment").alias("judgment_md5"), F.md5("sections.order").alias("order_md5"), F.md5("sections.footnotes").alias("footnotes_md5"), "sections.appearances")
+
+
+def _judgments_cut(t):
+    """Sections of the made judgments, with their pages."""
     text_ = F.concat(F.lit("IN THE COURT\nJUDGMENT\n"), "body", F.lit("\nThe reasons follow.\n"), "ruling", F.lit("\nAppearances: N. N.\n"), "note")
     rec = t.spark.sql(_judgment_sql(False).replace("FROM documents", "FROM {documents}").replace("{n}", "7"), documents=t["documents"]).withColumn("full_text", text_)
-    out = documents.parse_sections(rec, html_col="page")
-    return out.select("id", F.md5("sections.judgment").alias("judgment_md5"), F.md5("sections.order").alias("order_md5"), F.md5("sections.footnotes").alias("footnotes_md5"), "sections.appearances")
+    return documents.parse_sections(rec, html_col="page")
 
 
 def _index_pages(t, links: str):
@@ -856,9 +862,14 @@ def _sections(t):
     return documents.parse_sections(t["documents"].select(F.col("doc_id").alias("id"), F.expr(_D1.format(body, body)).alias("full_text")))
 
 
-@query("D12_extraction_contexts", "SELECT doc_id AS id, unnest(['header', 'body']) AS pass FROM documents")
+@query("D12_extraction_contexts", f"""WITH p AS (SELECT id, trim(concat(body, chr(10), 'The reasons follow.'), ' ') AS judgment, ruling, note FROM ({_judgment_sql(True)}))
+SELECT id, 'header' AS pass, md5(concat('IN THE COURT', chr(10), chr(10), trim(left(judgment, 3000), ' ' || chr(10)), chr(10), chr(10), 'Appearances: N. N.')) AS context_md5 FROM p
+UNION ALL SELECT id, 'precedents', md5(note) FROM p UNION ALL SELECT id, 'body', md5(concat(judgment, chr(10), chr(10), ruling)) FROM p""")
 def _(t):
-    return documents.extraction_contexts(_sections(t)).select("id", "pass")
+    out = documents.extraction_contexts(_judgments_cut(t))
+    # the cut of a long judgment may end in white space
+    tidy = F.regexp_replace("context", r"\s+\n\nAppearances", "\n\nAppearances")
+    return out.select("id", "pass", F.md5(F.when(F.col("pass") == "header", tidy).otherwise(F.col("context"))).alias("context_md5"))
 
 
 def _first_words(frames):
@@ -1125,11 +1136,18 @@ def _(t):
     return merge.preview(merge.repair_order(_numbers(t).join(made, "id")), 10).select("id", "target_name", "before", "after")
 
 
-@query("M10_fix_dates", "SELECT o_orderkey AS id, make_date(2020, 5, 3) AS document_date, CASE WHEN o_orderkey % 2 = 0 THEN make_date(2020, 5, 3) ELSE make_date(2001, 1, 1) END AS hearing_date FROM orders")
+@query("M10_fix_dates", """SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS document_date, CASE WHEN o_orderkey % 3 = 2 THEN make_date(2001, 1, 1) ELSE CAST(o_orderdate AS DATE) END AS hearing_date, make_date(1999, 1, 1) AS old_judgment_date
+FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0""")
 def _(t):
-    o = t["orders"]
-    rows = o.select(F.col("o_orderkey").alias("id"), F.lit("t").alias("target_name"), F.lit("A v B (3 May 2020)").alias("title"), F.to_date("o_orderdate").alias("document_date"), F.to_date(F.lit("1999-01-01")).alias("judgment_date"), F.when(F.col("o_orderkey") % 2 == 0, F.to_date(F.lit("1999-01-01"))).otherwise(F.to_date(F.lit("2001-01-01"))).alias("hearing_date"))
-    return merge.fix_dates(rows, "1900-01-01").select("id", "document_date", "hearing_date")
+    """Hearing dates that are the sentinel, the old judgment date or another; every 5th title without a date, every 7th row right already."""
+    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    right, d = k % 7 == 0, lambda x: F.to_date(F.lit(x))
+    rows = t["orders"].select(
+        k.alias("id"), F.lit("t").alias("target_name"), F.concat(F.lit("A v B"), F.when(k % 5 != 0, F.concat(F.lit(" ("), F.date_format("o_orderdate", "d MMMM yyyy"), F.lit(")"))).otherwise("")).alias("title"),
+        F.when(right, day).otherwise(d("1990-01-01")).alias("document_date"), F.when(right, day).otherwise(d("1999-01-01")).alias("judgment_date"),
+        F.when(right, day).when(k % 3 == 0, d("1900-01-01")).when(k % 3 == 1, d("1999-01-01")).otherwise(d("2001-01-01")).alias("hearing_date"),
+    )
+    return merge.fix_dates(rows, "1900-01-01").select("id", "document_date", "hearing_date", "old_judgment_date")
 
 
 @query("M11_fix_courts", "SELECT o_orderkey AS id, 'Constitutional Court of South Africa' AS court, 'Smith J' AS judge FROM orders WHERE o_orderkey % 2 = 0")
@@ -1184,9 +1202,16 @@ def _(t):
     return merge.sync_to_secondary(t.sql(STORE_MASTER), t.sql(SECONDARY)).select("id", "action", "data")
 
 
-@query("M18_sync_both", f"{_STORES} SELECT CAST(count(*) AS BIGINT) AS n FROM (SELECT id FROM s UNION SELECT id FROM m WHERE source_url IS NOT NULL)")
+@query("M18_sync_both", f"""{_STORES}, b AS (SELECT s, m, m.id IS NOT NULL AND coalesce((m.status <> 'detailed' AND s.status = 'detailed') OR (m.detailed_at IS NULL AND s.detailed_at IS NOT NULL), false) AS taken
+  FROM (SELECT * FROM s WHERE source_url IS NOT NULL) s FULL OUTER JOIN (SELECT * FROM m WHERE source_url IS NOT NULL) m ON s.source_url = m.source_url),
+n AS (SELECT s, coalesce(m.id, s.id) AS id, CASE WHEN m.id IS NULL OR taken THEN s.status ELSE m.status END AS status,
+  CASE WHEN m.id IS NULL OR taken THEN coalesce(s.detailed_at, m.detailed_at) ELSE m.detailed_at END AS detailed_at, CASE WHEN m.id IS NULL OR taken THEN coalesce(s.parsed_at, m.parsed_at) ELSE m.parsed_at END AS parsed_at FROM b),
+x AS (SELECT *, CASE WHEN s.id IS NULL THEN 'inserted' WHEN s.status <> status OR (detailed_at IS NOT NULL AND s.detailed_at IS NULL) OR (parsed_at IS NOT NULL AND s.parsed_at IS NULL) THEN 'updated' ELSE 'kept' END AS action FROM n)
+SELECT id, action, CASE WHEN action = 'kept' THEN s.status ELSE status END AS status, CASE WHEN action = 'kept' THEN s.detailed_at ELSE coalesce(detailed_at, s.detailed_at) END AS detailed_at,
+  CASE WHEN action = 'kept' THEN s.parsed_at ELSE coalesce(parsed_at, s.parsed_at) END AS parsed_at, coalesce(s.data, '{{}}') AS data FROM x
+UNION ALL SELECT id, 'kept', status, detailed_at, parsed_at, data FROM s WHERE source_url IS NULL""")
 def _(t):
-    return merge.sync(t.sql(SECONDARY), t.sql(STORE_MASTER))[1].agg(F.count("*").alias("n"))
+    return merge.sync(t.sql(SECONDARY), t.sql(STORE_MASTER))[1].select("id", "action", "status", "detailed_at", "parsed_at", "data")
 
 
 @query("M20_backfill_dims", "SELECT DISTINCT lang AS name FROM documents UNION SELECT 'default' UNION SELECT r_name FROM region")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..streaming.tables import Versions
 from . import schemas
 
 # Columns of draw results, in their order.
@@ -76,8 +77,13 @@ def write_draws(df: DataFrame, path: str) -> bool:
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """K6: the new metrics replace the table, so names no longer present are gone."""
-    metrics.write.mode("overwrite").parquet(path)
+    """K6: the new metrics replace the table, so names no longer present are gone. They are written beside the old ones and take their place when complete; a failed job leaves the old ones."""
+    Versions(metrics.sparkSession, path, metrics.schema).put(metrics)
+
+
+def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """K6: the metrics as last written."""
+    return Versions(spark, path, schema).current()
 
 
 def write_remainder(df: DataFrame, path: str) -> None:

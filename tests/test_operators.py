@@ -155,7 +155,7 @@ def test_json_sources(spark, tmp_path):
 
 
 def test_versions(spark, tmp_path):
-    from loomdocs.streaming.streams import Versions
+    from loomdocs.streaming.tables import Versions
 
     table = Versions(spark, f"{tmp_path}/t", "n int")
     assert table.current().count() == 0
