@@ -75,3 +75,33 @@ def test_token_files_round_trip(spark, tmp_path):
 
 def test_token_files_of_nothing(spark):
     assert token_output(spark.createDataFrame([], DOCS), tokenizer_path()).collect() == []
+
+
+def stripes(spark, file):
+    """(rows, kinds of streams) of each stripe, from the file's own footers."""
+    jvm = spark._jvm
+    reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(file), jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
+    rows, out = reader.rows(), []
+    for stripe in reader.getStripes():
+        footer = rows.readStripeFooter(stripe)
+        out.append((stripe.getNumberOfRows(), {(x.getColumn(), x.getKind().toString()) for x in footer.getStreamsList()}, {e.getKind().toString() for e in footer.getColumnsList()}))
+    rows.close()
+    return out
+
+
+def test_stripes_indexes_and_bloom_filters_are_in_the_files(spark, tmp_path):
+    texts = [(i, " ".join(f"w{i}x{k}" for k in range(5)), "", "") for i in range(0, 100_000, 2)]
+    path = str(tmp_path / "ids")
+    write_token_files(spark.createDataFrame(texts, DOCS), path, tokenizer_path(), stripe_bytes=1 << 17, index_rows=1000)
+    files = sorted(str(p) for p in (tmp_path / "ids").glob("part-*.orc"))
+    every = [s for f in files for s in stripes(spark, f)]
+    assert len(every) > len(files) > 1 and sum(n for n, _, _ in every) == len(texts)
+    for _, streams, encodings in every:
+        assert (1, "BLOOM_FILTER_UTF8") in streams and {(c, "ROW_INDEX") for c in (1, 4, 5)} <= streams  # doc_id, n_tokens, ids
+        assert "DIRECT_V2" in encodings and "DIRECT" in encodings  # run-length integers; the root struct
+    # metadata alone rules an id out that lies between two others: no row is read
+    assert read_token_files(spark, path, [1001]).count() == 0
+    found = read_token_files(spark, path, [1000, 1001])
+    assert [r["doc_id"] for r in found.collect()] == [1000]
+    assert "In(doc_id, [1000,1001])" in found._jdf.queryExecution().executedPlan().toString().replace("`", "")
+    assert read_token_files(spark, path).rdd.getNumPartitions() >= len(files)
