@@ -46,9 +46,9 @@ def document_date(data, as_of: Column, keys: tuple[str, ...] = ("document_date",
 
 
 def case_year(c) -> Column:
-    """Year of a case number: a leading year, or the 2 or 4 digits after the last slash."""
+    """Year of a case number: a year of this century that ends the part ahead of the slash, else the 2 or 4 digits after the last slash."""
     c = _c(c)
-    lead, tail = found(c, r"^(20\d{2})(?:/|$)"), found(c, r"/(\d{4}|\d{2})$")
+    lead, tail = found(c, r"(?:^|\D)(20\d{2})(?:/|$)"), found(c, r"/(\d{4}|\d{2})$")
     return F.coalesce(lead.cast("int"), F.when(F.length(tail) == 2, tail.cast("int") + 2000).otherwise(tail.cast("int")))
 
 

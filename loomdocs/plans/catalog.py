@@ -669,7 +669,8 @@ def _(t):
 
 @query("X21_case_year", f"{JUD}, y AS (SELECT *, {CASE_YEAR} AS case_year FROM j) SELECT id, case_year, greatest(0, CAST(year(judgment_date) AS INT) - case_year) AS duration FROM y")
 def _(t):
-    return t.judgments().select("id", dates.case_year("dataset_number").alias("case_year"), dates.duration_years("dataset_number", "judgment_date").alias("duration"))
+    number = F.concat(F.when(F.col("id") % 2 == 0, "CCT ").otherwise(""), "dataset_number")
+    return t.judgments().select("id", dates.case_year(number).alias("case_year"), dates.duration_years(number, "judgment_date").alias("duration"))
 
 
 @query("X22_X23_bool_and_time", "SELECT event_id, event_id % 2 = 0 AS flag, epoch_us(ts) AS us FROM events")
@@ -846,9 +847,18 @@ def _(t):
     return done.select("id", "title", F.md5("formatted_text").alias("formatted_text"))
 
 
-@query("D10_format_journal")
+_JOURNAL_TEXT = "concat(coalesce(text, ''), chr(10), chr(10), 'THE HEADING ', CAST(doc_id AS {s}), chr(10), ' first  line [', CAST(doc_id % 1500 AS {s}), ']', chr(10), 'and more', chr(10), chr(10), 'last')"
+
+
+@query("D10_format_journal", f"""WITH l AS (SELECT doc_id, i, trim(regexp_replace(line, '[\\s\\x0B\\x1C-\\x1F\\x85\\xA0]+', ' ', 'g')) AS line FROM (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS i FROM (SELECT doc_id, string_split({_JOURNAL_TEXT.format(s="VARCHAR")}, chr(10)) AS x FROM documents))),
+k AS (SELECT *, upper(line) = line AND regexp_matches(line, '\\p{{L}}') AND length(line) < 120 AS heading FROM l),
+g AS (SELECT *, sum(CASE WHEN heading OR line = '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS paragraph FROM k),
+p AS (SELECT doc_id, min(i) AS i, regexp_replace(string_agg(line, ' ' ORDER BY i), '\\[(\\d{{1,3}})\\]', '[^\\1]', 'g') AS said FROM g WHERE NOT heading AND line <> '' GROUP BY doc_id, paragraph
+  UNION ALL SELECT doc_id, i, concat('## ', line) FROM g WHERE heading)
+SELECT doc_id, md5(string_agg(said, chr(10) || chr(10) ORDER BY i)) AS formatted_md5 FROM p GROUP BY doc_id""")
 def _(t):
-    return documents.format_journal(t["documents"].select("doc_id", F.col("text").alias("formatted_text")))
+    texts = t["documents"].select("doc_id", F.expr(_JOURNAL_TEXT.format(s="STRING")).alias("formatted_text"))
+    return documents.format_journal(texts).select("doc_id", F.md5("formatted_text").alias("formatted_md5"))
 
 
 @query("D11_court_roll_rows", "SELECT o_custkey AS id, CAST(o_orderkey AS INT) AS sequence, concat('A v ', o_orderpriority) AS parties, concat(CAST(o_orderkey AS VARCHAR), '/20') AS case_number FROM orders")

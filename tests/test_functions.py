@@ -35,7 +35,7 @@ def test_dates(spark):
     got = run(spark, dates.title_date, "x (13 April 2004)", "x (3 Sep 2020)", "x (1 Sept 2020).", "x (05/06/2021)", "x (May 7, 2019)", "x (1 May 70)", "x (1 May 05)", "x (31 February 2020)", "x", None)
     assert got == [d(2004, 4, 13), d(2020, 9, 3), d(2020, 9, 1), d(2021, 6, 5), d(2019, 5, 7), d(1970, 5, 1), d(2005, 5, 1), None, None, None]
     assert run(spark, dates.safe_date, "2020-02-29", "21 January 2026", "x") == ["2020-02-29", "2026-01-21", None]
-    assert run(spark, dates.case_year, "2026/061774", "J1044/25", "120456/25", "abc") == [2026, 2025, 2025, None]
+    assert run(spark, dates.case_year, "2026/061774", "J1044/25", "120456/25", "abc", "CCT 2019/05", "CCT12019/05", "1/2019", None) == [2026, 2025, 2025, None, 2019, 2005, 2019, None]
     assert run(spark, lambda c: dates.document_date(c, F.lit("2000-01-01").cast("date")), '{"date":"2020-05-06T00"}', '{"year":"1999"}', "{}") == [d(2020, 5, 6), d(1999, 1, 1), d(2000, 1, 1)]
 
 
