@@ -87,6 +87,8 @@ class PieceEncoder:
                     stem = " " + stem
                 ids = (stems.get(stem) or learn(stem)) + (tail and (stems.get(tail) or learn(tail)) or b"")
                 found[piece] = newline + ids if bare else ids
+            elif piece == "\n":  # a newline and nothing else: right at a text's end, see encode_column
+                found[piece] = newline
             elif not body or body[0].isspace() or body[-1].isspace() or "\u180e" in (body[0], body[-1]):
                 found[piece] = b""
             else:
@@ -126,13 +128,18 @@ class PieceEncoder:
         words = np.asarray(pc.list_value_length(cut), np.int64)
         coded = pc.list_flatten(cut).dictionary_encode()
         codes = np.asarray(coded.indices)
-        ids = self._lookup(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = self._lookup(pieces)
         whole = np.zeros(n, bool)  # encoded by the plain call
         for token in self.added:
             whole |= np.asarray(pc.match_substring(texts, token).cast(pa.uint8())).astype(bool)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         if not sizes.all():
             whole[np.repeat(np.arange(n), words)[sizes[codes] == 0]] = True
+        if "\n" in pieces:  # a text may end with a newline; one before more white space needs its neighbours
+            inside = codes == pieces.index("\n")
+            inside[np.cumsum(words) - 1] = False
+            whole[np.repeat(np.arange(n), words)[inside]] = True
         pool = np.frombuffer(b"".join(ids), "<u4")
         begins = np.cumsum(sizes) - sizes
         counts = sizes[codes]
