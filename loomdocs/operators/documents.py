@@ -16,10 +16,10 @@ from ..functions.citations import citation_column, parse_citation
 from ..functions.dates import safe_date, title_date
 from ..functions.payload import scrub_struct
 from ..functions.sections import split_sections
-from ..streaming.tables import written
+from ..streaming.tables import Scratch
 from .joins import append_uncovered, attach_url, unscrubbed
 from .merge import upsert_child
-from .quality import validate
+from .quality import rejects, validate
 
 SECTION_TYPE = "null_values array<string>, header string, judgment string, order string, appearances string, footnotes string"
 PARSERS: dict[str, Callable[[str | None], dict]] = {"default": split_sections}
@@ -364,7 +364,7 @@ def pass_results(results: DataFrame, name: str, schema: str) -> DataFrame:
     return own.groupBy("id").agg(F.min_by("r", "result").alias("r")).select("id", "r.*")
 
 
-def extract_pending(rec: DataFrame, parsed: DataFrame, scrubbed: DataFrame, tgt: DataFrame, ent: DataFrame, extractor, now) -> tuple[DataFrame, DataFrame]:
+def extract_pending(rec: DataFrame, parsed: DataFrame, scrubbed: DataFrame, tgt: DataFrame, ent: DataFrame, extractor, now, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """D17 as one job: the scrubbed table's new state, and the ids that gave no row with their reasons (Q5).
 
     Reads detailed records without scrubbed row that aren't under review (J5),
@@ -374,19 +374,24 @@ def extract_pending(rec: DataFrame, parsed: DataFrame, scrubbed: DataFrame, tgt:
     (Q1) and upserts the children (M4). A record needs a result of any pass.
     rec: id, title, data (with full_text), status, record_type, document_date,
     target_id, requires_human_review. Null and empty texts give an empty context.
-    The extractor's results are written to the shared folder first: it sees every
-    context once, whatever is then asked of the two outputs.
+
+    Pending records, the extractor's results and the payloads are written to
+    `scratch` once each: the records are joined once, the extractor sees every
+    context once, and both outputs come from the same rows. A caller that passes
+    its scratch removes it when both are written.
     """
+    scratch = scratch or Scratch(rec.sparkSession)
     own = unscrubbed(rec.where(~F.coalesce("requires_human_review", F.lit(False))), parsed, scrubbed, tgt, ent)
     own = own.withColumns({"full_text": F.get_json_object("data", "$.full_text"), "sections": F.from_json("parsed_data", SECTION_TYPE)})
     own = own.withColumn("header", F.coalesce("sections.header", F.lit("")))
+    own = scratch.written(own.select("id", "title", "entity_name", "target_name", "document_date", "record_type", "header", "full_text", "sections"), "pending")
     kind = rec.schema["id"].dataType.simpleString()
-    results = written(apply_extractor(extraction_contexts(own), extractor, f"id {kind}, pass string, result string"), "extracted")
+    results = scratch.written(apply_extractor(extraction_contexts(own), extractor, f"id {kind}, pass string, result string"), "extracted")
     header, body = pass_results(results, "header", HEADER_RESULT), pass_results(results, "body", BODY_RESULT)
     reached = header.select("id").union(body.select("id")).distinct()
     filled = header_fallback(header.drop("judges"), own.join(reached, "id", "left_semi"))
-    done, missing = extract_and_scrub(own, filled.join(header.select("id", "judges"), "id", "left"), body)
-    checked = done.select("id", F.to_json(F.struct("title", "metadata", "extracted_data")).alias("payload"))
-    good, bad = validate(checked, T.StructType().add("title", "string"), PAYLOAD_REQUIRED, PAYLOAD_DATES)
-    rejects = missing.unionByName(bad.select("id", F.array_join("reasons", "; ").alias("reason")))
-    return upsert_child(scrubbed, good.select(F.col("id").alias("extracted_record_id"), F.col("payload").alias("data")), now), rejects
+    done, _ = extract_and_scrub(own, filled.join(header.select("id", "judges"), "id", "left"), body)
+    payloads = scratch.written(done.select("id", F.to_json(F.struct("title", "metadata", "extracted_data")).alias("payload")), "payloads")
+    good, bad = validate(payloads, T.StructType().add("title", "string"), PAYLOAD_REQUIRED, PAYLOAD_DATES)
+    without = rejects(own, payloads, "no result").unionByName(bad.select("id", F.array_join("reasons", "; ").alias("reason")))
+    return upsert_child(scrubbed, good.select(F.col("id").alias("extracted_record_id"), F.col("payload").alias("data")), now), without

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from ..functions.text import scrub
 from ..operators.aggregates import BUCKET_MINUTES, GAP_SECONDS, ONLINE_MINUTES
 from ..operators.documents import extract_pending
-from .tables import BucketTables
+from .tables import BucketTables, Scratch
 
 
 def stream_upsert(source: DataFrame, tables: BucketTables, name: str, key: str, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
@@ -40,15 +40,17 @@ def scrub_batch(tables: BucketTables, batch: DataFrame, number: int, parsed: Dat
 
     Records that have a scrubbed row, and those that an earlier batch rejected, are
     left alone. Scrubbed rows and rejects are two tables under one batch number:
-    both get the batch, or neither does. Only the batch's buckets are read and written.
+    both get the batch, or neither does. Only the batch's buckets are read and written,
+    and nothing else stays in the shared folder.
     """
     if number <= tables.last_batch():
         return False
     buckets = tables.buckets_of(batch, "id")
     scrubbed, rejected = tables.current("scrubbed", buckets), tables.current("rejects", buckets)
     fresh = batch.join(rejected.select("id"), "id", "left_anti")
-    child, rejects = extract_pending(fresh, parsed, scrubbed, tgt, ent, extractor, now)
-    return tables.commit(number, {"scrubbed": (buckets, child), "rejects": (buckets, rejected.unionByName(rejects.groupBy("id").agg(F.min("reason").alias("reason"))))})
+    with Scratch(batch.sparkSession) as scratch:
+        child, rejects = extract_pending(fresh, parsed, scrubbed, tgt, ent, extractor, now, scratch)
+        return tables.commit(number, {"scrubbed": (buckets, child), "rejects": (buckets, rejected.unionByName(rejects.groupBy("id").agg(F.min("reason").alias("reason"))))})
 
 
 def stream_scrub(source: DataFrame, tables: BucketTables, parsed: DataFrame, tgt: DataFrame, ent: DataFrame, extractor, now, checkpoint: str) -> StreamingQuery:

@@ -39,11 +39,32 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: what several outputs need is computed once."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Tables in the shared folder that several outputs of a job need: each is computed once.
+
+    `remove` deletes them when the outputs are written; as a context manager it does so at the end.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """df as such a table."""
+        self.paths.append(shared_folder(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def remove(self) -> None:
+        for path in self.paths:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.paths = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        self.remove()
 
 
 class Versions:

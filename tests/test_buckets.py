@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomdocs.operators import documents, merge
 from loomdocs.plans import catalog
 from loomdocs.streaming.streams import SCRUB_TABLES, scrub_batch, stream_upsert
-from loomdocs.streaming.tables import BucketTables
+from loomdocs.streaming.tables import BucketTables, shared_folder
 
 CHILD = "extracted_record_id long, data string, created_at timestamp, updated_at timestamp"
 def now():
@@ -140,6 +140,8 @@ def test_extractor_sees_every_context_once(spark, tmp_path):
 
 def test_rejects_are_kept_and_skipped(spark, tmp_path):
     (tmp_path / "calls").mkdir()
+    scratch = Path(shared_folder(spark, "x")).parent
+    left = set(scratch.glob("*"))
     tables = BucketTables(spark, str(tmp_path / "t"), SCRUB_TABLES, 4)
     t = _Tables(spark, spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string"))
     args = (*catalog._extraction(t), counting(tmp_path / "calls"), now())
@@ -155,3 +157,4 @@ def test_rejects_are_kept_and_skipped(spark, tmp_path):
     assert len(later) == len(set(later)) and {int(x.split(",")[0]) for x in later} >= rejected
     assert {r["id"] for r in tables.current("rejects").collect()} == rejected
     assert tables.current("scrubbed").count() == sum(bool(i % 5 and i % 13 and i % 7) for i in range(40))
+    assert {x for x in scratch.glob("*") if x.name.startswith(("pending", "extracted", "payloads"))} <= left
