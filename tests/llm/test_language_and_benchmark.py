@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from loomdocs.llm.decontamination import common_subsequence, contaminated_documents
+from loomdocs.llm.decontamination import common_subsequence, contaminated_documents, item_parts
 from loomdocs.llm.language_id import ContextTrees, _node_counts, fit_languages, identify_languages, predict_languages
 
 STEMS = {"aa": ["mola", "tirra", "vano", "sule"], "bb": ["krcht", "schtz", "grmpf", "wlk"], "cc": ["uoiea", "aeiou", "ouoi", "iaeu"]}
@@ -219,3 +219,41 @@ def test_copies_of_short_and_long_items(spark):
     shares = {(r["doc_id"], r["item_id"]): r["lcs_share"] for r in got.collect()}
     assert [(i, sizes[i]) for i in range(len(sizes)) if shares.get((i, i)) != 1.0] == []
     assert [pair for pair in shares if pair[0] != pair[1] and sizes[pair[1]] > 24] == []
+
+
+def test_changed_copies_of_every_length_are_found(spark):
+    """All pairs by brute force: what is found has the share, and every planted copy with share and answer is found."""
+
+    def lcs(a, b):
+        masks = {}
+        for i, x in enumerate(a):
+            masks[x] = masks.get(x, 0) | 1 << i
+        return common_subsequence(masks, len(a), b) / len(a)
+
+    rng = random.Random(12)
+    vocabulary = [f"term{i}" for i in range(2500)]
+    weights = [1 / (i + 3) for i in range(2500)]
+    draw = lambda n: rng.choices(vocabulary, weights, k=n)
+    cases = [(n, changed) for n in (8, 14, 20, 26, 30, 34, 38, 48, 60, 64, 65, 80, 130, 200, 600) for changed in (0.0, 0.18, 0.3, 0.38)]
+    items = [draw(n) for n, _ in cases]
+    docs, planted = [], set()
+    for i, (n, changed) in enumerate(cases):
+        copy = list(items[i])
+        for at in rng.sample(range(n - 5), min(n - 5, int(changed * n))):
+            copy[at] = draw(1)[0] if at % 2 else f"{copy[at]} {draw(1)[0]}"  # another word, or one more
+        copy = " ".join(copy).split()
+        if lcs(items[i], copy) >= 0.6:
+            planted.add((i, i))
+        docs.append([*draw(i * 3), *copy, *draw(150)])
+    docs += [draw(300) for _ in range(60)]
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated_documents(table, spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")).collect()}
+    assert len(planted) > 55 and planted - got == set()
+    assert {(d, i) for d, i in got if lcs(items[i], docs[d]) < 0.6} == set()
+    assert {(d, i) for d, i in got - planted if len(items[i]) > 20} == set()
+
+
+def test_parts_of_items_cover_them():
+    for n in range(1, 400):
+        parts = item_parts(n)
+        assert [a for a, _ in parts[1:]] == [b for _, b in parts[:-1]] and parts[0][0] == 0 and parts[-1][1] == n and all(0 < b - a <= 64 for a, b in parts)
