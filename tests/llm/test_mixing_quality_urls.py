@@ -206,3 +206,11 @@ def test_frequent_null_and_long_urls(spark):
     got = url_verdicts(spark.createDataFrame(rows, "page_id long, url string")).collect()
     wanted = [(i, *brute_verdict(u)) for i, u in rows]
     assert sorted(((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got), key=str) == sorted(wanted, key=str)
+
+
+def test_host_rules_are_those_of_the_contract(spark):
+    """The contract's list, written out here: nothing of the code is used to make it."""
+    assert sorted(HOST_RULES) == [("com/en/", "block"), ("example.com/en/7", "allow"), ("example.net/de/8", "block"), ("net/de/", "allow"), ("org/es/", "block")]
+    wanted = {"http://x.com/en/1": "block", "http://m.example.com/en/71": "allow", "http://x.net/de/1": "allow", "http://casino-win.example.net/de/5": "allow", "http://a.example.net/de/81": "block", "http://x.org/es/2": "block"}
+    got = url_verdicts(spark.createDataFrame(list(enumerate(wanted)), "page_id long, url string")).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == dict(enumerate(wanted.values()))
