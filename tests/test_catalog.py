@@ -51,6 +51,18 @@ def test_query_runs(spark, name):
     assert catalog.queries()[name](spark, DATA).count() > 0
 
 
+def test_ingest_equals_sql_with_repeated_urls(spark, tmp_path):
+    """A URL is one record, however many pages it has; null and empty ones are none."""
+    import duckdb
+
+    urls = ["http://a/1", "http://a/1", "http://a/2", None, "", "http://a/1"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(map(tuple, catalog.queries()["ST1_stream_ingest"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert got == sorted(con.execute(catalog.oracle_sql()["ST1_stream_ingest"]).fetchall()) == [("http://a/1", "indexed"), ("http://a/2", "indexed")]
+
+
 def test_entry(spark):
     import __spark_entry__
 
