@@ -28,3 +28,21 @@ def test_online_stream_equals_batch(spark, tmp_path):
     mark = F.lit(int((t0 + timedelta(hours=5) - timedelta(minutes=10) - datetime(1970, 1, 1)).total_seconds()) * 1_000_000)
     assert got == sorted(map(tuple, online_changes(whole, "who", mark).select("key", "state", "at_us").collect()))
     assert len(got) > 6
+
+
+def test_events_of_the_same_instant_as_the_watermark(spark, tmp_path):
+    """A key whose silence ends, or whose event lies, exactly at the watermark is settled; a millisecond later it waits. The state is one value per key."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    t0 = datetime(2024, 1, 1)
+    at = lambda ms: t0 + timedelta(milliseconds=ms)
+    minute = 60_000
+    events = [(at(0), "ends"), (at(1), "stays"), (at(15 * minute), "on"), (at(15 * minute + 1), "waits"), (at(25 * minute), "last")]
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(events, "ts timestamp, who string").coalesce(1).write.parquet(path)
+    stream = stream_online(spark.readStream.schema("ts timestamp, who string").parquet(path), "who")
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsInPandasWithState" in plan  # no call to the state store for each event and timer
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "state")).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    begin = 1704067200_000_000
+    got = sorted((r["key"], r["state"], r["at_us"] - begin) for r in spark.read.parquet(out).collect())
+    assert got == [("ends", "offline", 900_000_000), ("ends", "online", 0), ("on", "online", 900_000_000), ("stays", "online", 1000)]
