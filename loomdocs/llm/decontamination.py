@@ -32,8 +32,8 @@ LCS_ALONE, LCS_WITH_ANSWER = 0.8, 0.6
 ANSWER_WORDS = 5
 #: Benchmark items, counted by their pieces, that are searched for at once; more go in further blocks.
 BLOCK_ITEMS = 400
-#: Documents, about, whose passages the latent space is fitted on: a bounded sample by a hash of the id.
-FIT_DOCS = 20_000
+#: Tasks per core that the latent space is fitted in at most: each gives terms x (RANK + MORE) sums, however much it has read.
+FIT_TASKS = 2
 #: Words of a row of the term table at most: longer documents have several rows, overlapping by twice the longest item at least.
 ROW_WORDS, OVERLAP_WORDS = 100_000, 1_000
 
@@ -134,23 +134,22 @@ def passage_sums(numbers: np.ndarray, offsets: np.ndarray, vectors: np.ndarray)
     return out, block_row, np.arange(first[-1]) - first[block_row]
 
 
-def latent_space(table: DataFrame, items: Items, idf: np.ndarray, n_rows: int, fit_docs: int = FIT_DOCS) -> np.ndarray:
+def latent_space(table: DataFrame, items: Items, idf: np.ndarray) -> np.ndarray:
     """Terms x RANK: leading right singular vectors of the TF-IDF passages, by a randomised SVD.
 
     Each task multiplies its passages A by a fixed random matrix O and back,
     A' (A O); the sums of all tasks give Y = (A'A) O, of terms x (RANK + MORE).
     The driver gets Y alone and finishes: A'A = Y (O'Y)^-1 Y', so the singular
-    vectors are those of the small core. Passages are those of a bounded sample
-    of documents, and the items themselves.
+    vectors are those of the small core. Passages are those of all documents, and
+    the items themselves.
     """
     n_terms = len(items.terms)
     rank = min(RANK + MORE, n_terms)
     random = np.random.default_rng(7).standard_normal((n_terms + 1, rank))
     random[0] = 0
     weighted = (random * idf[:, None]).astype(np.float32)
-    share = min(1.0, fit_docs / max(1, n_rows))
-    # fit_docs rows, about: a bound that doesn't grow with the corpus
-    sample = table.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000).select("terms").repartition(8)
+    # a number of tasks, and so of sums to shuffle, that doesn't grow with the corpus
+    every = table.select("terms").coalesce(FIT_TASKS * table.sparkSession.sparkContext.defaultParallelism)
 
     def multiply(batches):
         y, passages = np.zeros((n_terms + 1, rank)), 0
@@ -168,16 +167,16 @@ def latent_space(table: DataFrame, items: Items, idf: np.ndarray, n_rows: int, f
         return pa.table({"first": pa.array([key[0].as_py()], pa.int32()), "y": pa.array([total.tobytes()], pa.binary()), "passages": pa.array([n], pa.int64())})
 
     schema = "first int, y binary, passages long"
-    got = sample.mapInArrow(multiply, schema).groupBy("first").applyInArrow(add, schema).collect()
+    got = every.mapInArrow(multiply, schema).groupBy("first").applyInArrow(add, schema).collect()
     y = np.zeros((n_terms + 1, rank))
     for r in got:
         part = np.frombuffer(r["y"], np.float64).reshape(-1, rank)
         y[r["first"] : r["first"] + len(part)] += part
-    # items count as often as all sampled passages together
-    sampled = sum(r["passages"] for r in got if r["first"] == 0)
+    # items count as often as all passages together
+    n_passages = sum(r["passages"] for r in got if r["first"] == 0)
     more = np.zeros_like(y)
     _back(more, np.concatenate(items.words), np.concatenate([[0], np.cumsum([len(w) for w in items.words])]), weighted)
-    y += more * max(1.0, sampled / len(items.words))
+    y += more * max(1.0, n_passages / len(items.words))
     y *= idf[:, None]
     core = random.T @ y
     q, r = np.linalg.qr(y)
@@ -366,12 +365,12 @@ def search(table: DataFrame, items: Items, idf: np.ndarray, space: np.ndarray, d
     return table.mapInArrow(find, "doc_id long, item_id long, cosine double, lcs_share double, answer_found boolean")
 
 
-def contaminated_documents(docs: DataFrame, benchmark: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
+def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, cosine, lcs_share, answer_found.
 
     Passages (WIDE * STEP words, at every STEP words of every whole text) and
     items are TF-IDF vectors over the items' words, with document frequencies
-    of all documents. A randomised SVD gives a latent space; passages with a
+    of all documents. A randomised SVD of all passages gives a latent space; passages with a
     cosine of at least COSINE to an item are its candidates. Items of more than
     LONG words are cut into pieces of a passage's length, and a candidate for any
     piece is one for the item. Parts of items of at most LONG words are also looked
@@ -406,7 +405,7 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, fit_docs: int
                 common[kinds] = False
         idf[common] = 0
         idf[0] = 0
-        return search(table, items, idf, latent_space(table, items, idf, n_rows, fit_docs), df)
+        return search(table, items, idf, latent_space(table, items, idf), df)
 
     pieces = 0
     for row in asked.toLocalIterator():

@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from loomdocs.llm.decontamination import common_subsequence, contaminated_documents, item_parts
+from loomdocs.llm.decontamination import Items, common_subsequence, contaminated_documents, item_parts, latent_space
 from loomdocs.llm.language_id import ContextTrees, _node_counts, fit_languages, identify_languages, predict_languages
 
 STEMS = {"aa": ["mola", "tirra", "vano", "sule"], "bb": ["krcht", "schtz", "grmpf", "wlk"], "cc": ["uoiea", "aeiou", "ouoi", "iaeu"]}
@@ -257,3 +257,17 @@ def test_parts_of_items_cover_them():
     for n in range(1, 400):
         parts = item_parts(n)
         assert [a for a, _ in parts[1:]] == [b for _, b in parts[:-1]] and parts[0][0] == 0 and parts[-1][1] == n and all(0 < b - a <= 64 for a, b in parts)
+
+
+def test_latent_space_is_that_of_all_passages(spark):
+    """The leading direction against the whole cross product, on more documents than any sample had."""
+    rng = np.random.default_rng(3)
+    rows = rng.choice(6, (25_000, 5), p=[0.3, 0.25, 0.2, 0.12, 0.08, 0.05]).astype("<u4") + 1
+    idf = np.array([0, 1.0, 1.2, 1.4, 1.7, 2.0, 2.4])
+    items = Items([1], np.arange(1, 7, dtype=np.uint64), [np.arange(1, 7, dtype=np.uint32)])
+    table = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(rows)], "doc_id long, terms binary")
+    a = np.stack([(rows == t).sum(1) for t in range(7)], axis=1) * idf
+    item = np.array([0, 1, 1, 1, 1, 1, 1]) * idf
+    first = np.linalg.eigh(a.T @ a + len(rows) * np.outer(item, item))[1][:, -1]
+    got = latent_space(table, items, idf)[:, 0]
+    assert np.allclose(got * np.sign(got @ first), first, atol=2e-5)
