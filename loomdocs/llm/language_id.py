@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,8 +19,10 @@ TRAIN_DOCS = 2000
 MOST_NODES = 750_000
 #: Nodes times languages at most, so that the tables of many languages take no more memory than those of 16.
 MOST_CELLS = 16 * MOST_NODES
-#: Distinct words times languages whose code lengths a worker remembers at most.
-CACHE_CELLS = 3_200_000
+#: Distinct words times languages whose code lengths a worker remembers at most, about; looked up again beyond.
+CACHE_CELLS = 800_000
+#: Words whose code lengths are computed at once.
+NEW_WORDS = 10_000
 #: Languages up to which their sampling shares are broadcast; beyond, they are joined by shuffling.
 BROADCAST_LANGUAGES = 100_000
 UNKNOWN = "und"
@@ -61,7 +62,9 @@ class ContextTrees:
     symbol_bits: list[np.ndarray] = field(default_factory=list)
     escape_bits: list[np.ndarray] = field(default_factory=list)
     root_escape: np.ndarray | None = None
-    name: str = field(default_factory=lambda: uuid.uuid4().hex)
+    #: Words that a worker has looked up, and their code lengths: they go when the worker lets go of the trees.
+    places: dict[str, int] = field(default_factory=dict)
+    bits: np.ndarray | None = None
 
     @classmethod
     def fit(cls, langs: list[str], counts: dict[int, tuple[np.ndarray, np.ndarray]], whole: dict[int, tuple[np.ndarray, np.ndarray]] | None = None) -> ContextTrees:
@@ -139,25 +142,19 @@ class ContextTrees:
         return np.add.reduceat(bits, first, axis=0) if len(first) else np.zeros((0, n))
 
 
-_memory: dict[str, dict[str, int]] = {}
-_bits: dict[str, np.ndarray] = {}
-
-
 def text_bits(trees: ContextTrees, texts: list[str]) -> np.ndarray:
     """Code length of each whole text per language: the sum over its words."""
-    if trees.name not in _memory or len(_memory[trees.name]) * len(trees.langs) > CACHE_CELLS:
-        _memory.clear()
-        _bits.clear()
-        _memory[trees.name], _bits[trees.name] = {}, np.zeros((1, len(trees.langs)))
-    memory = _memory[trees.name]
+    if not trees.places or len(trees.places) * len(trees.langs) > CACHE_CELLS:
+        trees.places, trees.bits = {}, np.zeros((1, len(trees.langs)))
+    memory = trees.places
     split = [t.lower().split() for t in texts]
     new = [w for w in {w for words in split for w in words} if w not in memory]
-    tables = [_bits[trees.name]]
-    for at in range(0, len(new), 20_000):
-        some = new[at : at + 20_000]
+    tables = [trees.bits]
+    for at in range(0, len(new), NEW_WORDS):
+        some = new[at : at + NEW_WORDS]
         memory.update(zip(some, range(len(memory) + 1, len(memory) + 1 + len(some)), strict=True))
         tables.append(trees.word_bits([w.encode("utf-8", "surrogatepass") for w in some]))
-    table = _bits[trees.name] = np.concatenate(tables) if len(tables) > 1 else tables[0]
+    table = trees.bits = np.concatenate(tables) if len(tables) > 1 else tables[0]
     out = np.zeros((len(texts), len(trees.langs)))
     for i, words in enumerate(split):
         if words:

@@ -271,3 +271,21 @@ def test_latent_space_is_that_of_all_passages(spark):
     first = np.linalg.eigh(a.T @ a + len(rows) * np.outer(item, item))[1][:, -1]
     got = latent_space(table, items, idf)[:, 0]
     assert np.allclose(got * np.sign(got @ first), first, atol=2e-5)
+
+
+def test_remembered_words_are_bounded_and_go_with_the_trees(monkeypatch):
+    import gc
+    import weakref
+
+    from loomdocs.llm import language_id
+
+    rows = [f"{a}{b} {b}{a}" for a in STEMS["aa"] for b in STEMS["cc"]]
+    trees = ContextTrees.fit(["x"], {k: (np.unique(v), np.ones((len(np.unique(v)), 1))) for k, v in ((k, language_id._strings(*language_id._padded([r.encode() for r in rows]), k)) for k in range(1, 6))})
+    whole = language_id.text_bits(trees, rows)
+    monkeypatch.setattr(language_id, "CACHE_CELLS", 5)
+    assert np.array_equal(np.concatenate([language_id.text_bits(trees, [r]) for r in rows]), whole)
+    assert len(trees.places) <= 5 + 2
+    held = weakref.ref(trees.bits)
+    del trees
+    gc.collect()
+    assert held() is None
