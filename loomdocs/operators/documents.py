@@ -29,6 +29,8 @@ DOWNLOADS, LINK_PARTS = (".pdf", ".rtf", ".doc"), ["LawCite", "/za/cases/", "/za
 # Class of links that a site sets on citations by itself; what ids and classes of footnote containers hold.
 CITATION_CLASS, NOTE_IDS, NOTE_CLASSES = "autolink_findcases", ("ftn", "fn"), ("footnote", "ftn")
 CONTEXT_CHARS = 3000
+#: Rows and bytes of the Arrow batches that Python gets: its memory is that of a batch, so it doesn't grow with a task's rows.
+BATCH_ROWS, BATCH_BYTES = 250, 4 << 20
 
 
 def register_parser(name: str, fn: Callable[[str | None], dict]) -> None:
@@ -55,8 +57,16 @@ def register_sql(spark: SparkSession) -> None:
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION rand_price(cents BIGINT) RETURNS STRING RETURN CASE WHEN cents IS NOT NULL THEN format_string('R %.2f', cents / 100) END")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with small Arrow batches from here on in its session: texts make batches of Spark's 10,000 rows large. Every row still goes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df in as many partitions as there are cores, if a small input has fewer: what follows costs far more than a row's way there. Larger inputs stay where they are."""
+    df = small_batches(df)
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if not df.isStreaming and df.rdd.getNumPartitions() < cores else df
 
@@ -186,7 +196,7 @@ def page_content(pages: DataFrame) -> DataFrame:
             content = [p.content() for p in read]
             yield pd.DataFrame({"url": pdf["url"], "title": [" ".join(p.title.split()) for p in read], "h1": [" ".join(p.h1.split()) for p in read], "container": [c[0] for c in content], "content": [c[1] for c in content], "html": pdf["html"]})
 
-    return pages.select("url", "html").mapInPandas(run, "url string, title string, h1 string, container string, content string, html string")
+    return small_batches(pages).select("url", "html").mapInPandas(run, "url string, title string, h1 string, container string, content string, html string")
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -197,7 +207,7 @@ def page_links(pages: DataFrame) -> DataFrame:
             rows = [(u, i, *link) for u, h in zip(pdf["url"], pdf["html"], strict=True) for i, link in enumerate(_read(h).links)]
             yield pd.DataFrame(rows, columns=["url", "place", "href", "label", "in_h3", "classes"])
 
-    return pages.select("url", "html").mapInPandas(run, "url string, place int, href string, label string, in_h3 boolean, classes array<string>").withColumn("href", urls.abs_url("url", "href"))
+    return small_batches(pages).select("url", "html").mapInPandas(run, "url string, place int, href string, label string, in_h3 boolean, classes array<string>").withColumn("href", urls.abs_url("url", "href"))
 
 
 def link_kind(parts: list[str] | None = None) -> Column:
@@ -294,7 +304,7 @@ def format_journal(rec: DataFrame) -> DataFrame:
     def run(values: pd.Series) -> pd.Series:
         return values.map(format_text)
 
-    return rec.withColumn("formatted_text", run("formatted_text"))
+    return small_batches(rec).withColumn("formatted_text", run("formatted_text"))
 
 
 def court_roll_rows(rec: DataFrame) -> DataFrame:
@@ -316,8 +326,8 @@ def extraction_contexts(parsed: DataFrame) -> DataFrame:
 
 
 def apply_extractor(contexts: DataFrame, fn, schema: str) -> DataFrame:
-    """A user's function over iterators of pandas frames (id, pass, context)."""
-    return contexts.mapInPandas(fn, schema)
+    """A user's function over iterators of pandas frames (id, pass, context), which hold BATCH_ROWS rows at most."""
+    return small_batches(contexts).mapInPandas(fn, schema)
 
 
 def header_fallback(res: DataFrame, rec: DataFrame) -> DataFrame:

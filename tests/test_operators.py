@@ -192,3 +192,20 @@ def test_link_kinds(spark):
     page = '<a class="autolink_findcases" href="/find?x">A v B</a><a class="autolink_findcases" href="/f.pdf">file</a><a href="/za/cases/1.html">C</a><a class="autolink_findcases" href="/za/cases/1.html">D</a><a class="other" href="/q">E</a>'
     got = documents.link_targets(spark.createDataFrame([("https://h/i", page)], "url string, html string"), kinds=True).collect()
     assert sorted(tuple(r)[1:] for r in got) == [("A v B", "https://h/find?x", "citation"), ("C", "https://h/za/cases/1.html", "za/cases")]
+
+
+def test_python_gets_small_batches(spark):
+    """An extractor's frames are small however many rows a task has, and no row is lost; the section parser has the same limit."""
+    from loomdocs.operators.documents import BATCH_ROWS, apply_extractor, parse_sections
+
+    def sizes(frames):
+        for pdf in frames:
+            yield pdf.assign(n=len(pdf))[["id", "n"]]
+
+    rows = spark.range(3000).coalesce(1).selectExpr("id", "'header' AS pass", "'some words' AS context")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    got = apply_extractor(rows, sizes, "id long, n long").collect()
+    assert sorted(r["id"] for r in got) == list(range(3000)) and max(r["n"] for r in got) <= BATCH_ROWS
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    parse_sections(rows.withColumnRenamed("context", "full_text"))
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(BATCH_ROWS)
