@@ -63,7 +63,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     n = len(data)
     power, inverse = _power_tables(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
+    np.add(data, np.uint64(1), out=sums[1:], dtype=np.uint64)
+    sums[1:] *= power[:n]
+    np.cumsum(sums[1:], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import map_texts, tasks_for
+from .token_output import share_encoder
 
 #: A turn ends with its line, so tokenizers that part words at a line's end count turns as they count their window.
 OPEN, CLOSE, HEAD = "<s>", "</s>\n", "[INST]"
@@ -116,13 +117,12 @@ def _with_tokens(rows: DataFrame, tokenizer: str | None) -> DataFrame:
 
     def count(batch):
         texts = [format_turn(role, text)[0] for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
-        from .token_output import encoder
-
-        tokens = [len(ids) // 4 for ids in encoder(tokenizer).encode(texts)]
+        tokens = [len(ids) // 4 for ids in shared.value.get().encode(texts)]
         yield batch.append_column("tokens", pa.array(tokens, pa.int64()))
 
     if tokenizer is None:
         return rows.withColumn("tokens", F.ceil(F.octet_length("text") / 4).cast("long") + MARK_TOKENS)
+    shared = share_encoder(rows.sparkSession, tokenizer)
     return map_texts(rows, count, "conv_id long, turn long, role string, text string, tokens long")
 
 

@@ -15,6 +15,8 @@ from .components import connected_components
 
 #: Counters of the frequency sketch (fixed: the sketch doesn't grow with the corpus), and of one of its rows.
 SLOTS, SLOT_BLOCK = 1 << 22, 1 << 16
+#: Bytes of text whose shingles are made at once: the arrays behind them take many times as much.
+STEP_BYTES = 512 << 10
 #: Longs of a set's parity bitmap.
 BITMAP = 8
 #: Rounds in which index lists are compared with one leader set before the rest is compared pair by pair.
@@ -47,7 +49,7 @@ def frequency_sketch(docs: DataFrame, k: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(SLOTS, np.uint32)
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, limit=STEP_BYTES):
                 np.add.at(total, _slots(shingles(part.column("text"), k)[0]), 1)
         small = np.minimum(total, 255).astype(np.uint8)
         for n, a in enumerate(range(0, SLOTS, SLOT_BLOCK)):
@@ -183,7 +185,7 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
     sketch = spark.sparkContext.broadcast(frequency_sketch(own, k))  # SLOTS bytes
-    sets = map_texts(own.select("doc_id", "row_key", "text"), lambda b: _set_rows(b, k, percent, sketch.value), "doc_id long, row_key long, size int, sig long, bits array<long>, prefix array<long>")
+    sets = map_texts(own.select("doc_id", "row_key", "text"), lambda b: _set_rows(b, k, percent, sketch.value), "doc_id long, row_key long, size int, sig long, bits array<long>, prefix array<long>", limit=STEP_BYTES)
     sets = materialize(sets, "sets")
 
     # one set of each signature; its prefix once
@@ -198,7 +200,7 @@ def shingle_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 
     def grams_of(sigs: DataFrame) -> DataFrame:
         needed = unique.join(sigs, "sig", "left_semi").select("row_key")
-        return materialize(map_texts(own.join(needed, "row_key", "left_semi").select("text"), lambda b: _gram_rows(b, k, sketch.value), "sig long, grams binary"), "grams")
+        return materialize(map_texts(own.join(needed, "row_key", "left_semi").select("text"), lambda b: _gram_rows(b, k, sketch.value), "sig long, grams binary", limit=STEP_BYTES), "grams")
 
     weight = materialize(entries.groupBy("sig").agg(F.sum("n").alias("weight")), "weights")
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import chunks, materialize, small_batches
-from .token_output import encoder, with_end_ids
+from .token_output import share_encoder, with_end_ids
 
 #: Open bins of a packer, and pieces that arrive together, the longest first.
 OPEN_BINS, ARRIVALS = 512, 1024
@@ -152,13 +152,13 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id
     task. Pieces of equal length are packed in the order of the table. An empty
     table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
+    shared = share_encoder(docs.sparkSession, tokenizer)
 
     def encode(batches):
         def pieces():
             for batch in batches:
                 for part in chunks(batch):
-                    ids, lengths = with_end_ids(*encoder(tokenizer).encode_column(pc.fill_null(part.column("text"), "")), end_id)
+                    ids, lengths = with_end_ids(*shared.value.get().encode_column(pc.fill_null(part.column("text"), "")), end_id)
                     raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
                     begins = np.cumsum(lengths) - lengths
                     for doc_id, begin, n in zip(part.column("doc_id").to_pylist(), begins.tolist(), lengths.tolist(), strict=True):

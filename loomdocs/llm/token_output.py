@@ -9,7 +9,8 @@ from array import array
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
@@ -160,17 +161,29 @@ class PieceEncoder:
         return [ids[a:b].tobytes() for a, b in zip(ends - lengths, ends, strict=True)]
 
 
-_encoders: dict[str, PieceEncoder] = {}
+class SharedEncoder:
+    """Broadcast in place of a PieceEncoder: each worker makes its own, once, from the path.
 
+    A worker lets go of a broadcast, and so of the encoder and what it remembers,
+    when its next task is one of another job.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+        self.own: PieceEncoder | None = None
+
+    def get(self) -> PieceEncoder:
+        if self.own is None:
+            import os
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            os.environ["RAYON_NUM_THREADS"] = "1"
+            self.own = PieceEncoder(self.path)
+        return self.own
 
-def encoder(path: str) -> PieceEncoder:
-    if path not in _encoders:
-        import os
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        os.environ["RAYON_NUM_THREADS"] = "1"
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+def share_encoder(spark: SparkSession, path: str) -> Broadcast[SharedEncoder]:
+    return spark.sparkContext.broadcast(SharedEncoder(path))
 
 
 def with_end_ids(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -182,15 +195,17 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, keep: list[str]) -> D
     """Add ids (array<int>) and n_tokens to the `keep` columns; null text counts as empty."""
     source = docs.select(*keep, "text")
     kept = source.drop("text").schema
+    shared = share_encoder(docs.sparkSession, tokenizer)
 
     def run(batches):
         for batch in batches:
             for part in chunks(batch):
-                flat, lengths = with_end_ids(*encoder(tokenizer).encode_column(pc.fill_null(part.column("text"), "")), end_id)
+                flat, lengths = with_end_ids(*shared.value.get().encode_column(pc.fill_null(part.column("text"), "")), end_id)
                 offsets = np.zeros(len(lengths) + 1, np.int32)
                 np.cumsum(lengths, out=offsets[1:])
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(lengths), ids], [*keep, "n_tokens", "ids"])
+        pa.default_memory_pool().release_unused()  # not for the worker's next job
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", n_tokens long, ids array<int>"
     return small_batches(source).mapInArrow(run, schema)

@@ -105,3 +105,21 @@ def test_stripes_indexes_and_bloom_filters_are_in_the_files(spark, tmp_path):
     assert [r["doc_id"] for r in found.collect()] == [1000]
     assert "In(doc_id, [1000,1001])" in found._jdf.queryExecution().executedPlan().toString().replace("`", "")
     assert read_token_files(spark, path).rdd.getNumPartitions() >= len(files)
+
+
+def test_workers_let_go_of_the_encoder(spark):
+    import gc
+
+    import pyarrow as pa
+
+    from loomdocs.llm.queries import tokenizer_path
+    from loomdocs.llm.token_output import PieceEncoder, tokenize
+
+    def left(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(isinstance(x, PieceEncoder) for x in gc.get_objects())])], ["n"])
+
+    docs = spark.range(40).repartition(4).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    assert tokenize(docs, tokenizer_path(), 2, ["doc_id"]).count() == 40
+    found = spark.range(40).repartition(4).mapInArrow(left, "n long").collect()
+    assert found and not any(r["n"] for r in found)
